@@ -154,15 +154,13 @@ def merge_dim_product(staged: dict[str, DataFrame], existing: DataFrame) -> Data
     return grow(existing, candidates, "product_key", "product_sk")
 
 
-def merge_dim_team(
-    staged: dict[str, DataFrame], existing: DataFrame, dim_org: DataFrame
-) -> DataFrame:
+def merge_dim_team(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+    """Teams of named organisations; those are all in dim_org, as it is fed by the same rows."""
     candidates = (
         staged["user_teams"]
-        .filter(F.col("team_id").isNotNull())
+        .filter(F.col("team_id").isNotNull() & C.present("org_key"))
         .groupBy("team_key", "team_id", "org_key")
         .agg(F.max("team_slug").alias("team_slug"))
-        .join(dim_org.select("org_key"), "org_key", "left_semi")
     )
     return grow(existing, candidates, "team_key", "team_sk")
 
@@ -257,16 +255,18 @@ def set_cost_center(dim_user: DataFrame, mapping: DataFrame | None = None) -> Da
     )
 
 
+MERGES = {
+    "dim_date": fill_dim_date,
+    "dim_org": merge_dim_org,
+    "dim_editor": merge_dim_editor,
+    "dim_feature": merge_dim_feature,
+    "dim_model": merge_dim_model,
+    "dim_product": merge_dim_product,
+    "dim_user": merge_dim_user,
+    "dim_team": merge_dim_team,
+}
+
+
 def merge_dimensions(staged: dict[str, DataFrame], existing) -> dict[str, DataFrame]:
     """All dimensions after this load; `existing` maps table names to their present content."""
-    dim_org = merge_dim_org(staged, existing["dim_org"])
-    return {
-        "dim_date": fill_dim_date(staged, existing["dim_date"]),
-        "dim_org": dim_org,
-        "dim_editor": merge_dim_editor(staged, existing["dim_editor"]),
-        "dim_feature": merge_dim_feature(staged, existing["dim_feature"]),
-        "dim_model": merge_dim_model(staged, existing["dim_model"]),
-        "dim_product": merge_dim_product(staged, existing["dim_product"]),
-        "dim_user": merge_dim_user(staged, existing["dim_user"]),
-        "dim_team": merge_dim_team(staged, existing["dim_team"], dim_org),
-    }
+    return {name: merge(staged, existing[name]) for name, merge in MERGES.items()}

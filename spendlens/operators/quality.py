@@ -32,44 +32,51 @@ class ConstraintViolation(RuntimeError):
 # ------------------------------------------------------------------ reconciliation
 
 
-def _orphans(df: DataFrame, dims, *names: str) -> Column:
-    """Staged rows without a row in one of the dimensions. Rows are folded to distinct keys first."""
-    keys = df.groupBy(*(DIMENSION_KEYS[n] for n in names)).agg(F.count("*").alias("n"))
-    matched = keys
-    for name in names:
-        key = DIMENSION_KEYS[name]
-        matched = matched.join(dims[name].select(key), key, "left_semi")
+_RECONCILED = {
+    "user_day": ("rows_user_day", None, ()),
+    "user_ide": ("rows_user_ide", "orphaned_user_ide", ("dim_org", "dim_editor", "dim_user")),
+    "user_model_feature": (
+        "rows_model_feature",
+        "orphaned_user_model_feature",
+        ("dim_org", "dim_model", "dim_feature", "dim_user"),
+    ),
+    "seats": ("rows_seats", None, ()),
+    "premium_requests": (
+        "rows_premium_requests",
+        "orphaned_billing",
+        ("dim_org", "dim_model", "dim_product", "dim_user"),
+    ),
+}
 
-    def rows(d: DataFrame) -> Column:
-        return d.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar()
 
-    return (rows(keys) - rows(matched)).cast("bigint")
+def _mapped(df: DataFrame, dims, names) -> DataFrame:
+    """Staged rows, and those of them that miss a row in one of the dimensions. Rows are folded to
+    distinct keys first; a dimension has one row per key, so the joins add none."""
+    keys = [DIMENSION_KEYS[n] for n in names]
+    folded = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    found = F.lit(True)
+    for name, key in zip(names, keys, strict=True):
+        mark = f"_{name}"
+        folded = folded.join(dims[name].select(key, F.lit(True).alias(mark)), key, "left")
+        found = found & F.col(mark).isNotNull()
+    return folded.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(~found, F.col("n"))), F.lit(0)).alias("orphans"),
+    )
 
 
 def reconcile(staged: dict[str, DataFrame], dims) -> DataFrame:
     """One row of staged row counts and orphans. Billing orphans fail a strict load; activity rows
     without dimensions are left out of the facts and only reported."""
-
-    def rows(name: str) -> Column:
-        return staged[name].agg(F.count("*").alias("n")).scalar()
-
-    spark = staged["user_day"].sparkSession
-    return spark.range(1).select(
-        rows("user_day").alias("rows_user_day"),
-        rows("user_ide").alias("rows_user_ide"),
-        rows("user_model_feature").alias("rows_model_feature"),
-        rows("seats").alias("rows_seats"),
-        rows("premium_requests").alias("rows_premium_requests"),
-        _orphans(
-            staged["premium_requests"], dims, "dim_org", "dim_model", "dim_product", "dim_user"
-        ).alias("orphaned_billing"),
-        _orphans(staged["user_ide"], dims, "dim_org", "dim_editor", "dim_user").alias(
-            "orphaned_user_ide"
-        ),
-        _orphans(
-            staged["user_model_feature"], dims, "dim_org", "dim_model", "dim_feature", "dim_user"
-        ).alias("orphaned_user_model_feature"),
-    )
+    parts, columns = None, []
+    for dataset, (rows, orphans, names) in _RECONCILED.items():
+        part = _mapped(staged[dataset], dims, names).withColumn("dataset", F.lit(dataset))
+        parts = part if parts is None else parts.unionByName(part)
+        for column, source in ((rows, "rows"), (orphans, "orphans")):
+            if column:
+                of_dataset = F.when(F.col("dataset") == dataset, F.col(source))
+                columns.append(F.max(of_dataset).cast("bigint").alias(column))
+    return parts.agg(*columns)
 
 
 def check_load(counts: dict[str, int], strict: bool = True) -> list[str]:

@@ -55,11 +55,12 @@ def conform(df: DataFrame, name: str) -> DataFrame:
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in STAGING[name].fields
     ]
-    staged = df.select(*fields)
-    for field in STAGING[name].names:
-        for key, expression in _KEYS.get(field, {}).items():
-            staged = staged.withColumn(key, expression())
-    return staged
+    keys = {
+        key: expression()
+        for field in STAGING[name].names
+        for key, expression in _KEYS.get(field, {}).items()
+    }
+    return df.select(*fields).withColumns(keys)
 
 
 def staging_schema(name: str) -> StructType:

@@ -112,10 +112,13 @@ def load_all(
     )
     staged = {n: wh.read_run(run_id, f"stg_{n}", staging_schema(n)) for n in STAGING}
 
-    merged = dimensions.merge_dimensions(staged, stored)
-    if cost_centers is not None:
-        merged["dim_user"] = dimensions.set_cost_center(merged["dim_user"], cost_centers)
-    write_all(lambda n=name, d=df: wh.write_run(run_id, n, d) for name, df in merged.items())
+    def merge_dimension(name: str) -> None:
+        merged = dimensions.MERGES[name](staged, stored[name])
+        if name == "dim_user" and cost_centers is not None:
+            merged = dimensions.set_cost_center(merged, cost_centers)
+        wh.write_run(run_id, name, merged)
+
+    write_all(lambda n=name: merge_dimension(n) for name in dimensions.MERGES)
     dims = {name: wh.read_run(run_id, name) for name in DIMENSIONS}
 
     counts = quality.reconcile(staged, dims).first().asDict()

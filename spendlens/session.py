@@ -16,6 +16,8 @@ def build_session(master: str | None = None, app: str = "spendlens", **conf) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # call-site capture per expression costs more than small plans themselves
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

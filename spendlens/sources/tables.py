@@ -45,7 +45,7 @@ class Tables:
         return Tables(self._load, {**self._frames, **frames})
 
 
-def write_all(jobs: Iterable[Callable[[], None]], at_once: int = 4) -> None:
+def write_all(jobs: Iterable[Callable[[], None]], at_once: int = 8) -> None:
     """Run independent writes side by side, so that small ones do not idle the cluster."""
     with ThreadPoolExecutor(at_once) as pool:
         for done in [pool.submit(job) for job in jobs]:
