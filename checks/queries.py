@@ -58,12 +58,12 @@ def events_tables(spark: SparkSession, sf_dir: str) -> Tables:
 def orders_tables(spark: SparkSession, sf_dir: str) -> Tables:
     def make(root: str) -> None:
         load.load_all(
-            Warehouse(spark, root),
+            Warehouse(spark, root, "month"),
             derive.orders_datasets(spark, sf_dir),
             loaded_at="2001-11-30 02:00:00",
         )
 
-    return Warehouse(spark, _once(spark, sf_dir, "orders", make)).tables()
+    return Warehouse(spark, _once(spark, sf_dir, "orders", make), "month").tables()
 
 
 def archive(spark: SparkSession, sf_dir: str) -> str:

@@ -145,8 +145,8 @@ def ratio(numerator, denominator) -> Column:
 
 def money_text(c) -> Column:
     """Dollar text with thousands separators; missing or unreadable amounts show as $0.00."""
-    amount = as_column(c).cast("string").try_cast("decimal(38,6)")
-    return F.concat(F.lit("$"), F.format_number(F.coalesce(amount, F.lit(0).cast("decimal(38,6)")), 2))
+    amount = F.coalesce(as_column(c).cast("string").try_cast("double"), F.lit(0.0))
+    return F.concat(F.lit("$"), F.format_number(amount, 2))
 
 
 def pseudonym(c) -> Column:

@@ -23,10 +23,15 @@ _SIGNALS = {
 
 def between(df: DataFrame, since=None, until=None, user_key: str | None = None) -> DataFrame:
     """Slice a fact by its partition column and user before any join or aggregate."""
+    monthly = "month_key" in df.columns
     if since is not None:
-        df = df.filter(F.col("date_key") >= C.to_date_key(since))
+        first = C.to_date_key(since)
+        df = df.filter(F.col("date_key") >= first)
+        df = df.filter(F.col("month_key") >= first // 100) if monthly else df
     if until is not None:
-        df = df.filter(F.col("date_key") <= C.to_date_key(until))
+        last = C.to_date_key(until)
+        df = df.filter(F.col("date_key") <= last)
+        df = df.filter(F.col("month_key") <= last // 100) if monthly else df
     if user_key is not None:
         df = df.filter(F.col("user_key") == user_key)
     return df

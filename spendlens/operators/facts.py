@@ -103,9 +103,11 @@ def stamp(df: DataFrame, table: str, loaded_at: str) -> DataFrame:
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows replace target rows with the same key; target rows without one stay."""
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    kept = target.join(source.select(*keys), keys, "left_anti")
+    return kept.select(*source.columns).unionByName(source)
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows stay as they are; source rows with new keys are added."""
-    return target.unionByName(source.join(target.select(*keys), keys, "left_anti"))
+    added = source.join(target.select(*keys), keys, "left_anti")
+    return target.select(*source.columns).unionByName(added)

@@ -91,9 +91,16 @@ def erase_user(dim_user: DataFrame, login: str) -> DataFrame:
     )
 
 
+def _delete(wh: Warehouse, run_id: str, table: str, fact: DataFrame, condition) -> None:
+    """Rewrite the partitions that hold matching rows without them; the others are not touched."""
+    periods = wh.periods(fact.filter(condition))
+    if periods:
+        wh.replace_periods(run_id, table, wh.in_periods(fact, periods).filter(~condition), periods)
+
+
 def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -> DataFrame:
-    """Preview, or erase: the user's rows leave all facts, and only the days they are on are
-    rewritten. The raw archive has to be cleaned separately."""
+    """Preview, or erase: the user's rows leave all facts, and only the partitions they are
+    in are rewritten. The raw archive has to be cleaned separately."""
     T = wh.tables()
     preview = erasure_preview(T, login)
     if not confirm:
@@ -101,10 +108,7 @@ def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -
     result = wh.spark.createDataFrame(preview.collect(), preview.schema)
     mine = F.col("user_key") == _key(login)
     for table in FACTS:
-        days = wh.date_keys(T[table].filter(mine))
-        if days:
-            rest = T[table].filter(F.col("date_key").isin(days)).filter(~mine)
-            wh.replace_dates(run_id, table, rest, days)
+        _delete(wh, run_id, table, T[table], mine)
     wh.write_run(run_id, "dim_user", erase_user(T.dim_user, login))
     wh.publish(run_id, "dim_user")
     return result
@@ -131,6 +135,7 @@ def purge_preview(T, as_of: date, retain_days: int = V.RETAIN_DAYS) -> DataFrame
 def purge(
     wh: Warehouse,
     as_of: date,
+    run_id: str,
     retain_days: int = V.RETAIN_DAYS,
     include_billing: bool = False,
     confirm: bool = False,
@@ -141,9 +146,9 @@ def purge(
     if not confirm:
         return preview
     result = wh.spark.createDataFrame(preview.collect(), preview.schema)
-    cutoff = C.to_date_key(cutoff_date(as_of, retain_days))
+    old = F.col("date_key") < C.to_date_key(cutoff_date(as_of, retain_days))
     for table in FACTS if include_billing else ACTIVITY_FACTS:
-        wh.drop_dates(table, wh.date_keys(T[table].filter(F.col("date_key") < cutoff)))
+        _delete(wh, run_id, table, T[table], old)
     return result
 
 

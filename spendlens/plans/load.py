@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens import fixed_values as V
+from spendlens.functions.columns import to_date_key
 from spendlens.operators import allocate, dimensions, facts, quality, runs
 from spendlens.operators.staging import DATASETS, stage, staging_schema
 from spendlens.schemas import DIMENSIONS, FACT_KEYS, STAGING
@@ -127,9 +128,12 @@ def load_all(
 
     def load_fact(table: str) -> None:
         source = facts.stamp(facts.LOADS[table](staged, dims), table, loaded_at)
-        if not replace_window and wh.exists(wh.path(table)):
-            days = wh.date_keys(staged[_SOURCE[table]].filter("date_key is not null"))
-            target = stored[table].filter(F.col("date_key").isin(days))
+        if wh.exists(wh.path(table)):
+            origin = staged[_SOURCE[table]]
+            target = wh.in_periods(stored[table], wh.periods(origin))
+            if replace_window:
+                days = origin.select("date_key").distinct()
+                target = target.join(F.broadcast(days), "date_key", "left_anti")
             merge = facts.insert_only if table == "fact_user_team_day" else facts.upsert
             source = merge(target, source, FACT_KEYS[table])
         wh.write_run(run_id, table, source)
@@ -140,7 +144,7 @@ def load_all(
     publish = [*DIMENSIONS, *facts.LOADS]
     write_all(lambda t=table: wh.publish(run_id, t) for table in publish)
     if rebuilt:
-        wh.replace_dates(run_id, "fact_user_ide_share", rebuilt[0], rebuilt[1])
+        wh.replace_periods(run_id, "fact_user_ide_share", *rebuilt)
     return counts
 
 
@@ -154,35 +158,43 @@ _SOURCE = {
 
 
 def _rebuild_shares(wh, run_id, stored: Tables, staged, loaded_at, basis, fallback):
-    """Shares of every day between the first and last staged editor day, and those days.
+    """Shares of the partitions from the first to the last staged editor day, and those partitions.
 
-    Without staged editor activity the stored shares stay as they are.
+    The stored shares outside the staged days keep their rows. Without staged editor activity all
+    stored shares stay as they are.
     """
     span = staged["user_ide"].agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
     if span.lo is None:
         return None
-    fresh = wh.read_run(run_id, "fact_user_ide_day")
-    editors = fresh
-    days: list[int] = []
+    editors = wh.read_run(run_id, "fact_user_ide_day")
+    in_span = F.col("date_key").between(span.lo, span.hi)
+    kept, periods = None, []
     if wh.exists(wh.path("fact_user_ide_day")):
-        touched = wh.date_keys(fresh)
-        in_span = F.col("date_key").between(span.lo, span.hi)
-        editors = stored.fact_user_ide_day.filter(in_span & ~F.col("date_key").isin(touched)).unionByName(
-            fresh
-        )
-        days = wh.date_keys(stored.fact_user_ide_share.filter(in_span))
-    shares = allocate.ide_share(editors, basis=basis, fallback=fallback)
-    return facts.stamp(shares, "fact_user_ide_share", loaded_at), days
+        fresh = wh.periods(editors)
+        old = stored.fact_user_ide_day.filter(in_span & ~wh.period().isin(fresh))
+        editors = editors.unionByName(old)
+        periods = wh.periods(stored.fact_user_ide_share.filter(in_span))
+        kept = wh.in_periods(stored.fact_user_ide_share, periods).filter(~in_span)
+    shares = allocate.ide_share(editors.filter(in_span), basis=basis, fallback=fallback)
+    shares = facts.stamp(shares, "fact_user_ide_share", loaded_at)
+    return (shares if kept is None else kept.select(*shares.columns).unionByName(shares)), periods
 
 
 def rebuild_shares(wh: Warehouse, since, until, run_id: str, loaded_at: str | None = None,
                    basis=("interactions", "generations"), fallback: str | None = "equal") -> None:
     """Recompute stored shares of a window, for instance after changing the weighting."""
     T = wh.tables()
-    days = wh.date_keys(allocate.between(T.fact_user_ide_share, since, until))
     shares = allocate.ide_share(T.fact_user_ide_day, since, until, basis, fallback)
     shares = facts.stamp(shares, "fact_user_ide_share", loaded_at or _utc_now())
-    wh.replace_dates(run_id, "fact_user_ide_share", shares, days)
+    editors = allocate.between(T.fact_user_ide_day, since, until)
+    periods = wh.periods(editors.select("date_key").union(
+        allocate.between(T.fact_user_ide_share, since, until).select("date_key")
+    ))
+    outside = ~F.col("date_key").between(to_date_key(since), to_date_key(until))
+    kept = wh.in_periods(T.fact_user_ide_share, periods).filter(outside)
+    wh.replace_periods(
+        run_id, "fact_user_ide_share", kept.select(*shares.columns).unionByName(shares), periods
+    )
 
 
 def reload(wh: Warehouse, datasets, until: date, trailing_days=V.RELOAD_TRAILING_DAYS, **options):

@@ -1,7 +1,10 @@
-"""The stored star schema: parquet folders, facts partitioned by `date_key`.
+"""The stored star schema: parquet folders, facts partitioned by day or by month.
+
+Days suit volumes where one day fills files; months keep thin histories from falling apart into
+thousands of tiny files. Either way rows keep their `date_key`, and slices prune partitions.
 
 A load first writes its result to a run folder, and only a checked result is copied over the
-touched dates. No path is read and overwritten in the same job, and an interrupted publish can be
+touched periods. No path is read and overwritten in the same job, and an interrupted publish can be
 repeated from the run folder.
 """
 
@@ -10,9 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from spendlens.schemas import FACT_KEYS, FACTS, TABLES
 
@@ -52,10 +55,16 @@ def write_all(jobs: Iterable[Callable[[], None]], at_once: int = 8) -> None:
             done.result()
 
 
+PERIODS = {"day": "date_key", "month": "month_key"}
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str):
+    """The folder of one star schema. `period` is fixed when the first load writes it."""
+
+    def __init__(self, spark: SparkSession, root: str, period: str = "day"):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.partition = PERIODS[period]
 
     # ------------------------------------------------------------------ places
 
@@ -74,73 +83,94 @@ class Warehouse:
         fs, jpath = self._file_system(path)
         return fs.exists(jpath)
 
+    # ------------------------------------------------------------------ periods
+
+    def period(self) -> Column:
+        """The partition a row belongs to."""
+        if self.partition == "month_key":
+            return F.floor(F.col("date_key") / 100).cast("int")
+        return F.col("date_key")
+
+    def periods(self, df: DataFrame) -> list[int]:
+        """The partitions a frame touches: a list no longer than the calendar."""
+        touched = df.filter("date_key is not null").select(self.period().alias("period"))
+        return sorted(r.period for r in touched.distinct().collect())
+
+    def in_periods(self, df: DataFrame, periods: list[int]) -> DataFrame:
+        """Rows of these partitions of a stored fact; the others are not read."""
+        on = self.partition if self.partition in df.columns else self.period()
+        return df.filter((F.col(on) if isinstance(on, str) else on).isin(periods))
+
     # ------------------------------------------------------------------ reading
 
+    def schema(self, table: str) -> StructType:
+        schema = TABLES[table]
+        if table in FACTS and self.partition not in schema.names:
+            schema = StructType([*schema.fields, StructField(self.partition, IntegerType())])
+        return schema
+
     def read(self, table: str) -> DataFrame:
         path = self.path(table)
         if not self.exists(path):
-            return empty(self.spark, TABLES[table])
-        return self.spark.read.schema(TABLES[table]).parquet(path)
+            return empty(self.spark, self.schema(table))
+        return self.spark.read.schema(self.schema(table)).parquet(path)
 
     def read_run(self, run_id: str, table: str, schema: StructType | None = None) -> DataFrame:
-        return self.spark.read.schema(schema or TABLES[table]).parquet(self.run_path(run_id, table))
+        path = self.run_path(run_id, table)
+        return self.spark.read.schema(schema or self.schema(table)).parquet(path)
 
     def tables(self) -> Tables:
         return Tables(self.read)
 
-    def date_keys(self, df: DataFrame) -> list[int]:
-        """The days a frame touches: a list no longer than the calendar."""
-        return sorted(r.date_key for r in df.select("date_key").distinct().collect())
-
     # ------------------------------------------------------------------ writing
 
+    def _write_facts(self, df: DataFrame, path: str) -> None:
+        """Persist a fact: the partitions in `df` are replaced, all others stay as they are."""
+        (
+            df.sortWithinPartitions(self.partition, "date_key", "user_key")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.partition)
+            .parquet(path)
+        )
+
     def write_run(self, run_id: str, table: str, df: DataFrame) -> None:
         """Materialise a table of this run. Facts are split evenly by range over their whole key,
         so a day or a user with most of the rows still becomes many files, each sorted by user."""
         path = self.run_path(run_id, table)
         if table in FACTS:
-            keys = FACT_KEYS[table]
-            df = df.select(*TABLES[table].names).repartitionByRange(*keys).sortWithinPartitions(*keys)
-            df.write.mode("overwrite").partitionBy("date_key").parquet(path)
+            rows = df.select(*TABLES[table].names).withColumn(self.partition, self.period())
+            self._write_facts(rows.repartitionByRange(*FACT_KEYS[table]), path)
         else:
             df.write.mode("overwrite").parquet(path)
 
     def publish(self, run_id: str, table: str) -> None:
-        """Copy a run's table over the stored one: whole dimensions, touched dates of facts."""
+        """Copy a run's table over the stored one: whole dimensions, touched periods of facts."""
         staged = self.read_run(run_id, table)
         if table in FACTS:
-            write_facts(staged, self.path(table))
+            self._write_facts(staged, self.path(table))
         else:
             staged.write.mode("overwrite").parquet(self.path(table))
 
-    def replace_dates(self, run_id: str, table: str, df: DataFrame, date_keys: list[int]) -> None:
-        """Make `df` the content of these days; days it leaves empty are dropped."""
+    def replace_periods(self, run_id: str, table: str, df: DataFrame, periods: list[int]) -> None:
+        """Make `df` the content of these partitions; those it leaves empty are dropped."""
         self.write_run(run_id, table, df)
-        kept = set(self.date_keys(self.read_run(run_id, table)))
-        self.publish(run_id, table)
-        self.drop_dates(table, [k for k in date_keys if k not in kept])
-
-    def drop_dates(self, table: str, date_keys: list[int]) -> None:
-        for key in date_keys:
-            fs, jpath = self._file_system(f"{self.path(table)}/date_key={key}")
-            if fs.exists(jpath):
-                fs.delete(jpath, True)
+        kept = set(self.periods(self.read_run(run_id, table)))
+        if kept:
+            self.publish(run_id, table)
+        for period in periods:
+            if period not in kept:
+                self._drop(f"{self.path(table)}/{self.partition}={period}")
+
+    def _drop(self, path: str) -> None:
+        fs, jpath = self._file_system(path)
+        if fs.exists(jpath):
+            fs.delete(jpath, True)
 
     def append(self, table: str, df: DataFrame) -> None:
         df.select(*TABLES[table].names).write.mode("append").parquet(self.path(table))
 
 
-def write_facts(df: DataFrame, path: str) -> None:
-    """Persist a fact: the dates in `df` are replaced, all others stay as they are."""
-    (
-        df.sortWithinPartitions("date_key", "user_key")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date_key")
-        .parquet(path)
-    )
-
-
-def read_tables(spark: SparkSession, root: str) -> Tables:
+def read_tables(spark: SparkSession, root: str, period: str = "day") -> Tables:
     """The reporting source: every stored table of a warehouse folder."""
-    return Warehouse(spark, root).tables()
+    return Warehouse(spark, root, period).tables()

@@ -11,7 +11,14 @@ from spendlens.fixed_values import RELOAD_TRAILING_DAYS
 def stream_daily_activity(
     events: DataFrame, delay: str = f"{RELOAD_TRAILING_DAYS} days"
 ) -> DataFrame:
-    """activity_date, user_id, event count and value. State is kept for the correction window only."""
+    """activity_date, user_id, event count and value. State is kept for the correction window only.
+
+    Days are UTC days; a zone-less `ts` is taken as UTC, which watermarks cannot do themselves.
+    """
+    if dict(events.dtypes)["ts"] == "timestamp_ntz":
+        since_epoch = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
+        events = events.withColumn("ts", F.timestamp_micros(F.expr(since_epoch)))
+    day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
     return (
         events.withWatermark("ts", delay)
         .groupBy(F.window("ts", "1 day").alias("w"), "user_id")
@@ -19,7 +26,7 @@ def stream_daily_activity(
             F.count("*").alias("events"),
             F.sum(F.col("value").cast("decimal(18,4)")).cast("decimal(38,4)").alias("value"),
         )
-        .select(F.col("w.start").cast("date").alias("activity_date"), "user_id", "events", "value")
+        .select(day.alias("activity_date"), "user_id", "events", "value")
     )
 
 
