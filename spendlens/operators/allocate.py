@@ -14,6 +14,7 @@ from spendlens.functions import columns as C
 
 USER_DAY = ["date_key", "user_key", "org_key"]
 USER_DAY_MODEL = [*USER_DAY, "model_key"]
+EXACT_MEASURES = ("net_amount", "gross_amount", "net_quantity")
 
 _SIGNALS = {
     "interactions": ("user_initiated_interaction_count", V.BY_INTERACTIONS),
@@ -100,14 +101,10 @@ def attribution_quality(ide, feature):
     )
 
 
-def allocate(T, since=None, until=None, user_key: str | None = None) -> DataFrame:
-    """Billing rows fanned out over editors and features, by key; labels are attached later.
-
-    Only allocated measures leave: summing the exact amount over fanned-out rows would overstate it.
+def fan_out(billing: DataFrame, T, since=None, until=None, user_key: str | None = None) -> DataFrame:
+    """Billing rows, with whatever labels they carry, split over the editors and features of their
+    user and day. The exact measures do not leave: summed over fanned-out rows they would overstate.
     """
-    billing = between(T.fact_premium_requests, since, until, user_key).select(
-        *USER_DAY_MODEL, "product_key", "net_amount", "gross_amount", "net_quantity"
-    )
     editors = between(T.fact_user_ide_share, since, until, user_key).select(
         *USER_DAY, "editor_key", F.col("share").alias("_ide"), "weight_basis"
     )
@@ -120,12 +117,12 @@ def allocate(T, since=None, until=None, user_key: str | None = None) -> DataFram
     def allocated(name: str):
         return (F.col(name) * ide_or_one * feature_or_one).cast(C.ALLOCATED)
 
+    carried = [c for c in billing.columns if c not in EXACT_MEASURES]
     return (
         billing.join(editors, USER_DAY, "left")
         .join(features, USER_DAY_MODEL, "left")
         .select(
-            *USER_DAY_MODEL,
-            "product_key",
+            *carried,
             "editor_key",
             "feature_key",
             ide_or_one.alias("ide_share"),
@@ -137,3 +134,14 @@ def allocate(T, since=None, until=None, user_key: str | None = None) -> DataFram
             attribution_quality(ide, feature).alias("attribution_quality"),
         )
     )
+
+
+def billing_rows(T, since=None, until=None, user_key: str | None = None) -> DataFrame:
+    return between(T.fact_premium_requests, since, until, user_key).select(
+        *USER_DAY_MODEL, "product_key", *EXACT_MEASURES
+    )
+
+
+def allocate(T, since=None, until=None, user_key: str | None = None) -> DataFrame:
+    """Allocated rows by key; labels are attached by the views."""
+    return fan_out(billing_rows(T, since, until, user_key), T, since, until, user_key)

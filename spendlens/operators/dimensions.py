@@ -56,6 +56,12 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _spellings(df: DataFrame, key: str, *columns: str) -> DataFrame:
+    """Distinct rows of a key and its attributes. Duplicates are hashed away first, because taking
+    the least or greatest text of raw rows would sort them all."""
+    return df.filter(C.present(key)).select(key, *columns).distinct()
+
+
 # ------------------------------------------------------------------ calendar
 
 
@@ -97,7 +103,7 @@ def fill_dim_date(staged: dict[str, DataFrame], existing: DataFrame) -> DataFram
 def merge_dim_org(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
     seen = _union([df.select("org_key", "org_login") for df in staged.values()])
     candidates = (
-        seen.filter(C.present("org_key"))
+        _spellings(seen, "org_key", "org_login")
         .groupBy("org_key")
         .agg(F.min("org_login").alias("org_login"))
     )
@@ -106,8 +112,7 @@ def merge_dim_org(staged: dict[str, DataFrame], existing: DataFrame) -> DataFram
 
 def merge_dim_editor(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
     candidates = (
-        staged["user_ide"]
-        .filter(C.present("editor_key"))
+        _spellings(staged["user_ide"], "editor_key", "ide", "ide_family")
         .groupBy("editor_key")
         .agg(F.min("ide").alias("editor_name"), F.max("ide_family").alias("editor_family"))
     )
@@ -116,8 +121,7 @@ def merge_dim_editor(staged: dict[str, DataFrame], existing: DataFrame) -> DataF
 
 def merge_dim_feature(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
     candidates = (
-        staged["user_model_feature"]
-        .filter(C.present("feature_key"))
+        _spellings(staged["user_model_feature"], "feature_key", "feature")
         .groupBy("feature_key")
         .agg(F.min("feature").alias("feature"))
         .withColumn("feature_group", C.feature_group("feature_key"))
@@ -131,7 +135,7 @@ def merge_dim_model(staged: dict[str, DataFrame], existing: DataFrame) -> DataFr
         [staged[t].select("model_key", "model_name") for t in ("user_model_feature", "premium_requests")]
     )
     candidates = (
-        seen.filter(C.present("model_key"))
+        _spellings(seen, "model_key", "model_name")
         .groupBy("model_key")
         .agg(F.min("model_name").alias("model_name"))
         .withColumn("is_custom_model", F.lit(False))
@@ -142,8 +146,7 @@ def merge_dim_model(staged: dict[str, DataFrame], existing: DataFrame) -> DataFr
 def merge_dim_product(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
     """(product, sku) pairs; a blank product gets no row, so its billing stays orphaned."""
     candidates = (
-        staged["premium_requests"]
-        .filter(C.present("product_key"))
+        _spellings(staged["premium_requests"], "product_key", "product", "sku", "unit_type")
         .groupBy("product_key")
         .agg(
             F.min("product").alias("product"),
@@ -157,8 +160,8 @@ def merge_dim_product(staged: dict[str, DataFrame], existing: DataFrame) -> Data
 def merge_dim_team(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
     """Teams of named organisations; those are all in dim_org, as it is fed by the same rows."""
     candidates = (
-        staged["user_teams"]
-        .filter(F.col("team_id").isNotNull() & C.present("org_key"))
+        _spellings(staged["user_teams"], "org_key", "team_key", "team_id", "team_slug")
+        .filter("team_id is not null")
         .groupBy("team_key", "team_id", "org_key")
         .agg(F.max("team_slug").alias("team_slug"))
     )
@@ -219,7 +222,7 @@ def missing_users(staged: dict[str, DataFrame], known: DataFrame) -> DataFrame:
         ]
     )
     candidates = (
-        seen.filter(C.present("user_key"))
+        _spellings(seen, "user_key", "user_login", "user_id")
         .groupBy("user_key")
         .agg(
             F.min("user_login").alias("user_login"),

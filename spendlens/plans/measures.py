@@ -111,8 +111,9 @@ def _daily(T, by, since, until) -> DataFrame:
     return rows.groupBy(*by, "usage_date").agg(_sum("net_amount").alias("spend"))
 
 
-def _last(fact: DataFrame, since, until) -> Column:
-    key = between(fact, since, until).agg(
+def _last(T, since, until) -> Column:
+    """The last data day, from the billing fact's partition column."""
+    key = between(T.fact_premium_requests, since, until).agg(
         F.to_date(F.max("date_key").cast("string"), "yyyyMMdd").alias("last")
     )
     return key.scalar()
@@ -122,29 +123,31 @@ def spend_over_time(T, by=(), since=None, until=None) -> DataFrame:
     """Per day without gaps, from a group's first day to the last data day: spend, month to date,
     the day a month before, trailing 30 days, and the monthly run rate.
 
-    Windows run over one row per day and group, never over facts.
+    Facts are folded to one row per day and group. Each such row is then stretched to the day before
+    the next one, so the days in between need no calendar join, and all windows share one shuffle.
     """
-    daily = _daily(T, by, since, until)
-    first = daily.groupBy(*by).agg(F.min("usage_date").alias("first"))
-    last = _last(T.fact_premium_requests, since, until)
-    spine = first.filter("first is not null").select(
-        *by, F.explode(F.sequence(F.col("first"), last)).alias("usage_date")
+    group = Window.partitionBy(*by).orderBy("usage_date")
+    end = F.coalesce(F.date_sub(F.lead("usage_date").over(group), 1), _last(T, since, until))
+    days = _daily(T, by, since, until).withColumn("_end", end).select(
+        *by, "usage_date", "spend", F.explode(F.sequence("usage_date", "_end")).alias("_day")
     )
-    keys = [*by, "usage_date"]
-    series = _null_safe_left(spine, daily, keys).withColumn(
-        "spend", F.coalesce("spend", F.lit(0).cast(C.TOTAL))
+    # booked is NULL on days without billing; spend is zero there
+    booked = F.when(F.col("_day") == F.col("usage_date"), F.col("spend"))
+    series = days.select(*by, F.col("_day").alias("usage_date"), booked.alias("booked")).withColumn(
+        "spend", F.coalesce("booked", F.lit(0).cast(C.TOTAL))
     )
-    month_ago = daily.withColumnsRenamed({"usage_date": "_then", "spend": "spend_last_month"})
-    by_day = Window.partitionBy(*by).orderBy("usage_date")
+    back = F.datediff("usage_date", F.add_months("usage_date", -1))
+    month_ago = F.lit(None)
+    for n in (28, 29, 30, 31):
+        month_ago = F.when(back == n, F.lag("booked", n).over(group)).otherwise(month_ago)
     in_month = Window.partitionBy(*by, F.date_format("usage_date", "yyyy-MM")).orderBy("usage_date")
-    series = series.withColumn("_then", F.add_months("usage_date", -1))
-    series = _null_safe_left(series, month_ago, [*by, "_then"]).drop("_then")
-    rolling = F.sum("spend").over(by_day.rowsBetween(-(V.ROLLING_DAYS - 1), Window.currentRow))
+    rolling = F.sum("spend").over(group.rowsBetween(-(V.ROLLING_DAYS - 1), Window.currentRow))
     return series.select(
-        *keys,
-        F.col("spend").cast(C.TOTAL).alias("spend"),
+        *by,
+        "usage_date",
+        "spend",
         F.sum("spend").over(in_month).cast(C.TOTAL).alias("spend_mtd"),
-        F.col("spend_last_month").cast(C.TOTAL).alias("spend_last_month"),
+        month_ago.cast(C.TOTAL).alias("spend_last_month"),
         rolling.cast(C.TOTAL).alias("spend_rolling_30d"),
     ).withColumn(
         "run_rate_monthly",
@@ -152,28 +155,22 @@ def spend_over_time(T, by=(), since=None, until=None) -> DataFrame:
     )
 
 
-def _null_safe_left(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys where a missing label equals a missing label."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = reduce(
-        lambda a, b: a & b, (left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys)
-    )
-    return left.join(renamed, on, "left").drop(*(f"_r_{k}" for k in keys))
-
-
 def month_over_month(T, by=(), since=None, until=None) -> DataFrame:
     """Per month without gaps: spend, spend of the month before, and the relative change."""
     rows = exact_rows(T, {*by, "year_month"}, since, until)
     monthly = rows.groupBy(*by, "year_month").agg(_sum("net_amount").alias("spend"))
-    start = F.to_date(F.concat("year_month", F.lit("-01")))
-    first = monthly.groupBy(*by).agg(F.min(start).alias("first"))
-    last = _last(T.fact_premium_requests, since, until)
-    spine = first.filter("first is not null").select(
+    monthly = monthly.withColumn("_start", F.to_date(F.concat("year_month", F.lit("-01"))))
+    group = Window.partitionBy(*by).orderBy("_start")
+    end = F.coalesce(F.add_months(F.lead("_start").over(group), -1), F.trunc(_last(T, since, until), "MM"))
+    step = F.expr("interval 1 month")
+    months = monthly.withColumn("_end", end).select(
+        *by, "_start", "spend", F.explode(F.sequence("_start", "_end", step)).alias("_month")
+    )
+    spend = F.when(F.col("_month") == F.col("_start"), F.col("spend"))
+    series = months.select(
         *by,
-        F.explode(F.sequence(F.col("first"), last, F.expr("interval 1 month"))).alias("_month"),
-    ).select(*by, F.date_format("_month", "yyyy-MM").alias("year_month"))
-    series = _null_safe_left(spine, monthly, [*by, "year_month"]).withColumn(
-        "spend", F.coalesce("spend", F.lit(0).cast(C.TOTAL))
+        F.date_format("_month", "yyyy-MM").alias("year_month"),
+        F.coalesce(spend, F.lit(0).cast(C.TOTAL)).alias("spend"),
     )
     before = F.lag("spend").over(Window.partitionBy(*by).orderBy("year_month"))
     return series.withColumn("spend_last_month", before).withColumn(

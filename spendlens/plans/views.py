@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from spendlens import fixed_values as V
 from spendlens.functions import columns as C
-from spendlens.operators.allocate import allocate, between
+from spendlens.operators.allocate import between, billing_rows, fan_out
 from spendlens.schemas import DIMENSION_KEYS
 
 # dimension -> report column -> dimension column
@@ -60,10 +60,14 @@ ALLOCATED_COLUMNS = [
 
 
 def allocated_rows(T, columns, since=None, until=None, user_key: str | None = None) -> DataFrame:
-    """Allocated rows with the named labels; missing editors and features are labelled as such."""
-    rows = allocate(T, since, until, user_key)
+    """Allocated rows with the named labels; missing editors and features are labelled as such.
+
+    Labels of the billing side are joined before the rows are fanned out, while they are few.
+    """
     optional = {"editor_name", "editor_family", "feature", "feature_group"}
-    rows = attach(rows, T, [c for c in columns if c not in optional])
+    billing = billing_rows(T, since, until, user_key)
+    billing = attach(billing, T, [c for c in columns if c not in optional])
+    rows = fan_out(billing, T, since, until, user_key)
     rows = attach(rows, T, [c for c in columns if c in optional], "left")
     for name in optional.intersection(columns):
         text = V.UNATTRIBUTED if name in ("editor_name", "feature") else V.UNATTRIBUTED_LABEL

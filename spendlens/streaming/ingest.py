@@ -13,6 +13,7 @@ from spendlens import fixed_values as V
 from spendlens.operators.staging import DATASETS
 from spendlens.plans.load import load_all
 from spendlens.schemas import RAW
+from spendlens.session import broadcast_if_small
 from spendlens.sources.raw import billing_records
 from spendlens.sources.reports import parse_records
 from spendlens.sources.tables import Warehouse
@@ -36,10 +37,12 @@ def read_archive_stream(spark: SparkSession, root: str, files_per_batch: int | N
 
 
 def _latest(lines: DataFrame, keys: list[str]) -> DataFrame:
-    """Lines of the latest run of each file; the newest stamps are found from folded keys."""
+    """Lines of the latest run of each file. The batch's files are told apart first, so the list of
+    newest ones is short and, where a count proves it, broadcast."""
+    places = lines.select("dt", "org", "stamp").distinct()
     newest = F.struct(*(c for c in ("dt", "stamp") if c not in keys))
-    newest = lines.groupBy(*keys).agg(F.max(newest).alias("n")).select(*keys, "n.*")
-    return lines.join(newest, ["dt", "org", "stamp"], "left_semi")
+    newest = places.groupBy(*keys).agg(F.max(newest).alias("n")).select(*keys, "n.*")
+    return lines.join(broadcast_if_small(newest), ["dt", "org", "stamp"], "left_semi")
 
 
 def datasets_from_lines(lines: DataFrame) -> dict[str, DataFrame]:
