@@ -139,12 +139,12 @@ def load_all(
         wh.write_run(run_id, table, source)
 
     write_all(lambda t=table: load_fact(t) for table in facts.LOADS)
-    rebuilt = _rebuild_shares(wh, run_id, stored, staged, loaded_at, basis, fallback)
+    shared = _rebuild_shares(wh, run_id, stored, staged, loaded_at, basis, fallback)
 
     publish = [*DIMENSIONS, *facts.LOADS]
     write_all(lambda t=table: wh.publish(run_id, t) for table in publish)
-    if rebuilt:
-        wh.replace_periods(run_id, "fact_user_ide_share", *rebuilt)
+    if shared is not None:
+        wh.publish_periods(run_id, "fact_user_ide_share", shared)
     return counts
 
 
@@ -157,12 +157,11 @@ _SOURCE = {
 }
 
 
-def _rebuild_shares(wh, run_id, stored: Tables, staged, loaded_at, basis, fallback):
-    """Shares of the partitions from the first to the last staged editor day, and those partitions.
-
-    The stored shares outside the staged days keep their rows. Without staged editor activity all
-    stored shares stay as they are.
-    """
+def _rebuild_shares(
+    wh: Warehouse, run_id: str, stored: Tables, staged, loaded_at: str, basis, fallback
+) -> list[int] | None:
+    """Write this run's shares from the first to the last staged editor day; return the partitions
+    that they replace. Without staged editor activity the stored shares stay as they are."""
     span = staged["user_ide"].agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
     if span.lo is None:
         return None
@@ -170,14 +169,17 @@ def _rebuild_shares(wh, run_id, stored: Tables, staged, loaded_at, basis, fallba
     in_span = F.col("date_key").between(span.lo, span.hi)
     kept, periods = None, []
     if wh.exists(wh.path("fact_user_ide_day")):
-        fresh = wh.periods(editors)
-        old = stored.fact_user_ide_day.filter(in_span & ~wh.period().isin(fresh))
+        old = wh.not_in_periods(stored.fact_user_ide_day, wh.periods(editors)).filter(in_span)
         editors = editors.unionByName(old)
         periods = wh.periods(stored.fact_user_ide_share.filter(in_span))
+        periods = sorted({*periods, *wh.periods(editors.filter(in_span))})
         kept = wh.in_periods(stored.fact_user_ide_share, periods).filter(~in_span)
     shares = allocate.ide_share(editors.filter(in_span), basis=basis, fallback=fallback)
     shares = facts.stamp(shares, "fact_user_ide_share", loaded_at)
-    return (shares if kept is None else kept.select(*shares.columns).unionByName(shares)), periods
+    if kept is not None:
+        shares = kept.select(*shares.columns).unionByName(shares)
+    wh.write_run(run_id, "fact_user_ide_share", shares)
+    return periods
 
 
 def rebuild_shares(wh: Warehouse, since, until, run_id: str, loaded_at: str | None = None,

@@ -98,8 +98,10 @@ class Warehouse:
 
     def in_periods(self, df: DataFrame, periods: list[int]) -> DataFrame:
         """Rows of these partitions of a stored fact; the others are not read."""
-        on = self.partition if self.partition in df.columns else self.period()
-        return df.filter((F.col(on) if isinstance(on, str) else on).isin(periods))
+        return df.filter(F.col(self.partition).isin(periods))
+
+    def not_in_periods(self, df: DataFrame, periods: list[int]) -> DataFrame:
+        return df.filter(~F.col(self.partition).isin(periods))
 
     # ------------------------------------------------------------------ reading
 
@@ -152,9 +154,8 @@ class Warehouse:
         else:
             staged.write.mode("overwrite").parquet(self.path(table))
 
-    def replace_periods(self, run_id: str, table: str, df: DataFrame, periods: list[int]) -> None:
-        """Make `df` the content of these partitions; those it leaves empty are dropped."""
-        self.write_run(run_id, table, df)
+    def publish_periods(self, run_id: str, table: str, periods: list[int]) -> None:
+        """Publish a run's fact; those of the periods that it leaves empty are dropped."""
         kept = set(self.periods(self.read_run(run_id, table)))
         if kept:
             self.publish(run_id, table)
@@ -162,6 +163,11 @@ class Warehouse:
             if period not in kept:
                 self._drop(f"{self.path(table)}/{self.partition}={period}")
 
+    def replace_periods(self, run_id: str, table: str, df: DataFrame, periods: list[int]) -> None:
+        """Make `df` the content of these partitions of a stored fact."""
+        self.write_run(run_id, table, df)
+        self.publish_periods(run_id, table, periods)
+
     def _drop(self, path: str) -> None:
         fs, jpath = self._file_system(path)
         if fs.exists(jpath):
