@@ -349,7 +349,7 @@ FROM (SELECT model FROM mf UNION SELECT model FROM prem)""")
 oracle("dim_product", """
 SELECT DISTINCT length(product) || ':' || product || ':' || sku AS product_key, product, sku, 'request' AS unit_type FROM prem""")
 oracle("dim_user", """
-SELECT uk AS user_key, user_login, user_id AS github_user_id, team_name, cost_center, plan_type,
+SELECT uk AS user_key, user_login, user_id AS external_user_id, team_name, cost_center, plan_type,
        strftime(last_at, '%Y-%m-%d %H:%M:%S') AS last_activity_at, editor AS last_activity_editor, true AS is_active
 FROM dim_user""".replace("user_id AS", "nullif(user_id, 0) AS"))
 oracle("dim_team", """

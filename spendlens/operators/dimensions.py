@@ -199,7 +199,7 @@ def upsert_dim_user_from_seats(staged: dict[str, DataFrame], existing: DataFrame
         "user_sk",
         "user_key",
         F.coalesce("user_login", "_login").alias("user_login"),
-        F.coalesce("_user_id", "github_user_id").alias("github_user_id"),
+        F.coalesce("_user_id", "external_user_id").alias("external_user_id"),
         F.coalesce("_team_name", "team_name").alias("team_name"),
         "cost_center",
         F.coalesce("_plan_type", "plan_type").alias("plan_type"),
@@ -226,7 +226,7 @@ def missing_users(staged: dict[str, DataFrame], known: DataFrame) -> DataFrame:
         .groupBy("user_key")
         .agg(
             F.min("user_login").alias("user_login"),
-            F.max(F.nullif("user_id", F.lit(0))).alias("github_user_id"),
+            F.max(F.nullif("user_id", F.lit(0))).alias("external_user_id"),
         )
         .withColumn("is_active", F.lit(True))
     )

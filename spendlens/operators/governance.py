@@ -79,7 +79,7 @@ def erase_user(dim_user: DataFrame, login: str) -> DataFrame:
     alias = F.concat(F.lit("erased-"), F.col("user_sk").cast("string"))
     blank = {
         name: F.when(~mine, F.col(name))
-        for name in ("github_user_id", "team_name", "cost_center", "last_activity_editor")
+        for name in ("external_user_id", "team_name", "cost_center", "last_activity_editor")
     }
     return dim_user.withColumns(
         {
@@ -111,6 +111,7 @@ def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -
         _delete(wh, run_id, table, T[table], mine)
     wh.write_run(run_id, "dim_user", erase_user(T.dim_user, login))
     wh.publish(run_id, "dim_user")
+    wh.end_run(run_id)
     return result
 
 
@@ -149,6 +150,7 @@ def purge(
     old = F.col("date_key") < C.to_date_key(cutoff_date(as_of, retain_days))
     for table in FACTS if include_billing else ACTIVITY_FACTS:
         _delete(wh, run_id, table, T[table], old)
+    wh.end_run(run_id)
     return result
 
 

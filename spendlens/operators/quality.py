@@ -124,63 +124,74 @@ def _objects(lines: DataFrame, kind: str) -> DataFrame:
     return records.filter("v is not null")
 
 
-def _children(records: DataFrame, name: str) -> DataFrame:
-    entries = F.variant_get("v", f"$.{name}", "array<variant>")
-    return records.select(F.explode(entries).alias("v")).filter("v is not null")
-
-
-def _has(name: str) -> Column:
+def _has(entry, name: str) -> Column:
     """Whether the object carries the field, be it null."""
-    return F.variant_get("v", f"$.{name}", "variant").isNotNull()
+    return F.variant_get(entry, f"$.{name}", "variant").isNotNull()
 
 
-def _presence(records: DataFrame, record_type: str) -> DataFrame:
-    fields = V.EXPECTED_FIELDS[record_type]
-    counted = records.agg(
-        F.count("*").alias("records"), *(F.count_if(_has(f)).alias(f"p_{f}") for f in fields)
-    )
-    lines = F.array(
-        *(F.struct(F.lit(f).alias("field"), F.col(f"p_{f}").alias("present")) for f in fields)
-    )
-    return counted.select(
-        F.lit(record_type).alias("record_type"), "records", F.inline(lines)
-    ).withColumn("missing", F.col("records") - F.col("present"))
+def _entries(name: str) -> Column:
+    """The objects of a nested array; none when it is absent."""
+    entries = F.variant_get("v", f"$.{name}", "array<variant>")
+    return F.coalesce(F.filter(entries, lambda e: e.isNotNull()), F.array().cast("array<variant>"))
 
 
 def payload_contract(lines: DataFrame, kind: str) -> DataFrame:
-    """Per record type and expected field: how many of all landed records carry it."""
+    """Per record type and expected field: how many of all landed records carry it. One pass."""
     top, children = _CONTRACT[kind]
-    records = _objects(lines, kind)
-    result = _presence(records, top)
-    for name, record_type in children.items():
-        result = result.unionByName(_presence(_children(records, name), record_type))
-    return result
+    counts, rows = [], []
+
+    def add(record_type: str, records: Column, present) -> None:
+        counts.append(F.coalesce(records, F.lit(0)).cast("bigint").alias(f"n_{record_type}"))
+        for field in V.EXPECTED_FIELDS[record_type]:
+            name = f"p_{record_type}_{field}"
+            counts.append(F.coalesce(present(field), F.lit(0)).cast("bigint").alias(name))
+            rows.append(
+                F.struct(
+                    F.lit(record_type).alias("record_type"),
+                    F.lit(field).alias("field"),
+                    F.col(f"`n_{record_type}`").alias("records"),
+                    F.col(f"`{name}`").alias("present"),
+                )
+            )
+
+    add(top, F.count("*"), lambda field: F.count_if(_has(F.col("v"), field)))
+    for array, record_type in children.items():
+        def present(field, array=array):
+            return F.sum(F.size(F.filter(_entries(array), lambda e: _has(e, field))))
+
+        add(record_type, F.sum(F.size(_entries(array))), present)
+    totals = _objects(lines, kind).agg(*counts)
+    return totals.select(F.inline(F.array(*rows))).withColumn(
+        "missing", F.col("records") - F.col("present")
+    )
 
 
 def observed_values(lines: DataFrame) -> DataFrame:
     """dimension, value, entries: which editors, models and features the activity names."""
-    records = _objects(lines, "user_activity")
 
-    def values(array: str, field: str) -> DataFrame:
-        return _children(records, array).select(
-            F.lit(field).alias("dimension"),
-            F.coalesce(F.variant_get("v", f"$.{field}", "string"), F.lit("?")).alias("value"),
+    def values(array: str, field: str) -> Column:
+        return F.transform(
+            _entries(array),
+            lambda e: F.struct(
+                F.lit(field).alias("dimension"),
+                F.coalesce(F.variant_get(e, f"$.{field}", "string"), F.lit("?")).alias("value"),
+            ),
         )
 
-    return (
-        values("totals_by_ide", "ide")
-        .unionByName(values("totals_by_model_feature", "model"))
-        .unionByName(values("totals_by_model_feature", "feature"))
-        .groupBy("dimension", "value")
-        .agg(F.count("*").alias("entries"))
+    found = F.concat(
+        values("totals_by_ide", "ide"),
+        values("totals_by_model_feature", "model"),
+        values("totals_by_model_feature", "feature"),
     )
+    records = _objects(lines, "user_activity").select(F.explode(found).alias("f"))
+    return records.select("f.*").groupBy("dimension", "value").agg(F.count("*").alias("entries"))
 
 
 def cross_product_published(lines: DataFrame) -> DataFrame:
     """Whether any editor entry also names a model, which would make the split exact."""
-    entries = _children(_objects(lines, "user_activity"), "totals_by_ide")
-    return entries.agg(
-        F.coalesce(F.bool_or(_has("ide") & _has("model")), F.lit(False)).alias("cross_product")
+    crossed = F.exists(_entries("totals_by_ide"), lambda e: _has(e, "ide") & _has(e, "model"))
+    return _objects(lines, "user_activity").agg(
+        F.coalesce(F.bool_or(crossed), F.lit(False)).alias("cross_product")
     )
 
 

@@ -44,12 +44,12 @@ def backfill_window(
     until = until or yesterday
     since = since or until - timedelta(days=default_days)
     if since > until:
-        raise ValueError("'since' must be on or before 'until'.")
+        raise ValueError(f"The window is reversed: {since} is after {until}.")
     if until > yesterday:
-        raise ValueError("'until' cannot be later than yesterday; today's data is not final.")
+        raise ValueError(f"The window must end by {yesterday}, the last complete day.")
     span = (until - since).days + 1
     if span > cap:
-        raise ValueError(f"{span} days were asked for, above the cap of {cap}. Split the range.")
+        raise ValueError(f"The window has {span} days; load at most {cap} at a time.")
     return since, until
 
 
@@ -69,14 +69,27 @@ def in_window(datasets: dict[str, DataFrame], since: date, until: date) -> dict[
 
 
 def datasets_from_raw(
-    spark: SparkSession, root: str, since: date | None = None, until: date | None = None, flat=False
+    spark: SparkSession,
+    root: str,
+    since: date | None = None,
+    until: date | None = None,
+    flat: bool = False,
+    scratch: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Replay: the archive's window through the flatteners, latest run of each file."""
+    """Replay: the archive's window through the flatteners, latest run of each file.
+
+    Three staging tables come from the activity records; with a scratch folder these are parsed
+    once and kept there in columns instead of being parsed three times.
+    """
     records = {
         kind: raw.read_records(spark, root, kind, None if kind == "seats" else since, until, flat)
         for kind in ("user_activity", "user_teams", "seats")
     }
     records["premium_requests"] = raw.read_billing_archive(spark, root, since, until, flat)
+    if scratch:
+        parsed = records["user_activity"]
+        parsed.write.mode("overwrite").parquet(scratch)
+        records["user_activity"] = spark.read.schema(parsed.schema).parquet(scratch)
     return {name: d.flatten(records[d.raw]) for name, d in DATASETS.items()}
 
 
@@ -145,6 +158,7 @@ def load_all(
     write_all(lambda t=table: wh.publish(run_id, t) for table in publish)
     if shared is not None:
         wh.publish_periods(run_id, "fact_user_ide_share", shared)
+    wh.end_run(run_id)
     return counts
 
 
@@ -197,6 +211,7 @@ def rebuild_shares(wh: Warehouse, since, until, run_id: str, loaded_at: str | No
     wh.replace_periods(
         run_id, "fact_user_ide_share", kept.select(*shares.columns).unionByName(shares), periods
     )
+    wh.end_run(run_id)
 
 
 def reload(wh: Warehouse, datasets, until: date, trailing_days=V.RELOAD_TRAILING_DAYS, **options):
@@ -225,9 +240,9 @@ def run_ingestion(
 
     log(V.RUNNING)
     try:
-        counts = load_all(
-            wh, datasets_from_raw(wh.spark, raw_root, since, until, flat), strict, run_id=run_id
-        )
+        scratch = wh.run_path(run_id, "records")
+        datasets = datasets_from_raw(wh.spark, raw_root, since, until, flat, scratch)
+        counts = load_all(wh, datasets, strict, run_id=run_id)
     except Exception as exc:
         log(V.FAILED, message=runs.safe_error(exc))
         raise

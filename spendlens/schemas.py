@@ -118,7 +118,7 @@ DIMENSIONS = {
     ),
     "dim_org": _ddl("org_sk bigint", "org_key string", "org_login string"),
     "dim_user": _ddl(
-        "user_sk bigint", "user_key string", "user_login string", "github_user_id bigint",
+        "user_sk bigint", "user_key string", "user_login string", "external_user_id bigint",
         "team_name string", "cost_center string", "plan_type string",
         "seat_created_at timestamp_ntz", "last_activity_at timestamp_ntz",
         "last_activity_editor string", "is_active boolean",

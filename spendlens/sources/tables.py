@@ -4,8 +4,8 @@ Days suit volumes where one day fills files; months keep thin histories from fal
 thousands of tiny files. Either way rows keep their `date_key`, and slices prune partitions.
 
 A load first writes its result to a run folder, and only a checked result is copied over the
-touched periods. No path is read and overwritten in the same job, and an interrupted publish can be
-repeated from the run folder.
+touched periods. No path is read and overwritten in the same job; a run that fails leaves its folder
+behind and the stored tables as they were, and loading again is safe at any point.
 """
 
 from __future__ import annotations
@@ -126,12 +126,13 @@ class Warehouse:
 
     # ------------------------------------------------------------------ writing
 
-    def _write_facts(self, df: DataFrame, path: str) -> None:
-        """Persist a fact: the partitions in `df` are replaced, all others stay as they are."""
+    def _write_facts(self, df: DataFrame, path: str, replace: str) -> None:
+        """Persist a fact. "dynamic" replaces the partitions in `df` and keeps all others; "static"
+        leaves nothing else, so a repeated run finds no remains of its first attempt."""
         (
             df.sortWithinPartitions(self.partition, "date_key", "user_key")
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", replace)
             .partitionBy(self.partition)
             .parquet(path)
         )
@@ -142,7 +143,7 @@ class Warehouse:
         path = self.run_path(run_id, table)
         if table in FACTS:
             rows = df.select(*TABLES[table].names).withColumn(self.partition, self.period())
-            self._write_facts(rows.repartitionByRange(*FACT_KEYS[table]), path)
+            self._write_facts(rows.repartitionByRange(*FACT_KEYS[table]), path, "static")
         else:
             df.write.mode("overwrite").parquet(path)
 
@@ -150,7 +151,7 @@ class Warehouse:
         """Copy a run's table over the stored one: whole dimensions, touched periods of facts."""
         staged = self.read_run(run_id, table)
         if table in FACTS:
-            self._write_facts(staged, self.path(table))
+            self._write_facts(staged, self.path(table), "dynamic")
         else:
             staged.write.mode("overwrite").parquet(self.path(table))
 
@@ -168,6 +169,10 @@ class Warehouse:
         self.write_run(run_id, table, df)
         self.publish_periods(run_id, table, periods)
 
+    def end_run(self, run_id: str) -> None:
+        """Forget the intermediate results of a published run."""
+        self._drop(f"{self.root}/_runs/{run_id}")
+
     def _drop(self, path: str) -> None:
         fs, jpath = self._file_system(path)
         if fs.exists(jpath):

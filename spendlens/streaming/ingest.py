@@ -69,18 +69,23 @@ def stream_ingest(
     warehouse_root: str,
     checkpoint: str,
     files_per_batch: int | None = None,
+    period: str = "day",
     **load_options,
 ):
     """Start a query that loads everything that has landed and then stops.
 
     A batch may hold activity without seats, so reconciliation only warns here.
     """
-    wh = Warehouse(spark, warehouse_root)
+    wh = Warehouse(spark, warehouse_root, period)
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        load_all(
-            wh, datasets_from_lines(batch), strict=False, run_id=f"batch-{batch_id}", **load_options
-        )
+        # the files are read once, and the load plans on the batch session with its adaptive rules
+        run_id = f"batch-{batch_id}"
+        landed = wh.run_path(run_id, "lines")
+        batch.write.mode("overwrite").partitionBy("dataset").parquet(landed)
+        schema = "dt string, org string, stamp string, line string, dataset string"
+        lines = spark.read.schema(schema).parquet(landed)
+        load_all(wh, datasets_from_lines(lines), strict=False, run_id=run_id, **load_options)
 
     return (
         read_archive_stream(spark, raw_root, files_per_batch)

@@ -60,7 +60,7 @@ def test_load_life_cycle(spark, tmp_path, frames, rows, period):
     shares = rows(T.fact_user_ide_share, "date_key", "editor_key", F.col("share").cast("string"))
     assert shares == [(20260801, "vim", "1.00000000"), (20260802, "emacs", "0.75000000"), (20260802, "vim", "0.25000000")]
     # blanks did not erase what was known, numbers did not move
-    assert rows(T.dim_user, "user_sk", "user_key", "github_user_id", "team_name") == [
+    assert rows(T.dim_user, "user_sk", "user_key", "external_user_id", "team_name") == [
         (1, "ann", 1, "Platform"), (2, "bob", 2, None)]
     assert T.dim_date.count() == 61  # August and September, without a gap
 
@@ -100,7 +100,7 @@ def test_load_life_cycle(spark, tmp_path, frames, rows, period):
     assert [T[t].filter("user_key = 'ann'").count() for t in FACTS] == [0] * len(FACTS)
     assert rows(T.fact_premium_requests, "user_key") == [("bob",)]
     ann = T.dim_user.filter("user_sk = 1").first()
-    assert (ann.user_login, ann.user_key, ann.github_user_id, ann.team_name, ann.is_active) == (
+    assert (ann.user_login, ann.user_key, ann.external_user_id, ann.team_name, ann.is_active) == (
         "erased-1", "erased-1", None, None, False)
     assert ann.plan_type == "business"
 
