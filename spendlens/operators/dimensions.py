@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,14 @@ from spendlens.functions import columns as C
 
 _BUCKETS = 1024
 
+# How the rows that are new to a dimension are kept before they are numbered. Numbering reads them
+# twice; a load writes them down first, so the staging tables behind them are scanned once.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def as_is(df: DataFrame) -> DataFrame:
+    return df
+
 
 # ------------------------------------------------------------------ shared steps
 
@@ -45,9 +54,11 @@ def assign_keys(new_rows: DataFrame, existing: DataFrame, natural: str, surrogat
     )
 
 
-def grow(existing: DataFrame, candidates: DataFrame, key: str, surrogate: str) -> DataFrame:
+def grow(
+    existing: DataFrame, candidates: DataFrame, key: str, surrogate: str, keep: Keep = as_is
+) -> DataFrame:
     """The dimension with its missing rows appended and numbered."""
-    new_rows = insert_missing(existing, candidates, key)
+    new_rows = keep(insert_missing(existing, candidates, key))
     keyed = assign_keys(new_rows, existing, key, surrogate)
     return existing.unionByName(keyed.select(*existing.columns))
 
@@ -65,7 +76,7 @@ def _spellings(df: DataFrame, key: str, *columns: str) -> DataFrame:
 # ------------------------------------------------------------------ calendar
 
 
-def fill_dim_date(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def fill_dim_date(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     """Whole months from the first to the last known day, without gaps after disjoint backfills."""
     sources = [
         staged["user_day"].select(F.col("activity_date").alias("d")),
@@ -94,42 +105,42 @@ def fill_dim_date(staged: dict[str, DataFrame], existing: DataFrame) -> DataFram
         (F.weekday("date") + 1).alias("day_of_week"),
         (F.weekday("date") >= 5).alias("is_weekend"),
     )
-    return existing.unionByName(insert_missing(existing, calendar, "date_key"))
+    return existing.unionByName(keep(insert_missing(existing, calendar, "date_key")))
 
 
 # ------------------------------------------------------------------ small dimensions
 
 
-def merge_dim_org(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def merge_dim_org(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     seen = _union([df.select("org_key", "org_login") for df in staged.values()])
     candidates = (
         _spellings(seen, "org_key", "org_login")
         .groupBy("org_key")
         .agg(F.min("org_login").alias("org_login"))
     )
-    return grow(existing, candidates, "org_key", "org_sk")
+    return grow(existing, candidates, "org_key", "org_sk", keep)
 
 
-def merge_dim_editor(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def merge_dim_editor(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     candidates = (
         _spellings(staged["user_ide"], "editor_key", "ide", "ide_family")
         .groupBy("editor_key")
         .agg(F.min("ide").alias("editor_name"), F.max("ide_family").alias("editor_family"))
     )
-    return grow(existing, candidates, "editor_key", "editor_sk")
+    return grow(existing, candidates, "editor_key", "editor_sk", keep)
 
 
-def merge_dim_feature(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def merge_dim_feature(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     candidates = (
         _spellings(staged["user_model_feature"], "feature_key", "feature")
         .groupBy("feature_key")
         .agg(F.min("feature").alias("feature"))
         .withColumn("feature_group", C.feature_group("feature_key"))
     )
-    return grow(existing, candidates, "feature_key", "feature_sk")
+    return grow(existing, candidates, "feature_key", "feature_sk", keep)
 
 
-def merge_dim_model(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def merge_dim_model(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     """Models seen in activity or billing."""
     seen = _union(
         [staged[t].select("model_key", "model_name") for t in ("user_model_feature", "premium_requests")]
@@ -140,10 +151,10 @@ def merge_dim_model(staged: dict[str, DataFrame], existing: DataFrame) -> DataFr
         .agg(F.min("model_name").alias("model_name"))
         .withColumn("is_custom_model", F.lit(False))
     )
-    return grow(existing, candidates, "model_key", "model_sk")
+    return grow(existing, candidates, "model_key", "model_sk", keep)
 
 
-def merge_dim_product(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def merge_dim_product(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     """(product, sku) pairs; a blank product gets no row, so its billing stays orphaned."""
     candidates = (
         _spellings(staged["premium_requests"], "product_key", "product", "sku", "unit_type")
@@ -154,10 +165,10 @@ def merge_dim_product(staged: dict[str, DataFrame], existing: DataFrame) -> Data
             F.max("unit_type").alias("unit_type"),
         )
     )
-    return grow(existing, candidates, "product_key", "product_sk")
+    return grow(existing, candidates, "product_key", "product_sk", keep)
 
 
-def merge_dim_team(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def merge_dim_team(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     """Teams of named organisations; those are all in dim_org, as it is fed by the same rows."""
     candidates = (
         _spellings(staged["user_teams"], "org_key", "team_key", "team_id", "team_slug")
@@ -165,7 +176,7 @@ def merge_dim_team(staged: dict[str, DataFrame], existing: DataFrame) -> DataFra
         .groupBy("team_key", "team_id", "org_key")
         .agg(F.max("team_slug").alias("team_slug"))
     )
-    return grow(existing, candidates, "team_key", "team_sk")
+    return grow(existing, candidates, "team_key", "team_sk", keep)
 
 
 # ------------------------------------------------------------------ users
@@ -233,10 +244,12 @@ def missing_users(staged: dict[str, DataFrame], known: DataFrame) -> DataFrame:
     return insert_missing(known, candidates, "user_key")
 
 
-def merge_dim_user(staged: dict[str, DataFrame], existing: DataFrame) -> DataFrame:
+def merge_dim_user(staged: dict[str, DataFrame], existing: DataFrame, keep: Keep = as_is) -> DataFrame:
     upserted = upsert_dim_user_from_seats(staged, existing)
-    unnumbered = upserted.filter("user_sk is null").unionByName(
-        missing_users(staged, upserted), allowMissingColumns=True
+    unnumbered = keep(
+        upserted.filter("user_sk is null").unionByName(
+            missing_users(staged, upserted), allowMissingColumns=True
+        )
     )
     numbered = assign_keys(unnumbered, existing, "user_key", "user_sk")
     return upserted.filter("user_sk is not null").unionByName(numbered.select(*existing.columns))

@@ -127,7 +127,11 @@ def load_all(
     staged = {n: wh.read_run(run_id, f"stg_{n}", staging_schema(n)) for n in STAGING}
 
     def merge_dimension(name: str) -> None:
-        merged = dimensions.MERGES[name](staged, stored[name])
+        def keep(new_rows: DataFrame) -> DataFrame:
+            wh.write_run(run_id, f"new_{name}", new_rows)
+            return wh.read_run(run_id, f"new_{name}", new_rows.schema)
+
+        merged = dimensions.MERGES[name](staged, stored[name], keep)
         if name == "dim_user" and cost_centers is not None:
             merged = dimensions.set_cost_center(merged, cost_centers)
         wh.write_run(run_id, name, merged)
