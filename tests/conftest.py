@@ -17,7 +17,7 @@ def spark():
         "local[8]",
         "spendlens-tests",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
         },
