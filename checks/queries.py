@@ -13,11 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spendlens.fixed_values import COUNTS, DATASETS
+from spendlens.fixed_values import DATASETS
+from spendlens.functions.columns import ide_family
 from spendlens.operators import allocate, facts, flatten, governance, quality, runs
 from spendlens.operators.staging import stage
 from spendlens.plans import frames, load, measures, questions, views
-from spendlens.schemas import FACT_KEYS, RAW
+from spendlens.schemas import FACT_KEYS
 from spendlens.session import new_folder
 from spendlens.sources import derive, raw, render, reports
 from spendlens.sources.tables import Tables, Warehouse
@@ -173,8 +174,6 @@ def flatten_seats(spark, sf_dir):
 
 @query
 def ide_family_labels(spark, sf_dir):
-    from spendlens.functions.columns import ide_family
-
     rows = derive.events_user_ide(derive.events(spark, sf_dir))
     return rows.groupBy("ide").agg(F.count("*").alias("rows")).withColumn("ide_family", ide_family("ide"))
 

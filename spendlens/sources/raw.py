@@ -35,7 +35,7 @@ def write_raw(df: DataFrame, root: str, dataset: str, stamp: str) -> None:
     )
 
 
-def _places(df: DataFrame, dataset: str, flat: bool, path: Column) -> list[Column]:
+def _places(dataset: str, flat: bool, path: Column) -> list[Column]:
     if not flat:
         return [F.col("dt"), F.col("org"), F.col("stamp")]
     name = rf"/{dataset}_([^/]*)_(\d{{8}}T\d{{6}}Z)\.json[^/]*$"
@@ -69,7 +69,7 @@ def raw_lines(
     """dt, org, stamp, line of every archived file in the window. Other dates are not listed in."""
     df = spark.read.schema(f"value string, {_partition_schema(flat)}").text(f"{root}/{dataset}")
     return _in_window(df, since, until).select(
-        *_places(df, dataset, flat, F.col("_metadata.file_path")), F.col("value").alias("line")
+        *_places(dataset, flat, F.col("_metadata.file_path")), F.col("value").alias("line")
     )
 
 
@@ -88,7 +88,7 @@ def raw_files(
     )
     df = spark.read.format("binaryFile").schema(schema).load(f"{root}/{dataset}")
     return _in_window(df, since, until).select(
-        *_places(df, dataset, flat, F.col("path")), "path"
+        *_places(dataset, flat, F.col("path")), "path"
     )
 
 
