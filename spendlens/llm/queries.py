@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substring_dedup
+from . import quality_rules, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_substring_dedup,)}
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.digest(_table(spark, sf_dir, "documents"))
 
-SQL: dict[str, str] = {}
+
+QUERIES = {f.__name__: f for f in (op5_substring_dedup, op7_quality_rules)}
+
+SQL = {"op7_quality_rules": quality_rules.SQL}
