@@ -217,10 +217,13 @@ WITH whole AS (
   SELECT r, doc_id, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM whole
-), places AS (
-  SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM split_up
+), every_word AS (
+  SELECT r, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split_up
+), triples AS (
+  SELECT r, i, word || ' ' || lead(word) OVER o || ' ' || lead(word, 2) OVER o AS g
+  FROM every_word WINDOW o AS (PARTITION BY r ORDER BY i)
 ), windows AS (
-  SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n FROM places
+  SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM triples WHERE g IS NOT NULL
 ), repeated AS (
   SELECT r, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1) GROUP BY r

@@ -4,13 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, mixing, ngram_join, quality_rules, substring_dedup
+from . import (
+    chat_format,
+    decontamination,
+    html_extraction,
+    license_scan,
+    mixing,
+    ngram_join,
+    quality_rules,
+    substring_dedup,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.digest(_table(spark, sf_dir, "pages"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +44,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(_table(spark, sf_dir, "documents"))
 
 
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.digest(_table(spark, sf_dir, "conversations"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
@@ -34,12 +55,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_html_extraction,
+        op2_license_scan,
         op5_substring_dedup,
         op6_decontamination,
         op7_quality_rules,
         op8_mixing,
+        op9_chat_format,
         op10_ngram_join,
     )
 }
 
-SQL = {"op7_quality_rules": quality_rules.SQL}
+SQL = {
+    "op2_license_scan": license_scan.SQL,
+    "op7_quality_rules": quality_rules.SQL,
+}
