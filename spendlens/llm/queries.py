@@ -13,6 +13,7 @@ from . import (
     ngram_join,
     quality_rules,
     substring_dedup,
+    suffix_dedup,
 )
 
 
@@ -28,6 +29,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(_table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +62,7 @@ QUERIES = {
     for f in (
         op1_html_extraction,
         op2_license_scan,
+        op3_suffix_dedup,
         op5_substring_dedup,
         op6_decontamination,
         op7_quality_rules,
