@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .components import written
+
 MIN_WORDS = 50
 MAX_REPEATED_PCT = 50
 #: Distinct documents of a host that may share a line.
@@ -50,7 +52,7 @@ def _lines(text: Column) -> Column:
 def _line_key(line: Column) -> Column:
     """Hash of the normalised line, with its length in front, so that keys sort by length."""
     normal = F.regexp_replace(F.lower(F.btrim(line, F.lit(_BLANKS))), _BLANK_RUN, " ")
-    return _let(normal, lambda n: F.concat(F.lpad(F.char_length(n).cast("string"), 10, "0"), F.md5(n)))
+    return _let(normal, lambda n: F.concat(F.lpad(F.char_length(n).cast("string"), 8, "0"), F.left(F.md5(n), F.lit(20))))
 
 
 def _repeated_words(words: Column, size: Column) -> Column:
@@ -95,30 +97,34 @@ def _packed(docs: DataFrame, host: str) -> DataFrame:
 
 
 def _line_rows(packed: DataFrame) -> DataFrame:
-    """doc_id, print (of the text), host, line and neighbour for every distinct line of a document."""
-    keys = packed.select(
-        "doc_id",
-        F.xxhash64("whole").alias("print"),
-        "host",
-        F.sort_array(F.array_distinct(F.transform(_lines(F.col("whole")), _line_key)), asc=False).alias("keys"),
+    """A row for every line of every document: doc_id, print (of the text), host, line, words, first
+    (not a repetition inside the document) and neighbour (the document's longest other line)."""
+    line = F.transform(
+        _lines(F.col("whole")),
+        lambda x: F.struct(_line_key(x).alias("line"), F.size(_words(x)).alias("words")),
     )
-    return keys.select(
-        "doc_id", "print", "host", F.explode("keys").alias("line"), F.slice("keys", 1, 2).alias("longest")
+    sorted_lines = packed.select(
+        "doc_id", F.xxhash64("whole").alias("print"), "host", F.sort_array(line, asc=False).alias("lines")
+    )
+    top = F.get("lines", F.lit(0))["line"]
+    second = F.get(F.filter("lines", lambda x: x["line"] != F.get("lines", F.lit(0))["line"]), F.lit(0))["line"]
+    return sorted_lines.select(
+        "doc_id", "print", "host", F.posexplode("lines").alias("i", "own"), "lines", top.alias("top"), second.alias("second")
     ).select(
         "doc_id",
         "print",
         "host",
-        "line",
-        F.when(F.col("line") == F.get("longest", F.lit(0)), F.get("longest", F.lit(1)))
-        .otherwise(F.get("longest", F.lit(0)))
-        .alias("neighbour"),
+        F.col("own")["line"].alias("line"),
+        F.col("own")["words"].alias("words"),
+        (~F.col("own")["line"].eqNullSafe(F.get("lines", F.col("i") - 1)["line"])).alias("first"),
+        F.when(F.col("own")["line"] == F.col("top"), F.col("second")).otherwise(F.col("top")).alias("neighbour"),
     )
 
 
 def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     """host, line and documents of the lines above the limit. A hot line is first summed by its
     neighbours, so it has partial counts in many tasks before its few hundred groups meet."""
-    by_neighbour = lines.groupBy("host", "line", "neighbour").agg(F.count(F.lit(1)).alias("n"))
+    by_neighbour = lines.filter("first").groupBy("host", "line", "neighbour").agg(F.count(F.lit(1)).alias("n"))
     return (
         by_neighbour.groupBy("host", "line")
         .agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("rows"), F.max("n").alias("largest"))
@@ -138,13 +144,19 @@ def assess(
     """doc_id, text, rest (a struct of the other columns), clean_text (without the lines above the
     limit), the counts, n_line_words (words in those lines), base_failed, depleted and kept."""
     packed = _packed(docs, host)
-    lines = _line_rows(packed)
+    lines = written(_line_rows(packed), "lines")
     often = frequent_lines(lines, line_limit)
     bad = (
         lines.alias("l")
         .join(often.alias("o"), F.col("l.host").eqNullSafe(F.col("o.host")) & (F.col("l.line") == F.col("o.line")))
         .groupBy(F.col("l.doc_id").alias("bad_id"), F.col("l.print").alias("bad_print"))
-        .agg(F.collect_set("l.line").alias("bad"))
+        # rows that repeat a document with its text each count its lines: their share is one row's
+        .agg(
+            F.collect_set("l.line").alias("bad"),
+            F.sum("words").alias("words"),
+            F.sum(F.col("first").cast("long")).alias("firsts"),
+        )
+        .select("bad_id", "bad_print", "bad", (F.col("words") * F.size("bad") / F.col("firsts")).cast("long").alias("bad_words"))
     )
     counted = (
         packed.withColumn("words", _words(F.col("whole")))
@@ -162,33 +174,24 @@ def assess(
             .cast("long")
             .alias("n_dup_lines"),
             _repeated_words(F.col("words"), F.col("size")).alias("n_repeat_words"),
-            F.transform(
-                _lines(F.col("whole")),
-                lambda line: F.struct(_line_key(line).alias("line"), F.size(_words(line)).alias("words")),
-            ).alias("lines"),
         )
     )
     joined = counted.join(
         bad, counted["doc_id"].eqNullSafe(bad["bad_id"]) & (counted["print"] == bad["bad_print"]), "left"
     )
-    line_words = F.aggregate(
-        F.filter("lines", lambda x: F.array_contains("bad", x["line"])),
-        F.lit(0).cast("long"),
-        lambda a, x: a + x["words"],
-    )
     kept_lines = F.filter(
         F.split("whole", "\n"), lambda line: ~F.array_contains("bad", _line_key(line))
     )
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeated_pct)
     return (
-        joined.withColumn("n_line_words", F.coalesce(line_words, F.lit(0).cast("long")))
+        joined.withColumn("n_line_words", F.coalesce("bad_words", F.lit(0).cast("long")))
         .withColumn(
             "clean_text", F.when(F.col("bad").isNull(), F.col("text")).otherwise(F.array_join(kept_lines, "\n"))
         )
         .withColumn("base_failed", failed)
         .withColumn("depleted", (F.col("n_words") - F.col("n_line_words")) * 100 < F.col("n_words") * min_left_pct)
         .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
-        .drop("whole", "print", "lines", "bad", "bad_id", "bad_print")
+        .drop("whole", "print", "bad", "bad_id", "bad_print", "bad_words")
     )
 
 
@@ -208,7 +211,7 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
 
 _SQL_KEY = rf"""list_transform([regexp_replace(lower(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12)
-    || chr(13))), '[\x20\x09-\x0D]+', ' ', 'g')], lambda n: lpad(len(n)::VARCHAR, 10, '0') || md5(n))[1]"""
+    || chr(13))), '[\x20\x09-\x0D]+', ' ', 'g')], lambda n: lpad(len(n)::VARCHAR, 8, '0') || md5(n)[1:20])[1]"""
 
 SQL = rf"""
 WITH whole AS (
