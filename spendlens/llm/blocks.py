@@ -55,6 +55,20 @@ def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Dealt:
     )
 
 
+#: Texts, and code points of each, that steer where key ranges are cut.
+SAMPLED = 4_000
+
+
+def sampled_texts(docs: DataFrame) -> list[str]:
+    """A bounded sample of pieces of texts, by hashes of doc_id. Only balance follows from it."""
+    rows = docs.count()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.char_length(text) - SAMPLED)) + 1
+    some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(max(1, rows // (SAMPLED // 2)))) == 0)
+    pieces = some.select(F.substring(text, start.cast("int"), F.lit(SAMPLED)).alias("t")).limit(SAMPLED)
+    return [r["t"] for r in pieces.collect()]
+
+
 def ordered(table: pa.Table) -> pa.Table:
     """By document number, nulls first; rows with one number by their text."""
     order = pc.sort_indices(

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components, written
-from .text import NULL_ID, U64, Rolling, Words, column_bytes, mixed, numbers
+from .text import NULL_ID, U64, Rolling, Words, column_bytes, cut, mixed, numbers
 
 N = 5
 THRESHOLD = 0.8
@@ -95,7 +95,7 @@ def _sketch(n: int, bands: int, rows: int):
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _cut(whole):
+            for batch in cut(whole):
                 hashes, first = n_grams(batch["text"], n)
                 sizes = np.diff(first)
                 keys = _signatures(hashes, first, bands, rows).view(np.int64)
@@ -114,19 +114,6 @@ def _sketch(n: int, bands: int, rows: int):
     return sketch
 
 
-def _cut(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """A batch in runs of rows with at most so many bytes of text, or one row."""
-    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
-    start, held = 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > most:
-            yield batch.slice(start, i - start)
-            start, held = i, 0
-        held += size
-    if batch.num_rows > start:
-        yield batch.slice(start)
-
-
 def _matches(sets: list[np.ndarray], others: list[np.ndarray], threshold: float) -> np.ndarray:
     """Which of the sets (rows) reach the threshold with which of the others (columns)."""
     owner = np.repeat(np.arange(len(sets) + len(others)), [len(s) for s in (*sets, *others)])
@@ -176,7 +163,7 @@ def _members(table: pa.Table, n: int) -> tuple[pa.Table, list[np.ndarray]]:
     reps, sides, classes = (table[c].to_pylist() for c in ("rep", "side", "class"))
     at = 0
     for whole in table.to_batches():
-        for batch in _cut(whole):
+        for batch in cut(whole):
             hashes, first = n_grams(batch["text"], n)
             for a, b in zip(first[:-1], first[1:], strict=True):
                 # rows that repeat a number: only the text whose class the others know, once

@@ -9,6 +9,7 @@ from . import (
     decontamination,
     html_extraction,
     license_scan,
+    lm_score,
     mixing,
     ngram_join,
     quality_rules,
@@ -33,6 +34,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.digest(_table(spark, sf_dir, "documents"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(_table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES = {
         op1_html_extraction,
         op2_license_scan,
         op3_suffix_dedup,
+        op4_lm_score,
         op5_substring_dedup,
         op6_decontamination,
         op7_quality_rules,

@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
@@ -37,7 +37,6 @@ from .text import U64, Rolling, _LETTERS, byte_windows, column_bytes, covered
 
 LENGTH, ANCHOR = 50, 20
 HOT = 100_000
-SAMPLED = 4_000  # texts and bytes of each for the splitters
 _AT_ONCE = 1 << 20  # strings that are grouped together
 
 
@@ -360,12 +359,8 @@ def _rows(table: pa.Table, data: np.ndarray, offsets: np.ndarray, out: np.ndarra
 
 def _splitters(docs: DataFrame, parts: int, length: int, anchor: int) -> np.ndarray:
     """Pieces that cut the order into parts of like size, from a bounded sample of texts."""
-    rows = docs.count()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    start: Column = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.lit(1), F.char_length(text) - SAMPLED)) + 1
-    some = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(max(1, rows // (SAMPLED // 2)))) == 0)
-    texts = some.select(F.substring(text, start.cast("int"), F.lit(SAMPLED)).alias("t")).limit(SAMPLED).collect()
-    data, offsets = column_bytes(pa.array([r["t"] for r in texts], pa.string()))
+    texts = B.sampled_texts(docs)
+    data, offsets = column_bytes(pa.array(texts, pa.string()))
     at = _Anchors(data, offsets, np.arange(len(texts)), length, anchor).at
     pieces = np.sort(_cells(data, at, np.full(len(at), anchor), anchor).view(f"S{anchor}").ravel())
     return np.unique(pieces[np.arange(1, parts) * len(pieces) // parts]) if len(pieces) else pieces

@@ -6,6 +6,8 @@ step walks over words or characters in Python.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -87,9 +89,20 @@ def column_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.nda
 
 
 def numbers(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    return pc.fill_null(column.cast(pa.int64()), NULL_ID).to_numpy(zero_copy_only=False) if isinstance(column, pa.Array) else numbers(
-        column.combine_chunks() if column.num_chunks else pa.array([], pa.int64())
-    )
+    return pc.fill_null(column.cast(pa.int64()), NULL_ID).to_numpy(zero_copy_only=False)
+
+
+def cut(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with at most so many bytes of text, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if batch.num_rows > start:
+        yield batch.slice(start)
 
 
 _IS_WORD = np.ones(256, dtype=bool)
