@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from .text import U64, column_bytes, numbers
 
 #: Bytes of text in a block; a longer document is a block's main content by itself.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 SENT = "part int, block long, payload binary"
 BACK = "block long, round int, part int, payload binary"
 

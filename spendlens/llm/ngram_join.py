@@ -32,11 +32,11 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 #: Members of a block; a cluster with more is verified in pairs of blocks.
-BLOCK = 512
+BLOCK = 256
 #: Columns of a dense count matrix in one multiplication.
-_SLAB = 16_384
+_SLAB = 4_096
 #: N-grams of a block's members; longer documents make smaller blocks.
-_GRAMS = 2_000_000
+_GRAMS = 500_000
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, most: int = 160) -> tuple[int, int]:

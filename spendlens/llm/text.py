@@ -92,7 +92,7 @@ def numbers(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return pc.fill_null(column.cast(pa.int64()), NULL_ID).to_numpy(zero_copy_only=False)
 
 
-def cut(batch: pa.RecordBatch, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def cut(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in runs of rows with at most so many bytes of text, or one row."""
     sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
     start, held = 0, 0
