@@ -37,7 +37,7 @@ from .text import U64, Rolling, _LETTERS, byte_windows, column_bytes, covered
 
 LENGTH, ANCHOR = 50, 20
 HOT = 100_000
-_AT_ONCE = 1 << 20  # strings that are grouped together
+_AT_ONCE = 1 << 18  # strings that are grouped together
 
 
 class _Anchors:
