@@ -140,17 +140,27 @@ def matches(docs: DataFrame, known: DataFrame, contained: float = CONTAINED, rec
     found = docs.select("doc_id", F.xxhash64("text").alias("print"), shingles(F.col("text")).alias("all")).filter(
         F.arrays_overlap("all", literal(set().union(*by_class.values())))
     )
-    cut = None
-    for c, hashes in sorted(by_class.items()):
-        step = 1 << c
-        at = F.explode(F.sequence(F.lit(0), F.size("all") - 1, F.lit(step)))
-        part = (
-            found.filter(F.arrays_overlap("all", literal(hashes)))
-            .withColumn("at", at)
-            .select("doc_id", "print", F.lit(c).alias("class"), "at", F.slice("all", F.col("at") + 1, 2 * step).alias("window"))
-            .filter(F.arrays_overlap("window", literal(hashes)))
-        )
-        cut = part if cut is None else cut.union(part)
+    # all classes' windows in one pass: the shingles of a text are made once
+
+    def starts(c: int) -> Column:
+        every = F.sequence(F.lit(0), F.size("all") - 1, F.lit(1 << c))
+        return F.transform(every, lambda at: F.struct(F.lit(c).alias("class"), at.alias("at")))
+
+    none = F.array().cast("array<struct<class:int,at:int>>")
+    places = [
+        F.when(F.arrays_overlap("all", literal(hashes)), starts(c)).otherwise(none)
+        for c, hashes in sorted(by_class.items())
+    ]
+    holds = F.lit(False)
+    for c, hashes in by_class.items():
+        holds = F.when(F.col("class") == c, F.arrays_overlap("window", literal(hashes))).otherwise(holds)
+    cut = (
+        found.select("doc_id", "print", "all", F.explode(F.concat(*places)).alias("place"))
+        .select("doc_id", "print", "place.class", "place.at", "all")
+        .withColumn("window", F.slice("all", F.col("at") + 1, F.expr("2 * shiftleft(1, class)")))
+        .filter(holds)
+        .drop("all")
+    )
     windows = _agreeing(cut, ["doc_id", "print", "class", "at"], "window", n)
     wanted = _agreeing(sets, ["license", "class"], "has", n)
     met = windows.join(wanted, ["class", "band", "least"]).select(
@@ -171,6 +181,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     rest = F.struct(*others) if others else F.struct(F.lit(None).cast("int").alias("none"))
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
+    rows = rows.withColumn("print", F.xxhash64("text"))  # the text itself stays out of the join if it can
     found = (
         matches(rows, known)
         .groupBy(F.col("doc_id").alias("in"), F.col("print").alias("of"))
@@ -179,7 +190,7 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
             F.sort_array(F.collect_list(F.struct("license", "first", "last", "containment"))).alias("windows"),
         )
     )
-    both = F.col("doc_id").eqNullSafe(F.col("in")) & (F.xxhash64("text") == F.col("of"))
+    both = F.col("doc_id").eqNullSafe(F.col("in")) & (F.col("print") == F.col("of"))
     return rows.join(found, both, "left").select(
         "doc_id",
         "text",
