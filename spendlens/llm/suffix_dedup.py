@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blocks as B
-from .text import U64, Rolling, _LETTERS, byte_windows, column_bytes, covered
+from .text import U64, Rolling, _LETTERS, byte_windows, column_bytes, covered, mixed
 
 LENGTH, ANCHOR = 50, 20
 HOT = 100_000
@@ -62,7 +62,7 @@ class _Anchors:
         self.at, self.lo, self.hi = at[first], starts[first], starts[last]
         self.row = np.searchsorted(offsets, self.at, "right") - 1
         doc = docs[self.row]
-        key = pieces[self.at]
+        key = mixed(pieces[self.at] + U64(1))  # anchors have small hashes; ranges want even ones
         order = np.lexsort((doc, key))
         key, doc = key[order], doc[order]
         new = np.ones(len(key), dtype=bool)
@@ -141,9 +141,12 @@ def _cells(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, width: int,
 
 
 def _unpacked(payload: bytes, length: int):
-    """Right parts and left parts as bytes, shared prefix lengths and documents of a front-coded run."""
+    """Right parts and left parts as bytes, shared prefix lengths, documents, and how many strings each
+    suffix owns, of a front-coded run."""
     n = int(np.frombuffer(payload, "<u4", 1)[0])
-    n_right, n_left, known = (np.frombuffer(payload, np.uint8, n, 4 + k * n).tolist() for k in range(3))
+    sizes = [np.frombuffer(payload, np.uint8, n, 4 + k * n) for k in range(3)]
+    n_right, n_left, known = (x.tolist() for x in sizes)
+    owned = sizes[0].astype(np.int64) + sizes[1] - length + 1
     docs = np.frombuffer(payload, "<i8", n, 4 + 3 * n)
     at, rights, last = 4 + 11 * n, [], b""
     for size, same in zip(n_right, known, strict=True):
@@ -154,7 +157,7 @@ def _unpacked(payload: bytes, length: int):
     for size in n_left:
         lefts.append(payload[at : at + size])
         at += size
-    return rights, lefts, known, docs
+    return rights, lefts, known, docs, owned
 
 
 def merge(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], list[int], list[int]]:
@@ -181,12 +184,18 @@ def merge(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], list[in
         at = oh
         if oh == h and h >= 0:
             a, b = now[r], now[other]
-            most = min(len(a), len(b))
-            while at < most and a[at] == b[at]:
-                at += 1
-            if (len(b) < len(a)) if at == most else (b[at] < a[at]):
-                loser[node], shared[node] = r, at
-                return other, oh
+            if a == b:
+                at = len(a)
+            else:
+                most = min(len(a), len(b))
+                while at < most and a[at : at + 8] == b[at : at + 8]:
+                    at += 8
+                at = min(at, most)
+                while at < most and a[at] == b[at]:
+                    at += 1
+                if (len(b) < len(a)) if at == most else (b[at] < a[at]):
+                    loser[node], shared[node] = r, at
+                    return other, oh
         loser[node], shared[node] = other, at
         return r, h
 
@@ -216,60 +225,57 @@ def merge(runs: list[tuple[list[bytes], list[int]]]) -> tuple[list[int], list[in
     return out_run, out_place, out_shared
 
 
-def _later(contexts: list[bytes], docs: np.ndarray, owned: np.ndarray, length: int) -> np.ndarray:
-    """For all owned strings of some contexts in a row: whether a smaller document has the string."""
+def _least(contexts: list[bytes], docs: np.ndarray, owned: np.ndarray, length: int) -> np.ndarray:
+    """For all owned strings of some contexts in a row: the smallest document that has the string."""
     blob = np.frombuffer(b"".join(contexts), np.uint8)
     begin = np.cumsum([0, *(len(c) for c in contexts)])[:-1]
     starts = np.repeat(begin, owned) + np.arange(owned.sum()) - np.repeat(np.cumsum(owned) - owned, owned)
     one, two = (Rolling(_LETTERS[k][blob], k).windows(length)[starts] for k in (0, 1))
     doc = np.repeat(docs, owned)
-    order = np.lexsort((doc, two, one))
-    one, two, doc = one[order], two[order], doc[order]
+    order = np.lexsort((two, one))
+    one, two = one[order], two[order]
     new = np.ones(len(order), dtype=bool)
     new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    least = doc[np.flatnonzero(new)][np.cumsum(new) - 1]
-    out = np.empty(len(order), dtype=bool)
-    out[order] = doc > least
-    return out
+    least = np.empty(len(order), dtype=np.int64)
+    least[order] = np.minimum.reduceat(doc[order], np.flatnonzero(new))[np.cumsum(new) - 1]
+    return least
 
 
 def _meet_suffixes(part: int, blocks: list[int], payloads: list[bytes], length: int, anchor: int) -> pa.Table:
     runs = [_unpacked(p, length) for p in payloads]
-    owned = [np.array([len(a) + len(b) - length + 1 for a, b in zip(r[0], r[1], strict=True)]) for r in runs]
-    offsets = [np.concatenate([[0], np.cumsum(o)]) for o in owned]
-    out = [np.zeros(o[-1], dtype=bool) for o in offsets]
     run, place, shared = merge([(r[0], r[2]) for r in runs])
-    waiting: list[tuple[int, int]] = []
-    held = 0
-
-    def settle() -> None:
-        nonlocal held
-        if waiting:
-            sizes = np.array([owned[r][i] for r, i in waiting])
-            marks = _later(
-                [runs[r][1][i] + runs[r][0][i] for r, i in waiting],
-                np.array([runs[r][3][i] for r, i in waiting]),
-                sizes,
-                length,
-            )
-            at = 0
-            for (r, i), n in zip(waiting, sizes.tolist(), strict=True):
-                out[r][offsets[r][i] : offsets[r][i] + n] = marks[at : at + n]
-                at += n
-        waiting.clear()
-        held = 0
-
-    begin = 0
-    for end in [*(i for i, h in enumerate(shared) if h < anchor and i), len(run)]:
-        if end - begin > 1:  # a lot of suffixes that share a piece
-            for i in range(begin, end):
-                waiting.append((run[i], place[i]))
-                held += int(owned[run[i]][place[i]])
-            if held >= _AT_ONCE:
-                settle()
-        begin = end
-    settle()
-    return B.answered(2, part, blocks, out)
+    first = np.concatenate([[0], np.cumsum([len(r[0]) for r in runs])])
+    order = first[np.array(run, dtype=np.int64)] + np.array(place, dtype=np.int64)
+    rights, lefts = ([x for r in runs for x in r[k]] for k in (0, 1))
+    doc, owned = (np.concatenate([r[k] for r in runs]) for k in (3, 4))
+    offset = np.concatenate([[0], np.cumsum(owned)])
+    out = np.zeros(offset[-1], dtype=bool)
+    # lots of suffixes that share a piece; those of one document take nothing from each other
+    begin = np.flatnonzero(np.array(shared) < anchor)
+    lot = np.minimum.reduceat(doc[order], begin), np.maximum.reduceat(doc[order], begin)
+    sizes = np.diff(np.append(begin, len(order)))
+    order = order[np.repeat(lot[0] != lot[1], sizes)]
+    sizes = sizes[lot[0] != lot[1]]
+    # whole lots at once, as many as hold some number of strings
+    strings = np.cumsum(np.add.reduceat(owned[order], np.cumsum(sizes) - sizes)) if len(sizes) else sizes
+    groups = np.split(order, np.cumsum(sizes)[np.flatnonzero(np.diff(strings // _AT_ONCE))])
+    for group in groups:
+        known: dict[bytes, int] = {}
+        which = np.array(
+            [known.setdefault(bytes((len(lefts[i]),)) + lefts[i] + rights[i], len(known)) for i in group.tolist()], dtype=np.int64
+        )
+        if not len(which):
+            continue
+        smallest = np.full(len(known), np.iinfo(np.int64).max)
+        np.minimum.at(smallest, which, doc[group])
+        own = np.zeros(len(known), dtype=np.int64)
+        own[which] = owned[group]
+        least = _least([c[1:] for c in known], smallest, own, length)
+        n = owned[group]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        base = (np.cumsum(own) - own)[which]
+        out[np.repeat(offset[group], n) + within] = np.repeat(doc[group], n) > least[np.repeat(base, n) + within]
+    return B.answered(2, part, blocks, np.split(out, offset[first[1:-1]]))
 
 
 def _meet_pieces(part: int, blocks: list[int], payloads: list[bytes], hot: int) -> pa.Table:
