@@ -33,7 +33,7 @@ SHARE = 1.5
 MOST = 2
 SEED = 20_240_117
 #: Documents of a first bucket, and buckets that meet in one of the next level.
-BUCKET, FAN = 20_000, 64
+BUCKET, FAN = 1_000, 64
 
 
 def sizes(docs: DataFrame) -> DataFrame:
