@@ -256,16 +256,31 @@ def sql(query: str) -> str:
     return f"WITH {parts}\n{query.strip()}"
 
 
-def oracle(name: str, query: str) -> None:
-    ORACLES[name] = sql(query)
+RAW: dict[str, str] = {}
 
 
-_COUNTS7 = """CAST(sum(interactions) AS INTEGER) AS user_initiated_interaction_count,
- CAST(sum(generations) AS INTEGER) AS code_generation_activity_count,
- CAST(sum(acceptances) AS INTEGER) AS code_acceptance_activity_count,
- CAST(sum(suggested) AS INTEGER) AS loc_suggested_to_add_sum,
- CAST(sum(suggested_delete) AS INTEGER) AS loc_suggested_to_delete_sum,
- CAST(sum(added) AS INTEGER) AS loc_added_sum, CAST(sum(deleted) AS INTEGER) AS loc_deleted_sum"""
+def oracle(name: str, query: str) -> None:
+    RAW[name], ORACLES[name] = query, sql(query)
+
+
+def restricted_oracle(name: str, query: str, visible: str) -> None:
+    """The query over facts that are cut to the users of a condition on dim_user."""
+    whole = dict(PARTS)
+    PARTS["visible"] = f"SELECT uk FROM dim_user WHERE {visible}"
+    for fact in ("fp", "fide", "fmf"):
+        PARTS[f"all_{fact}"] = whole[fact]
+        PARTS[fact] = f"SELECT * FROM all_{fact} WHERE uk IN (SELECT uk FROM visible)"
+    oracle(name, query)
+    PARTS.clear()
+    PARTS.update(whole)
+
+
+_COUNTS7 = """CAST(sum(interactions) AS BIGINT) AS user_initiated_interaction_count,
+ CAST(sum(generations) AS BIGINT) AS code_generation_activity_count,
+ CAST(sum(acceptances) AS BIGINT) AS code_acceptance_activity_count,
+ CAST(sum(suggested) AS BIGINT) AS loc_suggested_to_add_sum,
+ CAST(sum(suggested_delete) AS BIGINT) AS loc_suggested_to_delete_sum,
+ CAST(sum(added) AS BIGINT) AS loc_added_sum, CAST(sum(deleted) AS BIGINT) AS loc_deleted_sum"""
 _T = "DECIMAL(38,4)"
 _A = "DECIMAL(38,6)"
 
@@ -452,6 +467,8 @@ SELECT CAST(coalesce(sum(net_amount), 0) AS {_T}) AS net_amount, CAST(coalesce(s
 oracle("top_spenders", f"""
 SELECT user_login, team_name, cost_center, CAST(sum(net_amount) AS {_T}) AS spend FROM v2 WHERE {_W}
 GROUP BY ALL ORDER BY spend DESC, user_login LIMIT 25""")
+oracle("top_spenders_all", f"""
+SELECT user_login, team_name, cost_center, CAST(sum(net_amount) AS {_T}) AS spend FROM v2 WHERE {_W} GROUP BY ALL""")
 _TEAM = "coalesce(cost_center, team_name, 'unassigned')"
 oracle("team_breakdown", f"""
 SELECT user_login, model_name, CAST(sum(net_amount) AS {_T}) AS spend FROM v2 WHERE {_TEAM} = 'cc0' AND {_W} GROUP BY ALL""")
@@ -690,6 +707,27 @@ SELECT o AS org_login, count(*) AS seats, count(*) FILTER (login <> '') AS usabl
 oracle("billing_plan", """
 SELECT o AS org_login, login AS user_login, CAST(unnest(generate_series(TIMESTAMP '2024-01-28', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS usage_date
 FROM (SELECT o, login, row_number() OVER (PARTITION BY o ORDER BY login) AS n FROM seats) WHERE n <= 20""")
+oracle("billing_plan_all", """
+SELECT o AS org_login, login AS user_login, CAST(unnest(generate_series(TIMESTAMP '2024-01-28', TIMESTAMP '2024-01-30', INTERVAL 1 DAY)) AS DATE) AS usage_date
+FROM (SELECT DISTINCT o, login FROM seats)""")
+oracle("billing_plan_left_out", """
+SELECT o AS org_login, count(*) AS users, greatest(count(*) - 20, 0) AS left_out FROM (SELECT DISTINCT o, login FROM seats) GROUP BY o""")
+oracle("billing_orphans", f"""
+SELECT d AS usage_date, o AS org_login, 'dim_product' AS missing, count(*) AS rows, CAST(sum(net) AS {_T}) AS net_amount
+FROM prem WHERE k = 42 GROUP BY ALL""")
+oracle("refused_values", """
+SELECT CAST(k % 15 AS INTEGER) AS "case",
+       CAST(sum(CASE k % 5 WHEN 1 THEN 3000000000 WHEN 3 THEN k ELSE 0 END) AS BIGINT) AS total,
+       count(*) FILTER (k % 5 IN (0, 2)) AS counts_refused, count(*) FILTER (k % 3 = 2) AS days,
+       count(*) FILTER (k % 3 <> 2) AS days_refused
+FROM ev GROUP BY 1""")
+oracle("seat_guard", "SELECT DISTINCT o AS org_login FROM seats WHERE o = 'org1'")
+oracle("replace_window_withdrawn_day", """
+SELECT d AS usage_date, count(*) AS rows, 'fact_premium_requests' AS fact FROM fp
+WHERE d BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AND day(d) % 3 <> 0 GROUP BY d
+UNION ALL
+SELECT d, count(DISTINCT (login, o)), 'fact_user_day' FROM ud
+WHERE d BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AND day(d) % 3 <> 0 GROUP BY d""")
 oracle("constraint_violations", """
 SELECT 'duplicate fact_premium_requests' AS rule, CAST(0 AS BIGINT) AS rows FROM fp HAVING count(*) >= 0
 UNION ALL SELECT 'ide_share range', count(*) FROM share WHERE share < 0 OR share > 1
@@ -706,6 +744,8 @@ _MANAGER = "(cost_center IN ('cc1', 'cc3') OR uk = 'user2')"
 oracle("restrict", f"SELECT user_login, cost_center FROM dim_user WHERE {_MANAGER}")
 oracle("restrict_everything", "SELECT user_login, cost_center FROM dim_user")
 oracle("restricted_spend", f"SELECT user_login, CAST(sum(net_amount) AS {_T}) AS spend FROM v2 WHERE {_MANAGER} GROUP BY ALL")
+for _name in ("summary", "user_exact_total", "user_breakdown", "editor_spend", "detail_matrix", "kpi_cards"):
+    restricted_oracle(f"restricted_{_name}", RAW[_name], _MANAGER)
 oracle("restrict_report", f"""
 SELECT user_login, CAST(sum(net_amount) AS {_T}) AS spend FROM v2 WHERE cost_center = 'cc2' GROUP BY ALL""")
 oracle("erasure_preview", """
@@ -728,6 +768,7 @@ oracle("stream_ingest", f"""
 SELECT d AS usage_date, count(*) AS rows, CAST(sum(net) AS {_T}) AS net_amount
 FROM (SELECT d, lower(login) AS uk, o, model, product, sku, sum(net * CASE WHEN d < DATE '2024-01-08' THEN 2 ELSE 1 END) AS net
       FROM prem GROUP BY ALL) GROUP BY d""")
+ORACLES["stream_ingest_many_batches"] = ORACLES["stream_ingest"]
 oracle("stream_daily_activity", f"""
 SELECT d AS activity_date, user_id, count(*) AS events, CAST(sum(value) AS {_T}) AS value FROM ev GROUP BY d, user_id""")
 

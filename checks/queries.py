@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens.fixed_values import DATASETS
+from spendlens.functions import columns
 from spendlens.functions.columns import ide_family
 from spendlens.operators import allocate, facts, flatten, governance, quality, runs
 from spendlens.operators.staging import stage
@@ -256,6 +257,7 @@ events_query(
     "user_exact_total_unknown", lambda T: questions.user_exact_total(T, "nobody", SINCE, UNTIL)
 )
 events_query("top_spenders", lambda T: questions.top_spenders(T, SINCE, UNTIL))
+events_query("top_spenders_all", lambda T: questions.top_spenders(T, SINCE, UNTIL, None))
 events_query("team_breakdown", lambda T: questions.team_breakdown(T, "CC0", SINCE, UNTIL))
 events_query("team_total", lambda T: questions.team_total(T, "cc0", SINCE, UNTIL))
 events_query("summary", lambda T: questions.summary(T, SINCE, UNTIL))
@@ -371,6 +373,77 @@ def billing_plan(spark, sf_dir):
     return quality.billing_plan(seats, "2024-01-28", "2024-01-30", max_users=20)
 
 
+@query
+def billing_plan_all(spark, sf_dir):
+    seats = derive.events_seats(derive.events(spark, sf_dir))
+    return quality.billing_plan(seats, "2024-01-28", "2024-01-30")
+
+
+@query
+def billing_plan_left_out(spark, sf_dir):
+    return quality.billing_plan_left_out(derive.events_seats(derive.events(spark, sf_dir)), max_users=20)
+
+
+@query
+def billing_orphans(spark, sf_dir):
+    """Billing lines with one value of k lose their product; they are kept with what they miss."""
+    T = events_tables(spark, sf_dir)
+    bills = derive.events_premium_requests(derive.events(spark, sf_dir), blank_product_k=42)
+    staged = stage({"premium_requests": bills})["premium_requests"]
+    rows = quality.orphans(staged, T, "premium_requests")
+    return rows.groupBy("usage_date", "org_login", F.array_join("missing", ",").alias("missing")).agg(
+        F.count("*").alias("rows"), F.sum("net_amount").cast("decimal(38,4)").alias("net_amount")
+    )
+
+
+@query
+def refused_values(spark, sf_dir):
+    """Counts and days damaged for some values of k: what is read, and what is refused and counted."""
+    ev = derive.events(spark, sf_dir).select(
+        "k",
+        F.expr("case k % 5 when 0 then 'NaN' when 1 then '3000000000' when 2 then '-Infinity' when 3 then k || '.9' else '' end").alias("c"),
+        F.expr("case when k % 3 = 0 then '2026-13-45' when k % 3 = 1 then '9999-01-01' else cast(d as string) end").alias("t"),
+    )
+    return ev.groupBy((F.col("k") % 15).alias("case")).agg(
+        F.sum(columns.count("c")).cast("bigint").alias("total"),
+        F.count_if(columns.count_refused("c")).alias("counts_refused"),
+        F.count(columns.day("t")).alias("days"),
+        F.count_if(columns.day_refused("t")).alias("days_refused"),
+    )
+
+
+@query
+def seat_guard(spark, sf_dir):
+    """Organisations that have billing and no usable seat, by the guard that a strict load uses; the
+    seats of org1 lose their logins for this."""
+    seats = derive.events_seats(derive.events(spark, sf_dir))
+    seats = seats.withColumn("user_login", F.when(F.col("org_login") != "org1", F.col("user_login")).otherwise(""))
+    orgs = [r.org_login for r in seats.select("org_login").distinct().collect()]
+    bare = quality.seat_guard(seats, sorted(orgs), strict=False)
+    return spark.createDataFrame([(o,) for o in bare], "org_login string")
+
+
+@query
+def replace_window_withdrawn_day(spark, sf_dir):
+    """Two loads of a week: the second one without the days that divide by three, which must go."""
+    def make(out: str) -> None:
+        wh = Warehouse(spark, out)
+        first, last = date(2024, 1, 8), date(2024, 1, 14)
+        week = load.in_window(derive.events_datasets(spark, sf_dir), first, last)
+        load.load_all(wh, week, loaded_at="2024-01-15 02:00:00")
+        day = {n: next((c for c in ("activity_date", "usage_date") if c in df.columns), None) for n, df in week.items()}
+        kept = {n: df.filter(F.dayofmonth(day[n]) % 3 != 0) if day[n] else df for n, df in week.items()}
+        load.load_all(wh, kept, loaded_at="2024-01-16 02:00:00", replace_window=(first, last))
+
+    T = Warehouse(spark, _once(spark, sf_dir, "withdrawn", make)).tables()
+    parts = [
+        T[f].groupBy(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("usage_date"))
+        .agg(F.count("*").alias("rows")).withColumn("fact", F.lit(f))
+        for f in ("fact_premium_requests", "fact_user_day")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def constraint_violations(spark, sf_dir):
     T = events_tables(spark, sf_dir)
@@ -425,6 +498,22 @@ events_query(
 )
 
 
+def _as_user2(T: Tables) -> Tables:
+    return governance.restricted(T, _access(T), "user2")
+
+
+events_query("restricted_summary", lambda T: questions.summary(_as_user2(T), SINCE, UNTIL))
+events_query(  # user1 is hidden from user2
+    "restricted_user_exact_total", lambda T: questions.user_exact_total(_as_user2(T), "user1", SINCE, UNTIL)
+)
+events_query(
+    "restricted_user_breakdown", lambda T: questions.user_breakdown(_as_user2(T), "user1", SINCE, UNTIL)
+)
+events_query("restricted_editor_spend", lambda T: questions.editor_spend(_as_user2(T), SINCE, UNTIL))
+events_query("restricted_detail_matrix", lambda T: frames.detail_matrix(_as_user2(T)))
+events_query("restricted_kpi_cards", lambda T: frames.kpi_cards(_as_user2(T)))
+
+
 def _manager_report(T: Tables) -> DataFrame:
     managers = T.dim_user.filter("cost_center is not null").select(
         F.concat(F.lit("lead-"), "cost_center", F.lit("@example.org")).alias("email"), "cost_center"
@@ -455,34 +544,43 @@ events_query(
 # ------------------------------------------------------------------ streaming
 
 
-@query
-def stream_ingest(spark, sf_dir):
-    root = archive(spark, sf_dir)
-
+def _streamed(spark, sf_dir, name: str, root: str, **options) -> DataFrame:
     def make(out: str) -> None:
         ingest.stream_ingest(
-            spark, root, f"{out}/warehouse", f"{out}/checkpoint", loaded_at="2024-01-31 02:00:00"
+            spark, root, f"{out}/warehouse", f"{out}/checkpoint", loaded_at="2024-01-31 02:00:00", **options
         ).awaitTermination()
 
-    T = Warehouse(spark, _once(spark, sf_dir, "stream", make) + "/warehouse").tables()
+    T = Warehouse(spark, _once(spark, sf_dir, name, make) + "/warehouse").tables()
     return T.fact_premium_requests.groupBy(
         F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("usage_date")
     ).agg(F.count("*").alias("rows"), F.sum("net_amount").cast("decimal(38,4)").alias("net_amount"))
 
 
+@query
+def stream_ingest(spark, sf_dir):
+    return _streamed(spark, sf_dir, "stream", archive(spark, sf_dir))
+
+
+@query
+def stream_ingest_many_batches(spark, sf_dir):
+    """The same archive in several batches, whose files come in no order of their stamps."""
+    root = archive(spark, sf_dir)
+    files = reduce(DataFrame.unionByName, [raw.raw_files(spark, root, name) for name in DATASETS.values()])
+    return _streamed(spark, sf_dir, "stream-many", root, files_per_batch=max(1, files.count() // 3))
+
+
 @query
 def stream_daily_activity(spark, sf_dir):
     def make(out: str) -> None:
-        schema = derive.table(spark, sf_dir, "events").schema
-        events = (
-            spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-        )
-        activity.run_to_table(
-            activity.stream_daily_activity(events), f"{out}/table", f"{out}/checkpoint"
-        ).awaitTermination()
-
-    changes = spark.read.parquet(_once(spark, sf_dir, "activity", make) + "/table")
-    return activity.latest(changes)
+        table = derive.table(spark, sf_dir, "events")
+        reader = spark.readStream.schema(table.schema)
+        if any("/events.parquet/" in file for file in table.inputFiles()):
+            events = reader.parquet(f"{sf_dir}/events.parquet")
+        else:  # a stream watches folders: the one of the file
+            events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        activity.stream_daily_activity(events, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+
+    return activity.daily_activity(spark.read.parquet(_once(spark, sf_dir, "activity", make) + "/table"))
 
 
 # ------------------------------------------------------------------ orders domain

@@ -74,14 +74,10 @@ NO_SEATS = 51005
 # --- run states
 RUNNING, SUCCEEDED, FAILED, ABANDONED = "running", "succeeded", "failed", "abandoned"
 STALE_AFTER_MINUTES = 120
-MESSAGE_LENGTH = 2000
 
 # --- limits and windows
 RELOAD_TRAILING_DAYS = 7
 BACKFILL_DAYS = 28
-MAX_BACKFILL_DAYS = 90
-MAX_BILLING_USERS = 2000
-MAX_LIMIT = 500
 DEFAULT_LIMIT = 25
 DEFAULT_WINDOW_DAYS = 30
 IDLE_DAYS = 30

@@ -66,9 +66,25 @@ def label(c, default: str) -> Column:
     return F.lower(strip(text_or(c, default)))
 
 
-def count(c) -> Column:
-    """Truncated integer; anything that is not a number counts as zero."""
-    return F.coalesce(as_column(c).cast("int"), F.lit(0))
+def _number(c) -> Column:
+    """The value as a decimal; NULL for texts that are no finite number."""
+    return as_column(c).cast("string").try_cast("decimal(38,10)")
+
+
+def _whole(c, kind: str) -> Column:
+    cut = F.when(_number(c) < 0, F.ceil(_number(c))).otherwise(F.floor(_number(c)))
+    return cut.try_cast(kind)
+
+
+def count(c, kind: str = "bigint") -> Column:
+    """Truncated integer; anything that is not a finite number in range counts as zero."""
+    return F.coalesce(_whole(c, kind), F.lit(0).cast(kind))
+
+
+def count_refused(c) -> Column:
+    """Whether a count was given and could not be read."""
+    given = strip(as_column(c).cast("string"))
+    return F.coalesce((given != "") & _whole(c, "bigint").isNull(), F.lit(False))
 
 
 def money(c, decimal: str = MONEY) -> Column:
@@ -81,8 +97,19 @@ def flag(c) -> Column:
     return F.when(text.isNotNull(), ~text.isin("false", "0", "0.0", "", "[]", "{}"))
 
 
+#: Days outside are taken for damage: a calendar is filled from the first to the last day.
+FIRST_DAY, LAST_DAY = "1990-01-01", "2099-12-31"
+
+
 def day(c) -> Column:
-    return F.to_date(F.substring(as_column(c), 1, 10))
+    """The day at the start of a text; NULL when there is none in the calendar's range."""
+    date = F.substring(as_column(c).cast("string"), 1, 10).try_cast("date")
+    return F.when(date.between(F.lit(FIRST_DAY).cast("date"), F.lit(LAST_DAY).cast("date")), date)
+
+
+def day_refused(c) -> Column:
+    """Whether a day was given and could not be read."""
+    return present(as_column(c)) & day(c).isNull()
 
 
 def whole_second(ts) -> Column:

@@ -33,7 +33,7 @@ def flatten_user_day(df: DataFrame, org: str | None = None) -> DataFrame:
         C.text_or("enterprise_id", "").alias("enterprise_id"),
         C.money("ai_credits_used").alias("ai_credits_used"),
         C.text_or("ai_adoption_phase.phase", V.NO_PHASE).alias("adoption_phase"),
-        C.count("ai_adoption_phase.phase_number").alias("adoption_phase_number"),
+        C.count("ai_adoption_phase.phase_number", "int").alias("adoption_phase_number"),
         *(C.flag(raw).alias(name) for name, raw in V.FLAGS.items()),
         *_counts(),
     )

@@ -22,7 +22,7 @@ def restrict(
     dim_user: DataFrame, access: DataFrame, principal: str | None = None, is_admin: bool = False
 ) -> DataFrame:
     """Users a principal may see: all for an admin or a '*' grant, else those of a granted cost
-    center and the principal's own row. Every view joins dim_user, so this restricts them all."""
+    center and the principal's own row."""
     if is_admin:
         return dim_user
     who = F.current_user() if principal is None else F.lit(principal)
@@ -39,9 +39,15 @@ def restrict(
     return marked.filter(everything | own | F.col("_granted").isNotNull()).select(*dim_user.columns)
 
 
-def restricted(T: Tables, access: DataFrame, principal: str | None = None, is_admin=False) -> Tables:
-    """The same star schema as one principal sees it."""
-    return T.replace(dim_user=restrict(T.dim_user, access, principal, is_admin))
+def restricted(
+    T: Tables, access: DataFrame | None = None, principal: str | None = None, is_admin: bool = False
+) -> Tables:
+    """The star schema as one principal sees it, by the stored grants unless others are given. Facts
+    are cut to the visible users as well, so that totals that show no user are restricted too."""
+    if is_admin:
+        return T
+    access = T.report_access if access is None else access
+    return T.restricted(restrict(T.dim_user, access, principal))
 
 
 def restrict_report(df: DataFrame, manager_map: DataFrame, email: str) -> DataFrame:
@@ -91,26 +97,30 @@ def erase_user(dim_user: DataFrame, login: str) -> DataFrame:
     )
 
 
-def _delete(wh: Warehouse, run_id: str, table: str, fact: DataFrame, condition) -> None:
-    """Rewrite the partitions that hold matching rows without them; the others are not touched."""
+def _without(wh: Warehouse, run_id: str, table: str, fact: DataFrame, condition) -> dict[str, list[int]]:
+    """Write the partitions that hold matching rows without them; what to publish for that."""
     periods = wh.periods(fact.filter(condition))
-    if periods:
-        wh.replace_periods(run_id, table, wh.in_periods(fact, periods).filter(~condition), periods)
+    if not periods:
+        return {}
+    wh.write_run(run_id, table, wh.in_periods(fact, periods).filter(~condition))
+    return {table: periods}
 
 
 def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -> DataFrame:
-    """Preview, or erase: the user's rows leave all facts, and only the partitions they are
-    in are rewritten. The raw archive has to be cleaned separately."""
+    """Preview, or erase: the user's rows leave all facts in one step, and only the partitions they
+    are in are rewritten. The raw archive has to be cleaned separately, and the files of the version
+    before go with the publication after the next."""
     T = wh.tables()
     preview = erasure_preview(T, login)
     if not confirm:
         return preview
     result = wh.spark.createDataFrame(preview.collect(), preview.schema)
     mine = F.col("user_key") == _key(login)
-    for table in FACTS:
-        _delete(wh, run_id, table, T[table], mine)
     wh.write_run(run_id, "dim_user", erase_user(T.dim_user, login))
-    wh.publish(run_id, "dim_user")
+    publish: dict[str, list[int] | None] = {"dim_user": None}
+    for table in FACTS:
+        publish |= _without(wh, run_id, table, T[table], mine)
+    wh.publish(run_id, publish)
     wh.end_run(run_id)
     return result
 
@@ -148,8 +158,11 @@ def purge(
         return preview
     result = wh.spark.createDataFrame(preview.collect(), preview.schema)
     old = F.col("date_key") < C.to_date_key(cutoff_date(as_of, retain_days))
+    publish: dict[str, list[int] | None] = {}
     for table in FACTS if include_billing else ACTIVITY_FACTS:
-        _delete(wh, run_id, table, T[table], old)
+        publish |= _without(wh, run_id, table, T[table], old)
+    if publish:
+        wh.publish(run_id, publish)
     wh.end_run(run_id)
     return result
 

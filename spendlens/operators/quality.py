@@ -80,23 +80,47 @@ def reconcile(staged: dict[str, DataFrame], dims) -> DataFrame:
 
 
 def check_load(counts: dict[str, int], strict: bool = True) -> list[str]:
-    """Raise what a strict load must not survive; return the warnings."""
-    if strict and counts["orphaned_billing"] > 0:
-        raise LoadError(
-            V.ORPHANED_BILLING,
-            f"{counts['orphaned_billing']} billing rows match no user, organisation, model or product.",
-        )
-    if strict and counts["rows_user_day"] == 0 and counts["rows_premium_requests"] == 0:
-        raise LoadError(V.NOTHING_STAGED, "Neither activity nor billing was staged.")
-    if strict and counts["rows_user_day"] > 0 and counts["rows_seats"] == 0:
-        raise LoadError(V.NO_SEATS, "Activity was staged without seats; spend cannot be attributed.")
-    warnings = []
-    if counts["rows_seats"] > 0 and counts["rows_premium_requests"] == 0:
-        warnings.append("Seats are present but no billing was staged.")
-    for name in ("orphaned_user_ide", "orphaned_user_model_feature"):
-        if counts[name] > 0:
-            warnings.append(f"{name}: {counts[name]} staged rows have no dimension row.")
-    return warnings
+    """Raise what a strict load must not survive; return what any load should say.
+
+    Orphans are told in every mode: billing without dimensions is money that no report shows."""
+    billing, activity, seats = (
+        counts[f"rows_{name}"] for name in ("premium_requests", "user_day", "seats")
+    )
+    faults = {
+        V.ORPHANED_BILLING: (
+            counts["orphaned_billing"] > 0,
+            f"{counts['orphaned_billing']} billing rows cannot be joined to all of their dimensions",
+        ),
+        V.NOTHING_STAGED: (not billing and not activity, "no billing and no activity to load"),
+        V.NO_SEATS: (bool(activity) and not seats, "there are users with activity but no seats at all"),
+    }
+    found = {number: text for number, (wrong, text) in faults.items() if wrong}
+    if strict and found:
+        number = next(iter(found))
+        raise LoadError(number, found[number])
+    told = list(found.values())
+    if seats and not billing:
+        told.append("seats came without any billing")
+    for dataset in ("user_ide", "user_model_feature"):
+        orphans = counts[f"orphaned_{dataset}"]
+        if orphans:
+            told.append(f"{orphans} rows of {dataset} lack a dimension and stay out of the facts")
+    return told
+
+
+def orphans(staged: DataFrame, dims, dataset: str) -> DataFrame:
+    """The staged rows of a dataset that miss a dimension row, with the names of what they miss."""
+    names = _RECONCILED[dataset][2]
+    marked = staged
+    for name in names:
+        key = DIMENSION_KEYS[name]
+        marked = marked.join(dims[name].select(key, F.lit(True).alias(f"_{name}")), key, "left")
+    missing = F.filter(
+        F.array(*(F.when(F.col(f"_{n}").isNull(), F.lit(n)) for n in names)), lambda n: n.isNotNull()
+    )
+    return (
+        marked.withColumn("missing", missing).filter(F.size("missing") > 0).select(*staged.columns, "missing")
+    )
 
 
 # ------------------------------------------------------------------ payload contract
@@ -215,25 +239,40 @@ def seat_guard(seats: DataFrame, orgs: list[str], strict: bool = True) -> list[s
     return bare
 
 
-def billing_plan(
-    seats: DataFrame, since, until, max_users: int | None = V.MAX_BILLING_USERS
-) -> DataFrame:
-    """org_login, user_login, usage_date to ask billing for: the first users by name, every day.
+def _placed_users(seats: DataFrame, max_users: int) -> DataFrame:
+    """org_login, user_login and whether a user is among the first by name of the organisation.
 
-    The cut is made twice, inside salts of each organisation and then over what they keep, so even
-    an organisation with most of the seats sends no more than the cap per salt to one task.
-    """
+    The cut is found twice, inside salts of each organisation and then over what they keep, so even
+    an organisation with most of the seats sends no more than the limit per salt to one task."""
     users = seats.filter(C.present("user_login")).select("org_login", "user_login").dropDuplicates()
-    if max_users is not None:
-        salted = users.withColumn("_salt", F.pmod(F.xxhash64("user_login"), F.lit(_SALTS)))
-        for keys in (["org_login", "_salt"], ["org_login"]):
-            place = F.row_number().over(Window.partitionBy(*keys).orderBy("user_login"))
-            salted = salted.withColumn("_place", place).filter(F.col("_place") <= max_users)
-        users = salted.drop("_salt", "_place")
+    first = users.withColumn("_salt", F.pmod(F.xxhash64("user_login"), F.lit(_SALTS)))
+    for keys in (["org_login", "_salt"], ["org_login"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("user_login"))
+        first = first.withColumn("_place", place).filter(F.col("_place") <= max_users)
+    last = first.groupBy(F.col("org_login").alias("_org")).agg(F.max("user_login").alias("_last"))
+    return users.join(last, F.col("org_login").eqNullSafe(F.col("_org"))).select(
+        "org_login", "user_login", (F.col("user_login") <= F.col("_last")).alias("planned")
+    )
+
+
+def billing_plan(seats: DataFrame, since, until, max_users: int | None = None) -> DataFrame:
+    """org_login, user_login, usage_date to ask billing for: every user, every day. A caller that
+    sets `max_users` per organisation gets the first by name; the others: `billing_plan_left_out`."""
+    if max_users is None:
+        users = seats.filter(C.present("user_login")).select("org_login", "user_login").dropDuplicates()
+    else:
+        users = _placed_users(seats, max_users).filter("planned").drop("planned")
     days = F.sequence(F.lit(str(since)).cast("date"), F.lit(str(until)).cast("date"))
     return users.select("org_login", "user_login", F.explode(days).alias("usage_date"))
 
 
+def billing_plan_left_out(seats: DataFrame, max_users: int) -> DataFrame:
+    """Per organisation: users, and how many of them a plan with this limit leaves out."""
+    return _placed_users(seats, max_users).groupBy("org_login").agg(
+        F.count("*").alias("users"), F.count_if(~F.col("planned")).alias("left_out")
+    )
+
+
 # ------------------------------------------------------------------ constraints
 
 

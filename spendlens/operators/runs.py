@@ -44,7 +44,7 @@ def log_entry(
         "trigger_source": trigger_source,
         "status": status,
         **{c: (counts or {}).get(c, 0) if done else None for c in _COUNTS},
-        "message": None if message is None else message[: V.MESSAGE_LENGTH],
+        "message": message,
     }
     schema = RUN_LOG["ingestion_run"]
     return spark.range(1).select(
@@ -52,6 +52,16 @@ def log_entry(
     )
 
 
+def orphan_rows(orphans: DataFrame, run_id: str, logged_at: str) -> DataFrame:
+    """Billing rows without a place as rows of `billing_orphans`."""
+    return orphans.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(logged_at).cast("timestamp_ntz").alias("logged_at"),
+        "usage_date", "user_login", "org_login", "product", "sku", "model_name", "net_amount",
+        F.array_join("missing", ",").alias("missing"),
+    )
+
+
 def run_state(
     run_log: DataFrame, as_of: str, stale_after_minutes: int = V.STALE_AFTER_MINUTES
 ) -> DataFrame:

@@ -37,20 +37,14 @@ def backfill_window(
     since: date | None = None,
     until: date | None = None,
     default_days: int = V.BACKFILL_DAYS,
-    cap: int = V.MAX_BACKFILL_DAYS,
 ) -> tuple[date, date]:
-    """A checked window of the past. Today is not final, so it ends yesterday at the latest."""
-    yesterday = as_of - timedelta(days=1)
-    until = until or yesterday
-    since = since or until - timedelta(days=default_days)
-    if since > until:
-        raise ValueError(f"The window is reversed: {since} is after {until}.")
-    if until > yesterday:
-        raise ValueError(f"The window must end by {yesterday}, the last complete day.")
-    span = (until - since).days + 1
-    if span > cap:
-        raise ValueError(f"The window has {span} days; load at most {cap} at a time.")
-    return since, until
+    """A window of complete days of the past, of any length: loads are partitioned by day."""
+    last_complete = as_of - timedelta(days=1)
+    last = last_complete if until is None else until
+    first = last - timedelta(days=default_days) if since is None else since
+    if not first <= last <= last_complete:
+        raise ValueError(f"{first} to {last} is not a window of days before {as_of}.")
+    return first, last
 
 
 def in_window(datasets: dict[str, DataFrame], since: date, until: date) -> dict[str, DataFrame]:
@@ -107,18 +101,20 @@ def load_all(
     loaded_at: str | None = None,
     basis: tuple[str, ...] = ("interactions", "generations"),
     fallback: str | None = "equal",
-    replace_window: bool = False,
+    replace_window: tuple[date, date] | None = None,
     cost_centers: DataFrame | None = None,
     run_id: str | None = None,
 ) -> dict[str, int]:
     """Load datasets into the warehouse, all or nothing, and return the reconciliation counts.
+    Billing rows that a non-strict load cannot place are kept in `billing_orphans`.
 
     Loading the same data again changes nothing but `loaded_at`; corrected rows overwrite; rows the
-    source withdrew stay unless `replace_window` empties the touched days first.
+    source withdrew stay unless `replace_window` (first and last day) empties those days first, days
+    without any new row included.
     """
     run_id = run_id or uuid.uuid4().hex
     loaded_at = loaded_at or _utc_now()
-    stored = wh.tables()
+    stored = wh.tables(new=True)
 
     plans = stage(datasets)
     write_all(
@@ -143,25 +139,27 @@ def load_all(
     for warning in quality.check_load(counts, strict):
         LOGGER.warning(warning)
 
+    emptied = [] if replace_window is None else wh.periods_between(*map(to_date_key, replace_window))
+    touched: dict[str, list[int]] = {}
+
     def load_fact(table: str) -> None:
         source = facts.stamp(facts.LOADS[table](staged, dims), table, loaded_at)
-        if wh.exists(wh.path(table)):
-            origin = staged[_SOURCE[table]]
-            target = wh.in_periods(stored[table], wh.periods(origin))
-            if replace_window:
-                days = origin.select("date_key").distinct()
-                target = target.join(F.broadcast(days), "date_key", "left_anti")
-            merge = facts.insert_only if table == "fact_user_team_day" else facts.upsert
-            source = merge(target, source, FACT_KEYS[table])
-        wh.write_run(run_id, table, source)
+        touched[table] = sorted({*wh.periods(staged[_SOURCE[table]]), *emptied})
+        target = wh.in_periods(stored[table], touched[table])
+        if replace_window is not None:
+            target = target.filter(~F.col("date_key").between(*map(to_date_key, replace_window)))
+        merge = facts.insert_only if table == "fact_user_team_day" else facts.upsert
+        wh.write_run(run_id, table, merge(target, source, FACT_KEYS[table]))
 
     write_all(lambda t=table: load_fact(t) for table in facts.LOADS)
-    shared = _rebuild_shares(wh, run_id, stored, staged, loaded_at, basis, fallback)
-
-    publish = [*DIMENSIONS, *facts.LOADS]
-    write_all(lambda t=table: wh.publish(run_id, t) for table in publish)
+    shared = _rebuild_shares(wh, run_id, stored, staged, loaded_at, basis, fallback, replace_window)
+    lost = quality.orphans(staged["premium_requests"], dims, "premium_requests")
+    if counts["orphaned_billing"]:
+        wh.append("billing_orphans", runs.orphan_rows(lost, run_id, loaded_at))
+    publish = {**dict.fromkeys(DIMENSIONS), **touched}
     if shared is not None:
-        wh.publish_periods(run_id, "fact_user_ide_share", shared)
+        publish["fact_user_ide_share"] = shared
+    wh.publish(run_id, publish)
     wh.end_run(run_id)
     return counts
 
@@ -176,27 +174,27 @@ _SOURCE = {
 
 
 def _rebuild_shares(
-    wh: Warehouse, run_id: str, stored: Tables, staged, loaded_at: str, basis, fallback
+    wh: Warehouse, run_id: str, stored: Tables, staged, loaded_at: str, basis, fallback, window
 ) -> list[int] | None:
-    """Write this run's shares from the first to the last staged editor day; return the partitions
-    that they replace. Without staged editor activity the stored shares stay as they are."""
+    """Write this run's shares from the first to the last staged or emptied editor day; return the
+    partitions that they replace. Without such a day the stored shares stay as they are."""
     span = staged["user_ide"].agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
-    if span.lo is None:
+    keys = [k for k in (span.lo, span.hi, *(map(to_date_key, window or ()))) if k is not None]
+    if not keys:
         return None
+    in_span = F.col("date_key").between(min(keys), max(keys))
+    periods = wh.periods_between(min(keys), max(keys))
     editors = wh.read_run(run_id, "fact_user_ide_day")
-    in_span = F.col("date_key").between(span.lo, span.hi)
-    kept, periods = None, []
-    if wh.exists(wh.path("fact_user_ide_day")):
-        old = wh.not_in_periods(stored.fact_user_ide_day, wh.periods(editors)).filter(in_span)
-        editors = editors.unionByName(old)
-        periods = wh.periods(stored.fact_user_ide_share.filter(in_span))
-        periods = sorted({*periods, *wh.periods(editors.filter(in_span))})
-        kept = wh.in_periods(stored.fact_user_ide_share, periods).filter(~in_span)
+    rewritten = wh.periods(editors)
+    if window is not None:
+        rewritten = sorted({*rewritten, *wh.periods_between(*map(to_date_key, window))})
+    old = wh.not_in_periods(stored.fact_user_ide_day, rewritten).filter(in_span)
+    editors = editors.unionByName(old)
+    periods = sorted({*periods, *wh.periods(editors.filter(in_span))})
+    kept = wh.in_periods(stored.fact_user_ide_share, periods).filter(~in_span)
     shares = allocate.ide_share(editors.filter(in_span), basis=basis, fallback=fallback)
     shares = facts.stamp(shares, "fact_user_ide_share", loaded_at)
-    if kept is not None:
-        shares = kept.select(*shares.columns).unionByName(shares)
-    wh.write_run(run_id, "fact_user_ide_share", shares)
+    wh.write_run(run_id, "fact_user_ide_share", kept.select(*shares.columns).unionByName(shares))
     return periods
 
 
@@ -212,9 +210,8 @@ def rebuild_shares(wh: Warehouse, since, until, run_id: str, loaded_at: str | No
     ))
     outside = ~F.col("date_key").between(to_date_key(since), to_date_key(until))
     kept = wh.in_periods(T.fact_user_ide_share, periods).filter(outside)
-    wh.replace_periods(
-        run_id, "fact_user_ide_share", kept.select(*shares.columns).unionByName(shares), periods
-    )
+    wh.write_run(run_id, "fact_user_ide_share", kept.select(*shares.columns).unionByName(shares))
+    wh.publish(run_id, {"fact_user_ide_share": periods})
     wh.end_run(run_id)
 
 
@@ -231,8 +228,12 @@ def run_ingestion(
     trigger_source: str = "timer",
     strict: bool = True,
     flat: bool = False,
+    replace_window: bool = False,
+    orgs: tuple[str, ...] = (),
 ) -> dict[str, int]:
-    """One logged run: replay the archive's window into the warehouse."""
+    """One logged run: replay the archive's window into the warehouse. Each of the named
+    organisations must have a usable seat in a strict run; `replace_window` also takes back what
+    the source withdrew from these days."""
     run_id, started = uuid.uuid4().hex, _utc_now()
 
     def log(status: str, counts=None, message=None) -> None:
@@ -246,7 +247,11 @@ def run_ingestion(
     try:
         scratch = wh.run_path(run_id, "records")
         datasets = datasets_from_raw(wh.spark, raw_root, since, until, flat, scratch)
-        counts = load_all(wh, datasets, strict, run_id=run_id)
+        bare = quality.seat_guard(datasets["seats"], list(orgs), strict) if orgs else []
+        if bare:
+            LOGGER.warning("no usable seat in: %s", ", ".join(bare))
+        window = (since, until) if replace_window else None
+        counts = load_all(wh, datasets, strict, run_id=run_id, replace_window=window)
     except Exception as exc:
         log(V.FAILED, message=runs.safe_error(exc))
         raise

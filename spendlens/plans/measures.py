@@ -191,7 +191,7 @@ def seat_measures(idle: DataFrame, by=()) -> DataFrame:
 
 
 def freshness_measures(T, as_of) -> DataFrame:
-    latest = T.fact_premium_requests.agg(
+    latest = T.whole("fact_premium_requests").agg(
         F.to_date(F.max("date_key").cast("string"), "yyyyMMdd").alias("latest")
     )
     return latest.select(

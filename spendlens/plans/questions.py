@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, Window
@@ -17,19 +18,36 @@ from spendlens.plans.views import attach, chargeback
 # ------------------------------------------------------------------ arguments
 
 
-def resolve_window(as_of: date, since: date | None = None, until: date | None = None):
-    """(since, until), both inclusive; by default the 31 days that end today."""
-    until = until or as_of
-    since = since or until - timedelta(days=V.DEFAULT_WINDOW_DAYS)
-    if since > until:
-        raise ValueError(f"The window is reversed: {since} is after {until}.")
-    return since, until
+@dataclass(frozen=True)
+class DateWindow:
+    """Days from first to last, both included."""
 
+    first: date
+    last: date
 
-def clamp_limit(limit: int | None) -> int:
-    if not limit or limit < 1:
-        return V.DEFAULT_LIMIT
-    return min(limit, V.MAX_LIMIT)
+    def __post_init__(self):
+        if self.last < self.first:
+            raise ValueError(f"A window from {self.first} to {self.last} holds no day.")
+
+    def __iter__(self):
+        return iter((self.first, self.last))
+
+    @classmethod
+    def ending(cls, last: date, days_before: int = V.DEFAULT_WINDOW_DAYS) -> DateWindow:
+        return cls(last - timedelta(days=days_before), last)
+
+
+def resolve_window(as_of: date, since: date | None = None, until: date | None = None) -> DateWindow:
+    """The asked window; an open end is the day of asking, an open start follows from the end."""
+    last = as_of if until is None else until
+    return DateWindow.ending(last) if since is None else DateWindow(since, last)
+
+
+def row_limit(limit: int | None) -> int | None:
+    """How many rows to give: as asked, or all. An interface may have a ceiling, a question has none."""
+    if limit is not None and limit < 1:
+        raise ValueError(f"A limit must be positive, not {limit}.")
+    return limit
 
 
 def login_key(login: str) -> str:
@@ -82,15 +100,16 @@ def user_exact_total(T, login: str, since, until) -> DataFrame:
     )
 
 
-def top_spenders(T, since, until, limit: int | None = None) -> DataFrame:
+def top_spenders(T, since, until, limit: int | None = V.DEFAULT_LIMIT) -> DataFrame:
+    """Users by spend, biggest first: as many as asked, all for None."""
     billing = between(T.fact_premium_requests, since, until)
     per_user = billing.groupBy("user_key").agg(_total("net_amount").alias("spend"))
-    return (
+    ranked = (
         attach(per_user, T, ["user_login", "team_name", "cost_center"])
         .select("user_login", "team_name", "cost_center", "spend")
         .orderBy(F.desc("spend"), "user_login")
-        .limit(clamp_limit(limit))
     )
+    return ranked if row_limit(limit) is None else ranked.limit(limit)
 
 
 def _team_rows(T, team: str, since, until) -> DataFrame:
@@ -153,15 +172,15 @@ def _latest(fact: DataFrame) -> DataFrame:
 def data_freshness(T) -> DataFrame:
     succeeded = T.ingestion_run.filter(F.col("status") == V.SUCCEEDED)
     return T.dim_date.sparkSession.range(1).select(
-        _latest(T.fact_premium_requests).scalar().alias("latest_billing_date"),
-        _latest(T.fact_user_day).scalar().alias("latest_activity_date"),
+        _latest(T.whole("fact_premium_requests")).scalar().alias("latest_billing_date"),
+        _latest(T.whole("fact_user_day")).scalar().alias("latest_activity_date"),
         succeeded.agg(F.max("completed_at")).scalar().alias("last_successful_run"),
     )
 
 
 def freshness_by_fact(T) -> DataFrame:
     parts = [
-        _latest(T[table]).select(F.lit(name).alias("fact"), "latest_date")
+        _latest(T.whole(table)).select(F.lit(name).alias("fact"), "latest_date")
         for name, table in (
             ("premium_requests", "fact_premium_requests"),
             ("user_day", "fact_user_day"),

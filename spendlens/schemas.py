@@ -53,7 +53,7 @@ RAW = {
     ),
 }
 
-_COUNT_COLUMNS = [f"{c} int" for c in COUNTS]
+_COUNT_COLUMNS = [f"{c} bigint" for c in COUNTS]
 
 
 _TYPES = {
@@ -205,6 +205,14 @@ RUN_LOG = {
     ),
 }
 
-REPORT_ACCESS = _ddl("principal_name string", "cost_center string")
+# Billing rows that a load could not place, with the dimensions they miss.
+RUN_LOG["billing_orphans"] = _ddl(
+    "run_id string", "logged_at timestamp_ntz", "usage_date date", "user_login string",
+    "org_login string", "product string", "sku string", "model_name string",
+    "net_amount decimal(18,4)", "missing string",
+)
+
+# Who may see which cost center; '*' stands for all.
+GRANTS = {"report_access": _ddl("principal_name string", "cost_center string")}
 
-TABLES = {**DIMENSIONS, **FACTS, **RUN_LOG}
+TABLES = {**DIMENSIONS, **FACTS, **RUN_LOG, **GRANTS}

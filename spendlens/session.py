@@ -27,11 +27,14 @@ def build_session(master: str | None = None, app: str = "spendlens", **conf) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder. A local one is made only where none is configured (tests)."""
+    """The cluster's shared folder. One is made only for a local master (tests): on a cluster every
+    executor would write to its own disk."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
         configured = tempfile.mkdtemp(prefix="spendlens-")
         spark.sparkContext.setCheckpointDir(configured)
         configured = spark.sparkContext.getCheckpointDir()

@@ -3,9 +3,12 @@
 Days suit volumes where one day fills files; months keep thin histories from falling apart into
 thousands of tiny files. Either way rows keep their `date_key`, and slices prune partitions.
 
-A load first writes its result to a run folder, and only a checked result is copied over the
-touched periods. No path is read and overwritten in the same job; a run that fails leaves its folder
-behind and the stored tables as they were, and loading again is safe at any point.
+Every run writes its tables to folders of its own (`{table}/run=ID/...`). Which folders make up the
+star schema is said by the manifest, a small table of which each version is one file: a run is
+published by writing the next version, which appears at once or not at all. Readers resolve the
+newest version when they open the tables, so they see a load whole or not at all, and a run that
+fails at any point leaves its folders behind and the stored tables as they were. Folders that no
+version before the last names are dropped after the next publication.
 """
 
 from __future__ import annotations
@@ -13,11 +16,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from spendlens.schemas import FACT_KEYS, FACTS, TABLES
+from spendlens.schemas import FACT_KEYS, FACTS, RUN_LOG, TABLES
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -29,13 +33,25 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 class Tables:
     """The tables of one star schema by name, read on first use."""
 
-    def __init__(self, load: Callable[[str], DataFrame], frames: dict[str, DataFrame] | None = None):
+    def __init__(
+        self,
+        load: Callable[[str], DataFrame],
+        frames: dict[str, DataFrame] | None = None,
+        visible: DataFrame | None = None,
+    ):
         self._load = load
         self._frames = dict(frames or {})
+        self._visible = visible
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise AttributeError(name)
+        if self._visible is not None and (name in FACTS or name == "dim_user"):
+            return self.whole(name).join(self._visible, "user_key", "left_semi")
+        return self.whole(name)
+
+    def whole(self, name: str) -> DataFrame:
+        """The table without restriction, for figures that show no user."""
         if name not in self._frames:
             self._frames[name] = self._load(name)
         return self._frames[name]
@@ -44,8 +60,13 @@ class Tables:
         return getattr(self, name)
 
     def replace(self, **frames: DataFrame) -> Tables:
-        """The same star schema with some tables swapped, such as a restricted dim_user."""
-        return Tables(self._load, {**self._frames, **frames})
+        """The same star schema with some tables swapped."""
+        return Tables(self._load, {**self._frames, **frames}, self._visible)
+
+    def restricted(self, visible: DataFrame) -> Tables:
+        """The same star schema as someone sees it who may see these users (user_key): every table
+        that holds users is cut to them, whatever a report shows of it."""
+        return Tables(self._load, self._frames, visible.select("user_key").distinct())
 
 
 def write_all(jobs: Iterable[Callable[[], None]], at_once: int = 8) -> None:
@@ -58,8 +79,15 @@ def write_all(jobs: Iterable[Callable[[], None]], at_once: int = 8) -> None:
 PERIODS = {"day": "date_key", "month": "month_key"}
 
 
+class WarehouseMissing(RuntimeError):
+    """The folder holds no published star schema."""
+
+
+_MANIFEST = "version bigint, table string, period int, path string, partition string"
+
+
 class Warehouse:
-    """The folder of one star schema. `period` is fixed when the first load writes it."""
+    """The folder of one star schema. `period` is fixed by the first load that publishes."""
 
     def __init__(self, spark: SparkSession, root: str, period: str = "day"):
         self.spark = spark
@@ -68,20 +96,33 @@ class Warehouse:
 
     # ------------------------------------------------------------------ places
 
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
     def run_path(self, run_id: str, table: str) -> str:
+        """Where a run writes: tables into a version of their own, the rest into its work folder."""
+        if table in TABLES:
+            return f"{self.root}/{table}/run={run_id}"
         return f"{self.root}/_runs/{run_id}/{table}"
 
-    def _file_system(self, path: str):
-        jvm = self.spark._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        return jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()), jpath
-
-    def exists(self, path: str) -> bool:
-        fs, jpath = self._file_system(path)
-        return fs.exists(jpath)
+    def _manifest(self) -> list[Row]:
+        """All known versions: a row for each dimension and each period of each fact."""
+        try:
+            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest").collect()
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+
+    def _published(self) -> tuple[int, dict[str, dict[int | None, str]]]:
+        """The newest version: table -> period (None for a dimension) -> folder below the root."""
+        rows = self._manifest()
+        newest = max((r.version for r in rows), default=0)
+        parts: dict[str, dict[int | None, str]] = {}
+        for r in rows:
+            if r.version == newest:
+                if r.partition != self.partition:
+                    raise ValueError(f"{self.root} is partitioned by {r.partition}, not {self.partition}.")
+                if r.table:
+                    parts.setdefault(r.table, {})[r.period] = r.path
+        return newest, parts
 
     # ------------------------------------------------------------------ periods
 
@@ -96,6 +137,12 @@ class Warehouse:
         touched = df.filter("date_key is not null").select(self.period().alias("period"))
         return sorted(r.period for r in touched.distinct().collect())
 
+    def periods_between(self, first_key: int, last_key: int) -> list[int]:
+        """The stored partitions that hold days from the first to the last."""
+        scale = 100 if self.partition == "month_key" else 1
+        stored = {p for table, parts in self._published()[1].items() if table in FACTS for p in parts}
+        return sorted(p for p in stored if first_key // scale <= p <= last_key // scale)
+
     def in_periods(self, df: DataFrame, periods: list[int]) -> DataFrame:
         """Rows of these partitions of a stored fact; the others are not read."""
         return df.filter(F.col(self.partition).isin(periods))
@@ -111,75 +158,111 @@ class Warehouse:
             schema = StructType([*schema.fields, StructField(self.partition, IntegerType())])
         return schema
 
-    def read(self, table: str) -> DataFrame:
-        path = self.path(table)
-        if not self.exists(path):
-            return empty(self.spark, self.schema(table))
-        return self.spark.read.schema(self.schema(table)).parquet(path)
+    def _read(self, table: str, paths: list[str]) -> DataFrame:
+        read = self.spark.read.schema(self.schema(table)).option("basePath", f"{self.root}/{table}")
+        return read.parquet(*(f"{self.root}/{p}" for p in paths)).select(*self.schema(table).names)
+
+    def _read_log(self, table: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(TABLES[table]).parquet(f"{self.root}/{table}")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return empty(self.spark, TABLES[table])
 
     def read_run(self, run_id: str, table: str, schema: StructType | None = None) -> DataFrame:
         path = self.run_path(run_id, table)
         return self.spark.read.schema(schema or self.schema(table)).parquet(path)
 
-    def tables(self) -> Tables:
-        return Tables(self.read)
+    def tables(self, new: bool = False) -> Tables:
+        """The newest published version. Only a first load (`new`) may find none."""
+        version, parts = self._published()
+        if not version and not new:
+            raise WarehouseMissing(f"{self.root} holds no published star schema.")
 
-    # ------------------------------------------------------------------ writing
+        def read(table: str) -> DataFrame:
+            if table in RUN_LOG:
+                return self._read_log(table)
+            if not parts.get(table):
+                return empty(self.spark, self.schema(table))
+            return self._read(table, sorted(parts[table].values()))
+
+        return Tables(read)
+
+    def latest_days(self, T: Tables, table: str) -> DataFrame:
+        """A fact cut to its newest partition, from the manifest alone."""
+        parts = self._published()[1].get(table)
+        return self.in_periods(T.whole(table), [max(parts)]) if parts else T.whole(table)
 
-    def _write_facts(self, df: DataFrame, path: str, replace: str) -> None:
-        """Persist a fact. "dynamic" replaces the partitions in `df` and keeps all others; "static"
-        leaves nothing else, so a repeated run finds no remains of its first attempt."""
-        (
-            df.sortWithinPartitions(self.partition, "date_key", "user_key")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", replace)
-            .partitionBy(self.partition)
-            .parquet(path)
-        )
+    # ------------------------------------------------------------------ writing
 
     def write_run(self, run_id: str, table: str, df: DataFrame) -> None:
         """Materialise a table of this run. Facts are split evenly by range over their whole key,
-        so a day or a user with most of the rows still becomes many files, each sorted by user."""
+        so a day or a user with most of the rows still becomes many files, each sorted by user.
+        Other partitions of a repeated attempt are overwritten as well."""
         path = self.run_path(run_id, table)
         if table in FACTS:
             rows = df.select(*TABLES[table].names).withColumn(self.partition, self.period())
-            self._write_facts(rows.repartitionByRange(*FACT_KEYS[table]), path, "static")
+            (
+                rows.repartitionByRange(*FACT_KEYS[table])
+                .sortWithinPartitions(self.partition, "date_key", "user_key")
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy(self.partition)
+                .parquet(path)
+            )
         else:
             df.write.mode("overwrite").parquet(path)
 
-    def publish(self, run_id: str, table: str) -> None:
-        """Copy a run's table over the stored one: whole dimensions, touched periods of facts."""
-        staged = self.read_run(run_id, table)
-        if table in FACTS:
-            self._write_facts(staged, self.path(table), "dynamic")
-        else:
-            staged.write.mode("overwrite").parquet(self.path(table))
-
-    def publish_periods(self, run_id: str, table: str, periods: list[int]) -> None:
-        """Publish a run's fact; those of the periods that it leaves empty are dropped."""
-        kept = set(self.periods(self.read_run(run_id, table)))
-        if kept:
-            self.publish(run_id, table)
-        for period in periods:
-            if period not in kept:
-                self._drop(f"{self.path(table)}/{self.partition}={period}")
-
-    def replace_periods(self, run_id: str, table: str, df: DataFrame, periods: list[int]) -> None:
-        """Make `df` the content of these partitions of a stored fact."""
-        self.write_run(run_id, table, df)
-        self.publish_periods(run_id, table, periods)
+    def publish(self, run_id: str, tables: dict[str, list[int] | None]) -> None:
+        """Make a run's tables part of the star schema, all in one step.
+
+        Dimensions are replaced whole. Of a fact, the periods that the run wrote are replaced, and
+        those of the given ones that it left empty are dropped; no file is copied."""
+        version, parts = self._published()
+        for table, touched in tables.items():
+            folder = self.run_path(run_id, table).removeprefix(f"{self.root}/")
+            if table not in FACTS:
+                parts[table] = {None: folder}
+                continue
+            wrote = self.periods(self.read_run(run_id, table))
+            kept = {p: path for p, path in parts.get(table, {}).items() if p not in (touched or [])}
+            parts[table] = kept | {p: f"{folder}/{self.partition}={p}" for p in wrote}
+        rows = [(version + 1, t, p, path, self.partition) for t, own in parts.items() for p, path in own.items()]
+        # an own row keeps the version and its partitioning when no table has a row
+        rows.append((version + 1, None, None, None, self.partition))
+        manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+        manifest.write.mode("error").parquet(f"{self.root}/manifest/v={version + 1}")
+        self._drop_superseded(version + 1)
+
+    def _drop_superseded(self, newest: int) -> None:
+        """Drop what only versions before the last two name; readers of the last one go on."""
+        rows = self._manifest()
+        live = {r.path for r in rows if r.version >= newest - 1}
+        for path in sorted({r.path for r in rows if r.version < newest - 1 and r.path} - live):
+            self._drop(f"{self.root}/{path}")
+        for version in sorted({r.version for r in rows if r.version < newest - 1}):
+            self._drop(f"{self.root}/manifest/v={version}")
 
     def end_run(self, run_id: str) -> None:
         """Forget the intermediate results of a published run."""
         self._drop(f"{self.root}/_runs/{run_id}")
 
     def _drop(self, path: str) -> None:
-        fs, jpath = self._file_system(path)
-        if fs.exists(jpath):
-            fs.delete(jpath, True)
+        """Deleting is the one thing that no data source does; without a driver JVM files stay."""
+        jvm = getattr(self.spark, "_jvm", None)
+        if jvm is not None:
+            jpath = jvm.org.apache.hadoop.fs.Path(path)
+            jpath.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
     def append(self, table: str, df: DataFrame) -> None:
-        df.select(*TABLES[table].names).write.mode("append").parquet(self.path(table))
+        """Add to a log, which every run does for itself, published or not."""
+        df.select(*TABLES[table].names).write.mode("append").parquet(f"{self.root}/{table}")
+
+    def grant(self, access: DataFrame, run_id: str) -> None:
+        """Replace the stored grants (principal_name, cost_center)."""
+        self.write_run(run_id, "report_access", access.select(*TABLES["report_access"].names))
+        self.publish(run_id, {"report_access": None})
 
 
 def read_tables(spark: SparkSession, root: str, period: str = "day") -> Tables:

@@ -1,54 +1,49 @@
-"""Daily activity per user from an event stream, late rows dropped after the correction window."""
+"""Daily activity per user from an event stream. No event is too late.
+
+A batch is folded to one row per (day, user) and written under its number; a batch that runs twice
+overwrites itself. The state of a day is the sum over batches, so nothing is held in memory between
+batches and a row that arrives a year late still counts.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spendlens.fixed_values import RELOAD_TRAILING_DAYS
 
+def daily_rows(events: DataFrame) -> DataFrame:
+    """activity_date, user_id and value of every event. Days are UTC days; a zone-less `ts` is taken
+    as UTC."""
+    if dict(events.dtypes)["ts"] == "timestamp_ntz":
+        day = F.col("ts").cast("date")
+    else:
+        day = F.date_from_unix_date(F.floor(F.unix_seconds("ts") / 86400).cast("int"))
+    return events.select(
+        day.alias("activity_date"), "user_id", F.col("value").cast("decimal(18,4)").alias("value")
+    )
 
-def stream_daily_activity(
-    events: DataFrame, delay: str = f"{RELOAD_TRAILING_DAYS} days"
-) -> DataFrame:
-    """activity_date, user_id, event count and value. State is kept for the correction window only.
 
-    Days are UTC days; a zone-less `ts` is taken as UTC, which watermarks cannot do themselves.
-    """
-    if dict(events.dtypes)["ts"] == "timestamp_ntz":
-        since_epoch = "timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
-        events = events.withColumn("ts", F.timestamp_micros(F.expr(since_epoch)))
-    day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86400).cast("int"))
-    return (
-        events.withWatermark("ts", delay)
-        .groupBy(F.window("ts", "1 day").alias("w"), "user_id")
-        .agg(
-            F.count("*").alias("events"),
-            F.sum(F.col("value").cast("decimal(18,4)")).cast("decimal(38,4)").alias("value"),
-        )
-        .select(day.alias("activity_date"), "user_id", "events", "value")
+def _fold(rows: DataFrame, events, value: str = "value") -> DataFrame:
+    return rows.groupBy("activity_date", "user_id").agg(
+        events.cast("bigint").alias("events"), F.sum(value).cast("decimal(38,4)").alias("value")
     )
 
 
-def run_to_table(activity: DataFrame, out: str, checkpoint: str):
-    """Write every change of a (day, user) with its batch number; read back with `latest`."""
+def stream_daily_activity(events: DataFrame, out: str, checkpoint: str):
+    """Start a query that folds all events that have arrived into `out` and then stops."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        _fold(batch, F.count("*")).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return (
-        activity.writeStream.outputMode("update")
-        .foreachBatch(write)
+        daily_rows(events)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def latest(changes: DataFrame) -> DataFrame:
-    """The last state of every (day, user)."""
-    return (
-        changes.groupBy("activity_date", "user_id")
-        .agg(F.max_by(F.struct("events", "value"), "batch").alias("s"))
-        .select("activity_date", "user_id", "s.*")
-    )
+def daily_activity(batches: DataFrame) -> DataFrame:
+    """activity_date, user_id, events and value over all batches."""
+    return _fold(batches, F.sum("events"))

@@ -5,12 +5,13 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from spendlens.fixed_values import DATASETS
 from spendlens.operators import dimensions, governance, quality
 from spendlens.operators.staging import stage
 from spendlens.plans import load
 from spendlens.schemas import DIMENSIONS, FACT_KEYS, FACTS
 from spendlens.sources import derive, raw
-from spendlens.sources.tables import Warehouse
+from spendlens.sources.tables import Warehouse, WarehouseMissing
 
 NOW = "2026-08-10 02:00:00"
 
@@ -65,7 +66,7 @@ def test_load_life_cycle(spark, tmp_path, frames, rows, period):
     assert T.dim_date.count() == 61  # August and September, without a gap
 
     # a reload that owns its days drops what the source withdrew
-    load.load_all(wh, frames(_base(("2026-08-02",))), loaded_at=NOW, replace_window=True)
+    load.load_all(wh, frames(_base(("2026-08-02",))), loaded_at=NOW, replace_window=(date(2026, 8, 2), date(2026, 8, 2)))
     T = wh.tables()
     assert rows(T.fact_user_ide_day, "date_key", "editor_key") == [(20260801, "vim"), (20260802, "vim")]
     assert T.fact_premium_requests.count() == 3
@@ -120,7 +121,8 @@ def test_strict_load_publishes_nothing_when_billing_is_orphaned(warehouse, frame
     with pytest.raises(quality.LoadError) as failure:
         load.load_all(warehouse, frames(data))
     assert failure.value.number == 51001
-    assert not warehouse.exists(warehouse.path("fact_premium_requests"))
+    with pytest.raises(WarehouseMissing):
+        warehouse.tables()
 
 
 def test_check_load_numbers():
@@ -130,7 +132,9 @@ def test_check_load_numbers():
         quality.check_load(counts)
     with pytest.raises(quality.LoadError, match="51005"):
         quality.check_load({**counts, "rows_user_day": 1, "rows_seats": 0})
-    assert len(quality.check_load(counts, strict=False)) == 2
+    assert len(quality.check_load(counts, strict=False)) == 3
+    told = quality.check_load({**counts, "rows_premium_requests": 9, "orphaned_billing": 5}, strict=False)
+    assert any(text.startswith("5 billing rows") for text in told)
 
 
 def test_run_is_logged(spark, tmp_path, warehouse):
@@ -201,7 +205,8 @@ def test_cost_centers(spark, rows):
 def test_windows():
     assert load.reload_window(date(2026, 8, 8)) == (date(2026, 8, 1), date(2026, 8, 8))
     assert load.backfill_window(date(2026, 8, 30)) == (date(2026, 8, 1), date(2026, 8, 29))
-    for since, until in (("2026-08-05", "2026-08-01"), ("2026-08-01", "2026-08-30"), ("2026-01-01", "2026-08-01")):
+    assert load.backfill_window(date(2026, 8, 30), date(2020, 1, 1)) == (date(2020, 1, 1), date(2026, 8, 29))
+    for since, until in (("2026-08-05", "2026-08-01"), ("2026-08-01", "2026-08-30")):
         with pytest.raises(ValueError):
             load.backfill_window(date(2026, 8, 30), date.fromisoformat(since), date.fromisoformat(until))
 
@@ -222,3 +227,127 @@ def test_derived_domain_reaches_every_branch(spark):
     assert {r.weight_basis for r in T.fact_user_ide_share.select("weight_basis").distinct().collect()} == {
         "user_interactions", "code_generations", "equal_split"}
     assert derive.events_run_log(derive.events(spark, "/root/testdata/sf0.001")).count() > 0
+
+
+# ------------------------------------------------------------------ publication
+
+
+def _state(wh, rows):
+    T = wh.tables()
+    return {t: rows(T[t]) for t in (*DIMENSIONS, *FACTS)}
+
+
+@pytest.mark.parametrize("step", ["write_run", "publish", "manifest"])
+def test_a_failing_load_leaves_the_old_state_whole(monkeypatch, warehouse, frames, rows, step):
+    load.load_all(warehouse, frames(_base()), loaded_at=NOW)
+    before = _state(warehouse, rows)
+    later = _base(("2026-08-02",))
+    later["premium_requests"] = [_bill("2026-08-02", "ann", "99"), _bill("2026-08-02", "new", "1")]
+
+    def fail(*_, **__):
+        raise OSError("disk")
+
+    if step == "write_run":  # the last table that a load writes
+        write = Warehouse.write_run
+        monkeypatch.setattr(
+            Warehouse, "write_run", lambda wh, run, t, df: fail() if t == "fact_user_ide_share" else write(wh, run, t, df)
+        )
+    elif step == "publish":
+        monkeypatch.setattr(Warehouse, "periods", lambda wh, df: fail())
+    else:
+        monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.coalesce", fail)
+    with pytest.raises(OSError):
+        load.load_all(warehouse, frames(later), loaded_at=NOW)
+    monkeypatch.undo()
+    assert _state(warehouse, rows) == before
+    load.load_all(warehouse, frames(later), loaded_at=NOW)
+    assert warehouse.tables().dim_user.filter("user_key = 'new'").count() == 1
+
+
+def test_open_tables_outlive_the_next_publication(warehouse, frames, rows):
+    load.load_all(warehouse, frames(_base()), loaded_at=NOW)
+    T = warehouse.tables()
+    before = rows(T.fact_premium_requests)
+    load.load_all(warehouse, frames(_base(("2026-08-02",))), loaded_at="2026-09-01 00:00:00")
+    assert rows(T.fact_premium_requests) == before
+
+
+def test_missing_or_otherwise_partitioned_store_is_an_error(spark, tmp_path, frames):
+    with pytest.raises(WarehouseMissing):
+        Warehouse(spark, str(tmp_path / "nowhere")).tables()
+    load.load_all(Warehouse(spark, str(tmp_path / "wh"), "month"), frames(_base()), loaded_at=NOW)
+    with pytest.raises(ValueError, match="month_key"):
+        Warehouse(spark, str(tmp_path / "wh")).tables()
+
+
+def test_a_withdrawn_day_leaves_with_its_window(warehouse, frames, rows):
+    load.load_all(warehouse, frames(_base(("2026-08-01", "2026-08-02", "2026-08-05"))), loaded_at=NOW)
+    window = (date(2026, 8, 1), date(2026, 8, 3))
+    load.load_all(warehouse, frames(_base(("2026-08-01",))), loaded_at=NOW, replace_window=window)
+    T = warehouse.tables()
+    for table in ("fact_user_day", "fact_user_ide_day", "fact_user_ide_share", "fact_premium_requests"):
+        assert {d for (d,) in rows(T[table], "date_key")} == {20260801, 20260805}, table
+
+
+def test_unplaced_billing_is_kept_and_told(warehouse, frames, rows, caplog):
+    data = _base()
+    data["premium_requests"].append(_bill("2026-08-01", "ann", "7", product=" "))
+    counts = load.load_all(warehouse, frames(data), strict=False, loaded_at=NOW, run_id="r1")
+    assert counts["orphaned_billing"] == 1 and "1 billing rows" in caplog.text
+    kept = rows(warehouse.tables().billing_orphans, "run_id", F.col("net_amount").cast("int"), "missing")
+    assert kept == [("r1", 7, "dim_product")]
+
+
+def test_grants_are_stored(spark, warehouse, frames, rows):
+    load.load_all(warehouse, frames(_base()), loaded_at=NOW)
+    warehouse.grant(spark.createDataFrame([("Boss", "*")], "principal_name string, cost_center string"), "g1")
+    T = warehouse.tables()
+    assert rows(governance.restricted(T, principal="boss").dim_user, "user_key") == [("ann",)]
+    assert governance.restricted(T, principal="else").fact_premium_requests.count() == 0
+    assert governance.restricted(T, is_admin=True) is T
+
+
+# ------------------------------------------------------------------ the archive as a stream
+
+
+def test_stream_reads_the_flat_layout_in_any_order(spark, tmp_path, rows):
+    from spendlens.streaming.ingest import stream_ingest
+
+    root = tmp_path / "raw"
+
+    def put(dataset, dt, stamp, *records):
+        folder = root / dataset / f"dt={dt}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{dataset}_acme_{stamp}.json").write_text("[" + ",".join(records) + "]")
+
+    def bill(day, amount):
+        return '{"user_login": "ann", "period": "%s", "payload": {"usageItems": [{"product": "p", "netAmount": %s}]}}' % (day, amount)
+
+    names = DATASETS
+    put(names["seats"], "2026-08-02", "20260802T020000Z", '{"assignee": {"login": "ann", "id": 1}}')
+    put(names["premium_requests"], "2026-08-02", "20260803T020000Z", bill("2026-08-01", 5))
+    put(names["premium_requests"], "2026-08-02", "20260802T020000Z", bill("2026-08-01", 3), bill("2026-08-02", 4))
+    wh, checkpoint = str(tmp_path / "wh"), str(tmp_path / "cp")
+    run = lambda: stream_ingest(spark, str(root), wh, checkpoint, files_per_batch=1, flat=True).awaitTermination()
+    run()
+    put(names["premium_requests"], "2026-08-02", "20260801T020000Z", bill("2026-08-01", 1), bill("2026-08-03", 9))  # late
+    run()
+    facts = Warehouse(spark, wh).tables().fact_premium_requests
+    assert rows(facts, "date_key", F.col("net_amount").cast("int")) == [(20260801, 5), (20260802, 4), (20260803, 9)]
+    (root / "stray.json").write_text("{}")
+    with pytest.raises(Exception, match="Not a path of the raw zone"):
+        run()
+
+
+def test_no_event_is_too_late(spark, tmp_path, rows):
+    from spendlens.streaming.activity import daily_activity, stream_daily_activity
+
+    schema = "ts timestamp_ntz, user_id bigint, value double"
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for moment in ("2026-08-30 10:00:00", "2026-01-01 23:59:59", "2026-08-30 11:00:00"):
+        event = spark.createDataFrame([(moment, 7, 1.5)], "ts string, user_id bigint, value double")
+        event.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(source)
+        events = spark.readStream.schema(schema).parquet(source)
+        stream_daily_activity(events, out, str(tmp_path / "cp")).awaitTermination()
+    got = daily_activity(spark.read.parquet(out)).select(F.col("activity_date").cast("string"), "events", F.col("value").cast("string"))
+    assert rows(got) == [("2026-01-01", 1, "1.5000"), ("2026-08-30", 2, "3.0000")]

@@ -26,6 +26,8 @@ def test_billing_plan(spark, rows):
     ten = _seats(spark, *(("acme", f"user{i}") for i in range(10)))
     plan = quality.billing_plan(ten, "2026-08-01", "2026-08-01", max_users=3)
     assert rows(plan, "user_login") == [("user0",), ("user1",), ("user2",)]
+    assert rows(quality.billing_plan_left_out(ten, 3)) == [("acme", 10, 7)]
+    assert quality.billing_plan(ten, "2026-08-01", "2026-08-01").count() == 10
     two = _seats(spark, ("acme", "a"), ("acme", "b"), ("acme", "b"), ("acme", ""))
     assert quality.billing_plan(two, "2026-08-01", "2026-08-03").count() == 6
     assert quality.billing_plan(ten, "2026-08-01", "2026-08-01", max_users=None).count() == 10
@@ -61,7 +63,7 @@ def test_run_states(spark):
     by_id = {r.run_id: r for r in states.collect()}
     assert (by_id["r1"].status, by_id["r1"].rows_seats) == ("succeeded", 3)
     assert by_id["r2"].status == "abandoned" and str(by_id["r2"].completed_at) == "2026-08-02 04:30:00"
-    assert len(by_id["r3"].message) == 2000
+    assert len(by_id["r3"].message) == 3000
     assert runs.run_state(log, "2026-08-02 03:00:00").filter("run_id = 'r2'").first().status == "running"
     assert runs.ingestion_stalled(states, "2026-08-02 04:30:00").first().stalled is False
     assert runs.ingestion_stalled(states, "2026-08-04 04:30:00").first().stalled is True
@@ -98,7 +100,50 @@ def test_pseudonymise(spark):
 
 
 def test_question_arguments():
-    assert questions.resolve_window(date(2026, 8, 31)) == (date(2026, 8, 1), date(2026, 8, 31))
+    assert tuple(questions.resolve_window(date(2026, 8, 31))) == (date(2026, 8, 1), date(2026, 8, 31))
+    assert tuple(questions.resolve_window(date(2026, 8, 31), date(2020, 1, 1))) == (date(2020, 1, 1), date(2026, 8, 31))
     with pytest.raises(ValueError):
         questions.resolve_window(date(2026, 8, 31), since=date(2026, 9, 1))
-    assert [questions.clamp_limit(n) for n in (None, 0, -1, 7, 5000)] == [25, 25, 25, 7, 500]
+    assert [questions.row_limit(n) for n in (None, 7, 5000)] == [None, 7, 5000]
+    with pytest.raises(ValueError):
+        questions.row_limit(0)
+
+
+def test_damaged_values_are_zero_and_counted(spark):
+    from spendlens.functions import columns as C
+
+    given = ["3.9", "-3.9", "7", "3000000000", "1e3", "NaN", "Infinity", "abc", "", None, "99999999999999999999"]
+    df = spark.createDataFrame([(g,) for g in given], "v string")
+    got = [tuple(r) for r in df.select(C.count("v"), C.count_refused("v")).collect()]
+    assert got == [(3, False), (-3, False), (7, False), (3000000000, False), (1000, False), (0, True), (0, True),
+                   (0, True), (0, False), (0, False), (0, True)]
+    numbers = spark.createDataFrame([(2.7,), (float("nan"),), (float("inf"),)], "v double")
+    assert [r[0] for r in numbers.select(C.count("v")).collect()] == [2, 0, 0]
+    days = spark.createDataFrame([("2026-08-01T10:00",), ("2026-13-45",), ("9999-01-01",), ("",), (None,)], "d string")
+    got = [(str(a), b) for a, b in days.select(C.day("d"), F.coalesce(C.day_refused("d"), F.lit(False))).collect()]
+    assert got == [("2026-08-01", False), ("None", True), ("None", True), ("None", False), ("None", False)]
+
+
+def test_restriction_holds_in_every_report(spark):
+    """As a user who sees nobody, no report that is made of users' rows shows a figure."""
+    from checks.queries import AS_OF, SINCE, UNTIL, events_tables
+    from spendlens.plans import frames, measures, views
+
+    T = events_tables(spark, "/root/testdata/sf0.001")
+    none = spark.createDataFrame([], "principal_name string, cost_center string")
+    R = governance.restricted(T, none, "stranger")
+    empty = [
+        *(view(R) for view in views.VIEWS.values()), views.inactive_seats(R, AS_OF),
+        questions.top_spenders(R, SINCE, UNTIL, None), questions.editor_spend(R, SINCE, UNTIL),
+        questions.user_breakdown(R, "user1", SINCE, UNTIL), questions.month_exact(R, "2024-01"),
+        measures.exact_measures(R, ["model_name"]), measures.allocated_measures(R, ["model_name"]),
+        measures.engagement_measures(R, ["editor_family"]), measures.spend_over_time(R),
+        frames.spend_by(R, "usage_date"), frames.interactions_by_feature_group(R), questions.weight_basis_counts(R),
+    ]
+    for i, report in enumerate(empty):
+        assert report.limit(1).count() == 0, i
+    (total,) = questions.summary(R, SINCE, UNTIL).collect()
+    assert total.total_spend == 0 and total.active_users == 0
+    assert questions.user_exact_total(R, "user1", SINCE, UNTIL).first().net_amount == 0
+    assert frames.kpi_cards(R).first().total_spend is None and frames.detail_cards(R, "user1").first().total_spend is None
+    assert questions.data_freshness(R).collect() == questions.data_freshness(T).collect()
