@@ -8,6 +8,10 @@ from __future__ import annotations
 
 import re
 
+from spendlens.plans.measures import ATTRIBUTION_DISCLAIMER
+
+_DISCLAIMER = ATTRIBUTION_DISCLAIMER.replace("'", "''")
+
 PARTS: dict[str, str] = {}
 ORACLES: dict[str, str] = {}
 
@@ -374,7 +378,10 @@ SELECT dimension, n AS rows, CAST(1 AS BIGINT) AS lowest, n AS highest, n AS num
   SELECT 'dim_user' AS dimension, count(*) AS n FROM dim_user
   UNION ALL SELECT 'dim_org', count(DISTINCT o) FROM ev
   UNION ALL SELECT 'dim_team', count(DISTINCT (team_id, o)) FROM teams
-  UNION ALL SELECT 'dim_editor', count(DISTINCT ide) FROM ide WHERE ide <> '')""")
+  UNION ALL SELECT 'dim_editor', count(DISTINCT ide) FROM ide WHERE ide <> ''
+  UNION ALL SELECT 'dim_model', count(DISTINCT model) FROM (SELECT model FROM prem UNION ALL SELECT model FROM mf)
+  UNION ALL SELECT 'dim_product', count(DISTINCT (product, sku)) FROM prem
+  UNION ALL SELECT 'dim_feature', count(DISTINCT feature) FROM mf)""")
 
 # ------------------------------------------------------------------ facts
 
@@ -563,9 +570,10 @@ SELECT {_FAMILY.format('ide')} AS editor_family, o AS org_login, CAST(sum(i) AS
 FROM fide GROUP BY ALL""")
 oracle("seat_measures", f"""
 SELECT count(*) AS idle_seats, CAST(sum(net_amount_30d) AS {_T}) AS idle_seat_spend_30d FROM idle""")
-oracle("freshness_measures", """
+oracle("freshness_measures", f"""
 SELECT 'Data through ' || strftime(max(d), '%Y-%m-%d') AS data_freshness,
-       CAST(date_diff('day', max(d), DATE '2024-01-31') AS INTEGER) AS days_since_refresh FROM fp""")
+       CAST(date_diff('day', max(d), DATE '2024-01-31') AS INTEGER) AS days_since_refresh,
+       '{_DISCLAIMER}' AS attribution_disclaimer FROM fp""")
 
 
 def _over_time(facts: str, by: str = "") -> str:
@@ -636,7 +644,8 @@ oracle("detail_matrix_of_user", _matrix("v1", "WHERE uk = 'user1'"))
 oracle("detail_cards", f"""
 SELECT (SELECT CAST(sum(net) AS {_T}) FROM fp WHERE uk = 'user1') AS total_spend,
        {_div(_UN, 'sum(allocated_net_amount)')} AS unallocated_pct,
-       {_div(_EQ, 'sum(allocated_net_amount)')} AS equal_split_fallback_pct FROM v1 WHERE uk = 'user1'""")
+       {_div(_EQ, 'sum(allocated_net_amount)')} AS equal_split_fallback_pct,
+       '{_DISCLAIMER}' AS attribution_disclaimer FROM v1 WHERE uk = 'user1'""")
 oracle("idle_seat_table", "SELECT user_login, days_since_activity, net_amount_30d FROM idle")
 oracle("acceptance_by_editor_family", f"""
 SELECT {_FAMILY.format('ide')} AS editor_family, {_div('sum(a)', 'sum(g)')} AS acceptance_rate FROM fide GROUP BY ALL""")
@@ -735,8 +744,14 @@ UNION ALL SELECT 'dangling users of fact_user_ide_day', count(*) FROM fide WHERE
 UNION ALL SELECT 'dangling users of staged user_ide', count(*) FROM ide WHERE lower(login) NOT IN (SELECT uk FROM dim_user)
 UNION ALL SELECT 'duplicate staged user_day', count(*) FROM (SELECT 1 FROM ud GROUP BY d, lower(login), o HAVING count(*) > 1)""")
 oracle("allocation_drift", f"""
-SELECT usage_date, CAST(sum(allocated_net_amount) AS {_A}) AS allocated, CAST(max(e) AS {_T}) AS exact
-FROM v1 JOIN (SELECT d, sum(net) AS e FROM fp GROUP BY d) x ON x.d = v1.usage_date GROUP BY usage_date""")
+SELECT usage_date, CAST(sum(allocated) AS {_A}) AS allocated, CAST(sum(net) AS {_T}) AS exact,
+       CAST(sum(abs(net - allocated)) AS {_A}) AS drift
+FROM (SELECT f.d AS usage_date, CAST(f.net AS {_T}) AS net, CAST(x.allocated AS {_A}) AS allocated
+      FROM fp f JOIN (SELECT usage_date, uk, org_login, model_name, product, sku, sum(allocated_net_amount) AS allocated
+                      FROM v1 GROUP BY ALL) x
+      ON x.usage_date = f.d AND x.uk = f.uk AND x.org_login = f.o AND x.model_name = f.model
+         AND x.product = f.product AND x.sku = f.sku)
+GROUP BY usage_date""")
 
 # ------------------------------------------------------------------ governance
 

@@ -47,7 +47,7 @@ def events_tables(spark: SparkSession, sf_dir: str) -> Tables:
         ev = derive.events(spark, sf_dir)
         load.load_all(
             Warehouse(spark, root),
-            derive.events_datasets(spark, sf_dir),
+            derive.events_datasets(spark, sf_dir, f"{root}/_events"),
             loaded_at="2024-01-31 02:00:00",
             cost_centers=derive.events_cost_centers(ev),
         )
@@ -61,7 +61,7 @@ def orders_tables(spark: SparkSession, sf_dir: str) -> Tables:
     def make(root: str) -> None:
         load.load_all(
             Warehouse(spark, root, "month"),
-            derive.orders_datasets(spark, sf_dir),
+            derive.orders_datasets(spark, sf_dir, f"{root}/_lines"),
             loaded_at="2001-11-30 02:00:00",
         )
 
@@ -196,7 +196,10 @@ def _numbering(T: Tables) -> DataFrame:
             F.count("*").alias("rows"), F.min(sk).alias("lowest"), F.max(sk).alias("highest"),
             F.countDistinct(sk).alias("numbers"),
         ).withColumn("dimension", F.lit(d))
-        for d, sk in (("dim_user", "user_sk"), ("dim_org", "org_sk"), ("dim_team", "team_sk"), ("dim_editor", "editor_sk"))
+        for d, sk in (
+            ("dim_user", "user_sk"), ("dim_org", "org_sk"), ("dim_team", "team_sk"), ("dim_editor", "editor_sk"),
+            ("dim_model", "model_sk"), ("dim_product", "product_sk"), ("dim_feature", "feature_sk"),
+        )
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -304,7 +307,7 @@ events_query(
 events_query("seat_measures", lambda T: measures.seat_measures(views.inactive_seats(T, AS_OF)))
 events_query(
     "freshness_measures",
-    lambda T: measures.freshness_measures(T, AS_OF).drop("attribution_disclaimer"),
+    lambda T: measures.freshness_measures(T, AS_OF),
 )
 for _column in ("usage_date", "model_name", "cost_center"):
     events_query(f"spend_by_{_column}", lambda T, c=_column: frames.spend_by(T, c))
@@ -318,7 +321,7 @@ events_query(
 events_query("detail_matrix", frames.detail_matrix)
 events_query("detail_matrix_of_user", lambda T: frames.detail_matrix(T, "user1"))
 events_query(
-    "detail_cards", lambda T: frames.detail_cards(T, "user1").drop("attribution_disclaimer")
+    "detail_cards", lambda T: frames.detail_cards(T, "user1")
 )
 events_query("idle_seat_table", lambda T: frames.idle_seat_table(T, AS_OF))
 events_query("acceptance_by_editor_family", frames.acceptance_by_editor_family)
@@ -466,6 +469,7 @@ def _drift_by_day(T: Tables) -> DataFrame:
     return drift.groupBy(F.to_date(F.col("date_key").cast("string"), "yyyyMMdd").alias("usage_date")).agg(
         F.sum("allocated").cast("decimal(38,6)").alias("allocated"),
         F.sum("net_amount").cast("decimal(38,4)").alias("exact"),
+        F.sum("drift").cast("decimal(38,6)").alias("drift"),
     )
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlens import fixed_values as V
 from spendlens.functions import columns as C
+from spendlens.operators.allocate import between
 from spendlens.schemas import FACTS
 from spendlens.sources.tables import Tables, Warehouse
 
@@ -97,9 +98,11 @@ def erase_user(dim_user: DataFrame, login: str) -> DataFrame:
     )
 
 
-def _without(wh: Warehouse, run_id: str, table: str, fact: DataFrame, condition) -> dict[str, list[int]]:
+def _without(
+    wh: Warehouse, run_id: str, table: str, fact: DataFrame, condition, matching: DataFrame | None = None
+) -> dict[str, list[int]]:
     """Write the partitions that hold matching rows without them; what to publish for that."""
-    periods = wh.periods(fact.filter(condition))
+    periods = wh.periods(fact.filter(condition) if matching is None else matching)
     if not periods:
         return {}
     wh.write_run(run_id, table, wh.in_periods(fact, periods).filter(~condition))
@@ -134,12 +137,12 @@ def cutoff_date(as_of: date, retain_days: int = V.RETAIN_DAYS) -> date:
 
 def purge_preview(T, as_of: date, retain_days: int = V.RETAIN_DAYS) -> DataFrame:
     cutoff = cutoff_date(as_of, retain_days)
-    old = F.col("date_key") < C.to_date_key(cutoff)
+    last = cutoff - timedelta(days=1)
     return T.dim_date.sparkSession.range(1).select(
         F.lit(str(cutoff)).cast("date").alias("cutoff_date"),
-        _rows(T.fact_user_day.filter(old)).alias("activity_rows"),
-        _rows(T.fact_user_ide_day.filter(old)).alias("ide_rows"),
-        _rows(T.fact_premium_requests.filter(old)).alias("billing_rows"),
+        _rows(between(T.fact_user_day, until=last)).alias("activity_rows"),
+        _rows(between(T.fact_user_ide_day, until=last)).alias("ide_rows"),
+        _rows(between(T.fact_premium_requests, until=last)).alias("billing_rows"),
     )
 
 
@@ -157,10 +160,11 @@ def purge(
     if not confirm:
         return preview
     result = wh.spark.createDataFrame(preview.collect(), preview.schema)
-    old = F.col("date_key") < C.to_date_key(cutoff_date(as_of, retain_days))
+    last = cutoff_date(as_of, retain_days) - timedelta(days=1)
+    old = F.col("date_key") <= C.to_date_key(last)
     publish: dict[str, list[int] | None] = {}
     for table in FACTS if include_billing else ACTIVITY_FACTS:
-        publish |= _without(wh, run_id, table, T[table], old)
+        publish |= _without(wh, run_id, table, T[table], old, between(T[table], until=last))
     if publish:
         wh.publish(run_id, publish)
     wh.end_run(run_id)

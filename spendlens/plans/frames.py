@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spendlens.functions import columns as C
 from spendlens.operators.allocate import between
 from spendlens.plans import measures as M
-from spendlens.plans.views import allocated_rows, attach, inactive_seats
+from spendlens.plans.views import allocated_rows, allocated_totals, attach, inactive_seats
 
 
 # ------------------------------------------------------------------ executive summary
@@ -54,7 +54,7 @@ def detail_matrix(T, login: str | None = None, since=None, until=None) -> DataFr
     """
     key = None if login is None else login.rstrip(" ").lower()
     path = ["model_name", "editor_family", "feature"]
-    rows = allocated_rows(T, path, since, until, key)
+    rows = allocated_totals(T, path, since, until, key)
     rolled = rows.rollup(*path).agg(
         F.sum("allocated_net_amount").cast(C.ALLOCATED_TOTAL).alias("total_spend_allocated"),
         F.sum("allocated_quantity").cast(C.ALLOCATED_TOTAL).alias("allocated_requests"),
@@ -70,7 +70,7 @@ def detail_matrix(T, login: str | None = None, since=None, until=None) -> DataFr
 def detail_cards(T, login: str, since=None, until=None) -> DataFrame:
     key = login.rstrip(" ").lower()
     exact = between(T.fact_premium_requests, since, until, key).agg(M.EXACT["total_spend"]())
-    return allocated_rows(T, (), since, until, key).agg(
+    return allocated_totals(T, (), since, until, key).agg(
         exact.scalar().alias("total_spend"),
         M.ALLOCATED["unallocated_pct"]().alias("unallocated_pct"),
         M.ALLOCATED["equal_split_fallback_pct"]().alias("equal_split_fallback_pct"),

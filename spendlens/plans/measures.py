@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from spendlens import fixed_values as V
 from spendlens.functions import columns as C
 from spendlens.operators.allocate import between
-from spendlens.plans.views import allocated_rows, attach, exact_rows
+from spendlens.plans.views import allocated_totals, attach, exact_rows
 
 ATTRIBUTION_DISCLAIMER = (
     "Dollars per user and per model are exact. The split by editor and feature is modelled from "
@@ -85,7 +85,7 @@ def exact_measures(T, by=(), names=None, filters: dict | None = None, since=None
 
 
 def allocated_measures(T, by=(), names=None, filters: dict | None = None, since=None, until=None):
-    rows = allocated_rows(T, {*by, *(filters or {})}, since, until)
+    rows = allocated_totals(T, {*by, *(filters or {})}, since, until)
     return _evaluate(_where(rows, filters), ALLOCATED, names, by)
 
 
@@ -191,7 +191,7 @@ def seat_measures(idle: DataFrame, by=()) -> DataFrame:
 
 
 def freshness_measures(T, as_of) -> DataFrame:
-    latest = T.whole("fact_premium_requests").agg(
+    latest = T.newest("fact_premium_requests").agg(
         F.to_date(F.max("date_key").cast("string"), "yyyyMMdd").alias("latest")
     )
     return latest.select(

@@ -165,22 +165,22 @@ def editor_spend(T, since, until) -> DataFrame:
 
 
 def _latest(fact: DataFrame) -> DataFrame:
-    """Latest day of a fact, from its partition column alone."""
+    """Latest day of a fact, from its newest partition."""
     return fact.agg(F.to_date(F.max("date_key").cast("string"), "yyyyMMdd").alias("latest_date"))
 
 
 def data_freshness(T) -> DataFrame:
     succeeded = T.ingestion_run.filter(F.col("status") == V.SUCCEEDED)
     return T.dim_date.sparkSession.range(1).select(
-        _latest(T.whole("fact_premium_requests")).scalar().alias("latest_billing_date"),
-        _latest(T.whole("fact_user_day")).scalar().alias("latest_activity_date"),
+        _latest(T.newest("fact_premium_requests")).scalar().alias("latest_billing_date"),
+        _latest(T.newest("fact_user_day")).scalar().alias("latest_activity_date"),
         succeeded.agg(F.max("completed_at")).scalar().alias("last_successful_run"),
     )
 
 
 def freshness_by_fact(T) -> DataFrame:
     parts = [
-        _latest(T.whole(table)).select(F.lit(name).alias("fact"), "latest_date")
+        _latest(T.newest(table)).select(F.lit(name).alias("fact"), "latest_date")
         for name, table in (
             ("premium_requests", "fact_premium_requests"),
             ("user_day", "fact_user_day"),

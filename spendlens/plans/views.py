@@ -6,6 +6,8 @@ Windows and users are pushed to the facts' partition column and sort column, ahe
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,17 +66,33 @@ def allocated_rows(T, columns, since=None, until=None, user_key: str | None = No
 
     Labels of the billing side are joined before the rows are fanned out, while they are few.
     """
-    optional = {"editor_name", "editor_family", "feature", "feature_group"}
     billing = billing_rows(T, since, until, user_key)
-    billing = attach(billing, T, [c for c in columns if c not in optional])
-    rows = fan_out(billing, T, since, until, user_key)
-    rows = attach(rows, T, [c for c in columns if c in optional], "left")
-    for name in optional.intersection(columns):
+    billing = attach(billing, T, [c for c in columns if c not in _OPTIONAL])
+    return _with_optional(fan_out(billing, T, since, until, user_key), T, columns)
+
+
+_OPTIONAL = {"editor_name", "editor_family", "feature", "feature_group"}
+
+
+def _with_optional(rows: DataFrame, T, columns) -> DataFrame:
+    rows = attach(rows, T, [c for c in columns if c in _OPTIONAL], "left")
+    for name in sorted(_OPTIONAL.intersection(columns)):
         text = V.UNATTRIBUTED if name in ("editor_name", "feature") else V.UNATTRIBUTED_LABEL
         rows = rows.withColumn(name, F.coalesce(name, F.lit(text)))
     return rows
 
 
+def allocated_totals(T, columns, since=None, until=None, user_key: str | None = None) -> DataFrame:
+    """Sums of the allocated rows by the keys behind the named labels, quality and basis, labelled
+    after they are folded: what a report sums further, without a label on every row."""
+    keys = [DIMENSION_KEYS[n] for n, labels in LABELS.items() if any(c in labels for c in columns)]
+    amounts = ("allocated_net_amount", "allocated_gross_amount", "allocated_quantity")
+    rows = fan_out(billing_rows(T, since, until, user_key), T, since, until, user_key)
+    rows = rows.groupBy(*keys, "attribution_quality", "weight_basis").agg(*(F.sum(a).alias(a) for a in amounts))
+    rows = attach(rows, T, [c for c in columns if c not in _OPTIONAL])
+    return _with_optional(rows, T, columns)
+
+
 def spend_by_user_model_editor(T, since=None, until=None, login: str | None = None) -> DataFrame:
     """Headline view: exact spend split over editors and features."""
     key = None if login is None else login.rstrip(" ").lower()
@@ -192,9 +210,9 @@ def inactive_seats(T, as_of, idle_days: int = V.IDLE_DAYS, seats_only: bool = Fa
     Anyone ever seen counts unless `seats_only` keeps users that hold a seat.
     """
     now = F.lit(str(as_of)).cast("timestamp_ntz")
-    since = F.date_sub(F.lit(str(as_of)[:10]).cast("date"), idle_days)
+    since = date.fromisoformat(str(as_of)[:10]) - timedelta(days=idle_days)
     spend = (
-        T.fact_premium_requests.filter(F.col("date_key") >= C.date_key(since))
+        between(T.fact_premium_requests, since)
         .groupBy("user_key")
         .agg(F.sum("net_amount").cast(C.TOTAL).alias("spent"))
     )

@@ -190,8 +190,17 @@ def events_cost_centers(ev: DataFrame) -> DataFrame:
     )
 
 
-def events_datasets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    ev = events(spark, sf_dir)
+def kept(df: DataFrame, path: str | None) -> DataFrame:
+    """The rows through a table, so that several readers do not make them anew."""
+    if path is None:
+        return df
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def events_datasets(spark: SparkSession, sf_dir: str, scratch: str | None = None) -> dict[str, DataFrame]:
+    """With a scratch folder events are parsed once for all staging tables."""
+    ev = kept(events(spark, sf_dir), scratch)
     return {
         "user_day": events_user_day(ev),
         "user_ide": events_user_ide(ev),
@@ -276,8 +285,9 @@ def _order_counts():
     ]
 
 
-def orders_datasets(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    lines = order_lines(spark, sf_dir)
+def orders_datasets(spark: SparkSession, sf_dir: str, scratch: str | None = None) -> dict[str, DataFrame]:
+    """With a scratch folder the lines are joined once for all staging tables."""
+    lines = kept(order_lines(spark, sf_dir), scratch)
     off = F.expr("cast(price * discount as decimal(18,4))")
     dated = [F.col("d").alias("activity_date"), F.col("u").alias("user_login"), F.col("o").alias("org_login")]
     ide = f"element_at({_IDES}, l_linenumber % 6 + 1)"

@@ -38,8 +38,10 @@ class Tables:
         load: Callable[[str], DataFrame],
         frames: dict[str, DataFrame] | None = None,
         visible: DataFrame | None = None,
+        newest: Callable[[str], DataFrame] | None = None,
     ):
         self._load = load
+        self._newest = newest
         self._frames = dict(frames or {})
         self._visible = visible
 
@@ -61,12 +63,18 @@ class Tables:
 
     def replace(self, **frames: DataFrame) -> Tables:
         """The same star schema with some tables swapped."""
-        return Tables(self._load, {**self._frames, **frames}, self._visible)
+        return Tables(self._load, {**self._frames, **frames}, self._visible, self._newest)
 
     def restricted(self, visible: DataFrame) -> Tables:
         """The same star schema as someone sees it who may see these users (user_key): every table
         that holds users is cut to them, whatever a report shows of it."""
-        return Tables(self._load, self._frames, visible.select("user_key").distinct())
+        return Tables(self._load, self._frames, visible.select("user_key").distinct(), self._newest)
+
+    def newest(self, name: str) -> DataFrame:
+        """The newest stored partition of a fact, without restriction; all of it where none is known."""
+        if self._newest is None or name in self._frames:
+            return self.whole(name)
+        return self._newest(name)
 
 
 def write_all(jobs: Iterable[Callable[[], None]], at_once: int = 8) -> None:
@@ -187,12 +195,11 @@ class Warehouse:
                 return empty(self.spark, self.schema(table))
             return self._read(table, sorted(parts[table].values()))
 
-        return Tables(read)
+        def newest(table: str) -> DataFrame:
+            periods = parts.get(table)
+            return self._read(table, [periods[max(periods)]]) if periods else empty(self.spark, self.schema(table))
 
-    def latest_days(self, T: Tables, table: str) -> DataFrame:
-        """A fact cut to its newest partition, from the manifest alone."""
-        parts = self._published()[1].get(table)
-        return self.in_periods(T.whole(table), [max(parts)]) if parts else T.whole(table)
+        return Tables(read, newest=newest)
 
     # ------------------------------------------------------------------ writing
 

@@ -97,18 +97,18 @@ def golden():
     """One user-day for every tier of the allocation, ten dollars each."""
     data = {n: [] for n in SHAPES}
     users = {
-        "prompts": activity(DAY, "prompts", [("vscode", 7, 5), ("visualstudio", 3, 3)],
-                            [("gpt-5.3", "chat_panel_agent_mode", 6), ("gpt-5.3", "chat_inline", 2)]),
-        "codes": activity(DAY, "codes", [("vscode", 0, 1), ("vim", 0, 3)], [("gpt-5.3", "chat_inline", 0)]),
+        "prompts": activity(DAY, "prompts", [("zed", 13, 5), ("emacs", 7, 4)],
+                            [("opal-2", "agent_edit", 6), ("opal-2", "chat_inline", 2)]),
+        "codes": activity(DAY, "codes", [("vscode", 0, 1), ("vim", 0, 3)], [("opal-2", "chat_inline", 0)]),
         "equal": activity(DAY, "equal", [("vscode", 0, 0), ("vim", 0, 0), ("emacs", 0, 0)]),
-        "idle": activity(DAY, "idle", [], [("gpt-5.3", "chat_inline", 0), ("gpt-5.3", "agent_edit", 0)]),
+        "idle": activity(DAY, "idle", [], [("opal-2", "chat_inline", 0), ("opal-2", "agent_edit", 0)]),
         "none": activity(DAY, "none", []),
         "zero": activity(DAY, "zero", [("vscode", 4, 0), ("vim", 0, 9)]),
     }
     for i, (login, parts) in enumerate(users.items(), start=1):
         for name, found in parts.items():
             data[name] += found
-        data["premium_requests"].append((DAY, login, "acme", "plan", "premium", "gpt-5.3", "10.0000"))
+        data["premium_requests"].append((DAY, login, "acme", "plan", "premium", "opal-2", "10.0000"))
         data["seats"].append((login, i, "acme", "Platform" if i % 2 else "", "business", "2026-08-01 10:00:00"))
         data["user_teams"].append((DAY, login, i, "acme", 42, "frontend"))
     data["user_teams"].append((DAY, "prompts", 1, "acme", 43, "backend"))

@@ -24,7 +24,7 @@ def _shares(df, rows, user):
 def test_ide_share_tiers(T, rows):
     df = T.fact_user_ide_share
     assert _shares(df, rows, "prompts") == [
-        ("visualstudio", "0.30000000", "user_interactions"), ("vscode", "0.70000000", "user_interactions")]
+        ("emacs", "0.35000000", "user_interactions"), ("zed", "0.65000000", "user_interactions")]
     assert _shares(df, rows, "codes") == [
         ("vim", "0.75000000", "code_generations"), ("vscode", "0.25000000", "code_generations")]
     assert _shares(df, rows, "equal") == [
@@ -58,10 +58,10 @@ def test_headline_view(T, rows):
     view = views.spend_by_user_model_editor(T, login="Prompts ")
     got = rows(view, "editor_family", "feature", "feature_group", F.col("allocated_net_amount").cast("string"))
     assert got == [
-        ("VISUALSTUDIO", "chat_inline", "Chat", "0.750000"),
-        ("VISUALSTUDIO", "chat_panel_agent_mode", "Chat", "2.250000"),
-        ("VSCODE", "chat_inline", "Chat", "1.750000"),
-        ("VSCODE", "chat_panel_agent_mode", "Chat", "5.250000")]
+        ("EMACS", "agent_edit", "Agent", "2.625000"),
+        ("EMACS", "chat_inline", "Chat", "0.875000"),
+        ("ZED", "agent_edit", "Agent", "4.875000"),
+        ("ZED", "chat_inline", "Chat", "1.625000")]
     unattributed = views.spend_by_user_model_editor(T, login="none").first()
     assert (unattributed.editor_name, unattributed.editor_family) == ("unattributed", "Unattributed")
     assert (unattributed.feature, unattributed.ide_share, unattributed.feature_share) == ("unattributed", 1, 1)
@@ -94,7 +94,7 @@ def test_questions(T, rows):
     since, until = date(2026, 8, 1), date(2026, 8, 1)
     top = questions.top_spenders(T, since, until, 2).collect()
     assert [r.user_login for r in top] == ["codes", "equal"]
-    assert questions.user_breakdown(T, "prompts", since, until).first().spend == Decimal("5.25")
+    assert questions.user_breakdown(T, "prompts", since, until).first().spend == Decimal("4.875")
     assert questions.user_exact_total(T, "nobody", since, until).collect()[0].asDict() == {
         "net_amount": 0, "quantity": 0, "models_used": 0}
     assert questions.summary(T, since, until).first().total_spend == 60
