@@ -597,12 +597,12 @@ orders_query(
     ),
 )
 orders_query(
-    "orders_editor_spend", lambda T: questions.editor_spend(T, date(1995, 1, 1), date(2001, 12, 31))
+    "orders_editor_spend", lambda T: questions.editor_spend(T, None, None)
 )
 orders_query("orders_detail_matrix", frames.detail_matrix)
 orders_query(
     "orders_top_spenders",
-    lambda T: questions.top_spenders(T, date(1995, 1, 1), date(2001, 12, 31), 100),
+    lambda T: questions.top_spenders(T, None, None, 100),
 )
 orders_query("orders_monthly_spend_by_team", views.monthly_spend_by_team)
 orders_query("orders_spend_over_time", measures.spend_over_time)
