@@ -108,8 +108,9 @@ def fan_out(billing: DataFrame, T, since=None, until=None, user_key: str | None
     editors = between(T.fact_user_ide_share, since, until, user_key).select(
         *USER_DAY, "editor_key", F.col("share").alias("_ide"), "weight_basis"
     )
-    features = feature_share(T.fact_user_model_feature_day, since, until, user_key)
-    features = features.withColumnRenamed("share", "_feature")
+    features = between(T.fact_user_feature_share, since, until, user_key).select(
+        *USER_DAY_MODEL, "feature_key", F.col("share").alias("_feature")
+    )
     ide, feature = F.col("_ide"), F.col("_feature")
     ide_or_one = F.coalesce(ide, F.lit(1).cast(C.IDE_SHARE))
     feature_or_one = F.coalesce(feature, F.lit(1).cast(C.FEATURE_SHARE))

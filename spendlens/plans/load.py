@@ -153,6 +153,12 @@ def load_all(
 
     write_all(lambda t=table: load_fact(t) for table in facts.LOADS)
     shared = _rebuild_shares(wh, run_id, stored, staged, loaded_at, basis, fallback, replace_window)
+    # a share needs its own day, user and model only, and the run holds whole periods
+    features = allocate.feature_share(wh.read_run(run_id, "fact_user_model_feature_day"))
+    touched["fact_user_feature_share"] = touched["fact_user_model_feature_day"]
+    wh.write_run(
+        run_id, "fact_user_feature_share", facts.stamp(features, "fact_user_feature_share", loaded_at)
+    )
     lost = quality.orphans(staged["premium_requests"], dims, "premium_requests")
     if counts["orphaned_billing"]:
         wh.append("billing_orphans", runs.orphan_rows(lost, run_id, loaded_at))

@@ -248,7 +248,7 @@ def register_views(T, as_of) -> None:
     """Temporary views under their report names, and the tables, for ad-hoc SQL."""
     for name in (*DIMENSION_KEYS, "fact_premium_requests", "fact_user_day", "fact_user_ide_day",
                  "fact_user_model_feature_day", "fact_user_team_day", "fact_user_ide_share",
-                 "ingestion_run"):
+                 "fact_user_feature_share", "ingestion_run"):
         T[name].createOrReplaceTempView(name)
     for name, view in VIEWS.items():
         view(T).createOrReplaceTempView(name)

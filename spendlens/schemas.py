@@ -66,6 +66,7 @@ _TYPES = {
     "decimal(18,4)": T.DecimalType(18, 4),
     "decimal(18,6)": T.DecimalType(18, 6),
     "decimal(9,8)": T.DecimalType(9, 8),
+    "decimal(18,8)": T.DecimalType(18, 8),
 }
 
 
@@ -173,6 +174,10 @@ FACTS = {
     "fact_user_team_day": _ddl(
         "date_key int", "user_key string", "team_key string", "loaded_at timestamp_ntz",
     ),
+    "fact_user_feature_share": _ddl(
+        *_GRAIN, "model_key string", "feature_key string", "share decimal(18,8)",
+        "loaded_at timestamp_ntz",
+    ),
     "fact_user_ide_share": _ddl(
         *_GRAIN, "editor_key string", "share decimal(9,8)", "weight_basis string",
         "loaded_at timestamp_ntz",
@@ -185,6 +190,7 @@ FACT_KEYS = {
     "fact_user_ide_day": ["date_key", "user_key", "org_key", "editor_key"],
     "fact_user_model_feature_day": ["date_key", "user_key", "org_key", "model_key", "feature_key"],
     "fact_user_team_day": ["date_key", "user_key", "team_key"],
+    "fact_user_feature_share": ["date_key", "user_key", "org_key", "model_key", "feature_key"],
     "fact_user_ide_share": ["date_key", "user_key", "org_key", "editor_key"],
 }
 

@@ -8,7 +8,7 @@ from checks.compare import compare, connect
 from checks.oracles import ORACLES
 from checks.queries import QUERIES, events_tables
 from spendlens.operators import allocate
-from spendlens.plans import questions, views
+from spendlens.plans import frames, questions, views
 
 from .conftest import SMALL
 
@@ -63,3 +63,15 @@ def test_share_moves_each_fact_row_once(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2  # the rows, and their folded totals
     assert "Window" not in plan
+
+
+def test_allocated_reports_fold_before_labels(spark):
+    """Stored shares leave two joins below the fan-out, and a report's rollup sees folded rows."""
+    T = events_tables(spark, SMALL)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(frames.detail_matrix(T))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expand = plan.index("Expand")
+    assert "fact_user_model_feature_day" not in plan and "HashAggregate" in plan[expand:]
