@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
@@ -142,15 +143,22 @@ def _format(vocabulary, most: int, lot: int = 256):
     def rows(pieces) -> pa.RecordBatch:
         rendered = [render(turns, piece == 0) for _, piece, turns in pieces]
         encoded = tokenizer(vocabulary.value).encode_batch([t for t, _ in rendered], add_special_tokens=False)
-        out = []
-        for (conv, piece, turns), (text, spans), e in zip(pieces, rendered, encoded, strict=True):
-            offsets = np.array(e.offsets, dtype=np.int32).reshape(-1, 2)
+        tokens = []
+        for (_, spans), e in zip(rendered, encoded, strict=True):
+            offsets = np.fromiter(chain.from_iterable(e.offsets), dtype=np.int32, count=2 * len(e)).reshape(-1, 2)
             starts, ends = offsets[:, 0], offsets[:, 1]
-            out.append((conv, piece, text, e.ids, starts, ends, masked(starts, ends, spans), len(turns)))
-        kinds = [pa.int64(), pa.int64(), pa.string(), *[pa.list_(pa.int32())] * 3, pa.list_(pa.bool_()), pa.int64()]
-        names = ["conv_id", "piece", "text", "ids", "starts", "ends", "loss", "n_turns"]
+            tokens.append((np.array(e.ids, dtype=np.int32), starts, ends, masked(starts, ends, spans)))
+        cuts = pa.array(np.cumsum([0, *(len(t[0]) for t in tokens)]), pa.int32())
+        columns = [pa.ListArray.from_arrays(cuts, pa.array(np.concatenate(c))) for c in zip(*tokens, strict=True)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names
+            [
+                pa.array([p[0] for p in pieces], pa.int64()),
+                pa.array([p[1] for p in pieces], pa.int64()),
+                pa.array([t for t, _ in rendered], pa.string()),
+                *columns,
+                pa.array([len(p[2]) for p in pieces], pa.int64()),
+            ],
+            names=["conv_id", "piece", "text", "ids", "starts", "ends", "loss", "n_turns"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,16 +197,16 @@ class _Reader:
         self.own, self.turns, self.loss = own, hashlib.sha256(), hashlib.sha256()
         self.n_turns = self.loss_chars = self.chars = 0
 
-    def add(self, ids: list[int], loss: list[bool]) -> None:
-        text = self.own.decode(ids, skip_special_tokens=False)
+    def add(self, ids: np.ndarray, loss: np.ndarray) -> None:
+        text = self.own.decode(ids.tolist(), skip_special_tokens=False)
         self.chars += len(text)
         for role, body in parse(text):
             self.turns.update(f"{role}\n{body}\n".encode("utf-8", "surrogatepass"))
             self.n_turns += 1
         # runs of masked tokens are the assistants' texts; an empty one has no token
-        edges = np.flatnonzero(np.diff(np.concatenate([[0], np.asarray(loss, np.int8), [0]])))
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], loss.astype(np.int8), [0]])))
         for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-            body = unescape(self.own.decode(ids[a:b], skip_special_tokens=False))
+            body = unescape(self.own.decode(ids[a:b].tolist(), skip_special_tokens=False))
             self.loss_chars += len(body)
             self.loss.update(body.encode("utf-8", "surrogatepass"))
 
@@ -206,6 +214,13 @@ class _Reader:
 READ = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 
+def _rows_of(lists: pa.ListArray):
+    """The lists of a column one by one, without Python objects for their entries."""
+    values = lists.values.to_numpy(zero_copy_only=False)
+    offsets = lists.offsets.to_numpy()
+    return lambda i: values[offsets[i] : offsets[i + 1]]
+
+
 def _read_back(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(vocabulary.value)
@@ -224,14 +239,13 @@ def _read_back(vocabulary):
             )
 
         for batch in batches:
-            for conv, piece, ids, loss in zip(
-                *(batch[c].to_pylist() for c in ("conv_id", "piece", "ids", "loss")), strict=True
-            ):
+            ids_of, loss_of = _rows_of(batch["ids"]), _rows_of(batch["loss"])
+            for i, (conv, piece) in enumerate(zip(batch["conv_id"].to_pylist(), batch["piece"].to_pylist(), strict=True)):
                 if piece == 0:
                     if reader:
                         close()
                     reader, key = _Reader(own), conv
-                reader.add(ids, loss)
+                reader.add(ids_of(i), loss_of(i))
             if done:
                 yield batch_of(done)
                 done.clear()
