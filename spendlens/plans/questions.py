@@ -238,39 +238,51 @@ def _month(year_month: str) -> tuple[date, date]:
 # ------------------------------------------------------------------ result blocks
 
 
-def _block(total: DataFrame | None, rows: DataFrame, order: list) -> DataFrame:
-    """position, name, value: an optional total line, then a short list that is already cut."""
+def _rest(parts: DataFrame, shown: DataFrame) -> DataFrame:
+    """What a cut list leaves out, if anything; the lines and this add up to all parts."""
+    left = parts.agg(F.coalesce(F.sum("spend"), F.lit(0)).alias("spend")).withColumn(
+        "shown", shown.agg(F.coalesce(F.sum("spend"), F.lit(0))).scalar()
+    )
+    return left.select((F.col("spend") - F.col("shown")).alias("spend")).filter("spend <> 0")
+
+
+def _block(total: DataFrame | None, rows: DataFrame, order: list, rest: DataFrame | None = None) -> DataFrame:
+    """position, name, value: an optional total line, then a short list that is already cut, and
+    optionally what the list leaves out."""
     numbered = rows.withColumn("position", F.row_number().over(Window.orderBy(*order)))
     block = numbered.select("position", "name", "value")
+    if rest is not None:
+        last = F.lit(2**31 - 1).alias("position")
+        block = block.unionByName(rest.select(last, F.lit("Other").alias("name"), C.money_text("spend").alias("value")))
     if total is not None:
         block = total.select(F.lit(0).alias("position"), "name", "value").unionByName(block)
     return block
 
 
-def user_report(T, login: str, as_of: date) -> DataFrame:
-    """Exact total and the twelve biggest parts; nothing when nothing was spent."""
+def user_report(T, login: str, as_of: date, n: int = V.REPORT_ROWS, with_rest: bool = False) -> DataFrame:
+    """Exact total and the biggest parts; nothing when nothing was spent."""
     since, until = resolve_window(as_of)
     exact = user_exact_total(T, login, since, until).filter("net_amount != 0")
     total = exact.select(
         F.lit("Total (exact)").alias("name"), C.money_text("net_amount").alias("value")
     )
     keys = ["model_name", "editor_family", "feature", "attribution_quality"]
-    parts = user_breakdown(T, login, since, until).limit(V.REPORT_ROWS).filter(
-        exact.select(F.lit(True)).scalar()
-    )
+    every = user_breakdown(T, login, since, until).filter(exact.select(F.lit(True)).scalar())
+    parts = every.limit(n)
     rows = parts.select(
         F.concat_ws(" · ", "model_name", "editor_family", "feature").alias("name"),
         C.money_text("spend").alias("value"), "spend", *keys,
     )
-    return _block(total, rows, [F.desc("spend"), *keys])
+    return _block(total, rows, [F.desc("spend"), *keys], _rest(every, parts) if with_rest else None)
 
 
-def team_report(T, team: str, as_of: date) -> DataFrame:
+def team_report(T, team: str, as_of: date, n: int = V.TEAM_REPORT_ROWS, with_rest: bool = False) -> DataFrame:
     since, until = resolve_window(as_of)
     total = _team_rows(T, team, since, until).agg(_total("spend").alias("spend")).filter(
         "spend is not null"
     )
-    rows = team_breakdown(T, team, since, until).limit(V.TEAM_REPORT_ROWS).select(
+    every = team_breakdown(T, team, since, until)
+    rows = every.limit(n).select(
         F.concat_ws(" · ", "user_login", "model_name").alias("name"),
         C.money_text("spend").alias("value"), "spend", "user_login", "model_name",
     )
@@ -278,6 +290,7 @@ def team_report(T, team: str, as_of: date) -> DataFrame:
         total.select(F.lit("Total").alias("name"), C.money_text("spend").alias("value")),
         rows,
         [F.desc("spend"), "user_login", "model_name"],
+        _rest(every, every.limit(n)) if with_rest else None,
     )
 
 

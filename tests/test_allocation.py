@@ -100,6 +100,11 @@ def test_questions(T, rows):
     assert questions.summary(T, since, until).first().total_spend == 60
     assert questions.user_report(T, "nobody", date(2026, 8, 2)).count() == 0
     assert questions.user_report(T, "prompts", date(2026, 8, 2)).count() == 5
+    short = questions.user_report(T, "prompts", date(2026, 8, 2), 2, with_rest=True).orderBy("position").collect()
+    assert [(r.name.split(" ")[0], r.value) for r in short] == [
+        ("Total", "$10.00"), ("opal-2", "$4.88"), ("opal-2", "$2.62"), ("Other", "$2.50")]
+    team = questions.team_report(T, "platform", date(2026, 8, 2), 1, with_rest=True).orderBy("position").collect()
+    assert [r.value for r in team] == ["$30.00", "$10.00", "$20.00"]
     assert questions.team_total(T, "PLATFORM", since, until).first().total == 30
 
 
