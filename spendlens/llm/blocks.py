@@ -37,6 +37,11 @@ class Dealt:
         """Key ranges: a few blocks' share of entries each."""
         return max(8, self.blocks // 4)
 
+    def few_files(self, digests: DataFrame) -> DataFrame:
+        """Short rows of all documents, dealt anew into files of some 64 blocks' documents each: a file
+        for each task of the last step would be tiny, and every file costs its writer a process."""
+        return digests.repartition(max(4, self.blocks // 64))
+
 
 def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Dealt:
     """Columns besides doc_id and text travel in `rest`, whatever their names are."""
@@ -50,7 +55,7 @@ def deal(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> Dealt:
             F.col("text").cast("string").alias("text"),
             rest.alias("rest"),
             F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(blocks)).alias("block"),
-        ).repartition(max(12, blocks // 4), "block"),
+        ).repartition(max(12, blocks // 16), "block"),
         blocks,
     )
 

@@ -377,9 +377,12 @@ def remove_repeats(
 ) -> DataFrame:
     """doc_id, text, rest (a struct of the other columns), n_bytes, n_removed, spans (removed byte
     runs) and kept (the remaining bytes, which may cut a character)."""
+    return _found(docs, B.deal(docs, block_bytes), length, anchor, hot)
+
+
+def _found(docs: DataFrame, dealt: B.Dealt, length: int, anchor: int, hot: int) -> DataFrame:
     if not 8 <= anchor < length <= 255:
         raise ValueError("8 <= anchor < length <= 255")
-    dealt = B.deal(docs, block_bytes)
     steps = _Steps(dealt.parts, _splitters(docs, dealt.parts, length, anchor), length, anchor)
 
     def part(meet, *more):
@@ -397,10 +400,13 @@ def remove_repeats(
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return remove_repeats(docs.select("doc_id", "text")).select(
+    docs = docs.select("doc_id", "text")
+    dealt = B.deal(docs)
+    rows = _found(docs, dealt, LENGTH, ANCHOR, HOT).select(
         "doc_id",
         "n_bytes",
         "n_removed",
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+    return dealt.few_files(rows)
