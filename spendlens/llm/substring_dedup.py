@@ -146,24 +146,26 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, block_bytes: int = B.B
     Two sent arrays make the traffic: the distinct anchors of a block (4 of 13 words start one) and,
     around anchors that occur again, the distinct windows. Nothing is collected.
     """
+    dealt = B.deal(docs, block_bytes)
+    return B.unpacked(_found(dealt, window), docs, "n_words", "n_removed")
+
+
+def _found(dealt: B.Dealt, window: int) -> DataFrame:
     if window < PERIOD:
         raise ValueError(f"a window must have {PERIOD} words or more")
-    dealt = B.deal(docs, block_bytes)
     n = dealt.parts
-    schema = B.with_columns(dealt, "n_words long, n_removed long")
-    found = B.two_rounds(
+    return B.two_rounds(
         dealt,
         lambda key, t: _first(window, n, key, t),
         lambda key, t: _meet_first(key, t),
         lambda key, t, answers: _second(window, n, key, t, answers),
         lambda key, t: _meet_second(key, t),
         lambda key, t, answers: _finish(window, n, key, t, answers),
-        schema,
+        B.with_columns(dealt, "n_words long, n_removed long"),
     )
-    return B.unpacked(found, docs, "n_words", "n_removed")
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return remove_repeats(docs.select("doc_id", "text")).select(
-        "doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256")
-    )
+    dealt = B.deal(docs.select("doc_id", "text"))
+    kept = F.sha2(F.col("text"), 256).alias("kept_sha256")
+    return dealt.few_files(_found(dealt, WINDOW).select("doc_id", "n_words", "n_removed", kept))
