@@ -16,6 +16,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def files_for(rows: int, each: int) -> int:
+    """How many files so many rows make; small tables in hundreds of files cost more than their rows."""
+    return max(4, rows // each)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, component (its least node) of an edge list src, dst of longs; no cap on size or rounds.
 
@@ -28,10 +33,11 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select("src", "dst").union(edges.select(F.col("dst"), F.col("src"))).filter("src <> dst").distinct(),
         "edges",
     )
+    files = files_for(both.count(), 200_000)
     labels = written(
         both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("m")).select(
             "node", F.least("node", "m").alias("component")
-        ),
+        ).coalesce(files),
         "labels",
     )
     while True:
@@ -47,7 +53,7 @@ def components(edges: DataFrame) -> DataFrame:
         new = written(
             nearer.join(heads, F.col("near") == F.col("head"), "left").select(
                 "node", "old", F.least("near", F.coalesce("of_head", "near")).alias("component")
-            ),
+            ).coalesce(files),
             "labels",
         )
         labels = new.select("node", "component")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import written
+from .components import files_for, written
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -160,18 +160,18 @@ def mix(
             F.lit(True).alias("open"),
         )
     )
-    level, closed = 0, []
-    now = written(_round(level, rows), "mix")
+    level, closed, files = 0, [], files_for(sized.count(), 50_000)
+    now = written(_round(level, rows).coalesce(files), "mix")
     while (now.filter("open").agg(F.max("buckets")).first()[0] or 1) > 1:
         closed.append(now.filter("NOT open"))
         level += 1
         up = now.filter("open").withColumn("bucket", F.floor(F.col("bucket") / fan).cast("long"))
         up = up.withColumn("buckets", F.ceil(F.col("buckets") / fan).cast("long"))
-        now = written(_round(level, up), "mix")
+        now = written(_round(level, up).coalesce(files), "mix")
     all_rows = reduce(DataFrame.union, [*closed, now])
     n = F.col("whole") + F.when(F.col("words") * 2 >= F.col("size"), 1).otherwise(0)
     n = F.when(F.col("size") > 0, n).otherwise(0).cast("long")
-    return all_rows.select(
+    return all_rows.coalesce(files).select(
         "doc_id", "size", "source_size", "target", n.alias("copies"), (n * F.col("size")).alias("taken")
     )
 

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, written
+from .components import components, files_for, written
 from .text import NULL_ID, U64, Rolling, Words, column_bytes, cut, mixed, numbers
 
 N = 5
@@ -209,13 +209,14 @@ def join(
     """doc_id, class_id (least doc_id of the documents it is linked to, directly or through others),
     copy_id (least doc_id with the same n-grams), n_links (documents at the threshold) and n_grams."""
     bands, rows = banding(threshold, recall)
+    files = files_for(docs.count(), 50_000)
     sketches = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
         .mapInArrow(_sketch(n, bands, rows), "doc_id long, n_grams long, class binary, bands array<long>")
         .groupBy("doc_id")
         .agg(F.min(F.struct("class", "n_grams", "bands")).alias("one"))
     )
-    sketches = written(sketches.select("doc_id", "one.*"), "sketches")
+    sketches = written(sketches.select("doc_id", "one.*").coalesce(files), "sketches")
     classes = (
         sketches.filter("n_grams > 0")
         .groupBy("class")
@@ -226,7 +227,7 @@ def join(
             F.min_by("bands", "doc_id").alias("bands"),
         )
     )
-    classes = written(classes, "classes")
+    classes = written(classes.coalesce(files), "classes")
     keys = classes.select("rep", F.posexplode("bands").alias("band", "key"))
     met = keys.groupBy("band", "key").agg(F.min("rep").alias("dst"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     near = keys.join(met, ["band", "key"]).select(F.col("rep").alias("src"), "dst")
@@ -258,7 +259,9 @@ def join(
         )
     )
     verified = written(
-        placed.groupBy("component", "low", "high").applyInArrow(_verify(n, threshold), "src long, dst long, links long"),
+        placed.groupBy("component", "low", "high")
+        .applyInArrow(_verify(n, threshold), "src long, dst long, links long")
+        .repartition(files),
         "verified",
     )
     groups = components(verified.filter("dst IS NOT NULL").select("src", "dst"))
@@ -279,7 +282,8 @@ def join(
         own = F.coalesce(c, "doc_id")
         return F.when(own != NULL_ID, own)
 
-    return sketches.join(described, "class", "left").select(
+    joined = sketches.join(described, "class", "left").coalesce(files)
+    return joined.select(
         number("doc_id").alias("doc_id"),
         number("least").alias("class_id"),
         number("copy_of").alias("copy_id"),
