@@ -50,6 +50,43 @@ def test_line_frequency(hosted):
         assert out[i].clean_text == out[i].text
 
 
+def test_a_long_notice_does_not_hide_shared_lines(docs):
+    notice, second = (" ".join(f"{x}{i}" for i in range(n)) for x, n in (("n", 60), ("s", 50)))
+    menu = "home news about contact"
+
+    def own(i):
+        return "\n".join(" ".join(f"w{i}x{k}y{j}" for j in range(10)) for k in range(2))
+
+    rows = [(i, f"{menu}\n{own(i)}\n{notice}\n{second}", "a") for i in range(30)]
+    out = op.assess(docs(*rows)).collect()
+    assert all(r.clean_text == own(r.doc_id) and r.n_line_words == 114 and r.depleted for r in out) and len(out) == 30
+
+
+def test_a_crowd_of_copies_does_not_hide_a_footer(docs):
+    def text(seed):
+        return " ".join(f"w{seed}x{i}" for i in range(60))
+
+    footer = "read more about our newsletter"
+    rows = [(i, f"{text('c')}\n{footer}", "a") for i in range(60)]
+    rows += [(100 + i, f"{text(i)}\n{footer}", "a") for i in range(50)]
+    out = op.assess(docs(*rows)).collect()
+    assert all("newsletter" not in r.clean_text and r.kept for r in out) and len(out) == 110
+
+
+def test_copies_with_edits_in_every_line_keep_their_lines(docs):
+    lines = [[f"w{k}x{j}" for j in range(60)] for k in range(3)]
+
+    def edited(i):
+        mine = [list(x) for x in lines]
+        for k in range(3):
+            if (i >> k) & 1:
+                mine[k][(7 * i) % 60] = f"e{i}"
+        return "\n".join(map(" ".join, mine))
+
+    out = op.assess(docs(*((i, edited(i), "a") for i in range(64)))).collect()
+    assert all(r.clean_text == r.text and r.kept for r in out) and len(out) == 64
+
+
 def test_kept_rows_have_the_columns_of_documents(hosted):
     out = op.keep_good(hosted)
     assert out.columns == hosted.columns and out.count() == hosted.count() - 31
