@@ -7,8 +7,10 @@ common subsequence, and the shared lines, which a site repeats, are deleted.
 Differencing alone cannot tell a site's frame from text that two pages truly share (copies, quoted
 passages), and a frame that differs on every page escapes it. So the markup also counts: elements that
 are not main text by their name, role, class or id are left out before; lines inside a marked article
-are kept although shared; and a page most of whose text its partner has is taken for a copy and keeps
-its lines. If a page marks an article, that is its main text.
+are kept although the partner has them; and a page most of whose text its partner has is taken for a
+copy and keeps its lines. If a page marks an article, that is its main text. Lines on at least half of
+the host's different pages (and on five) are frame and tell nothing about copies: they go whatever
+their share of the page.
 
 Sorting is by range over host, path and row, so a host with a third of all pages is many tasks' work;
 only line hashes are sorted. Each task's outermost pages meet their neighbours by a table of two rows
@@ -35,8 +37,12 @@ from pyspark.sql import types as T
 from .components import written
 
 LEFT_OUT, OUTSIDE, ARTICLE = 0, 1, 2
-#: Percentage of a page's text in shared lines from which its partner counts as a copy.
+#: Percentage of a page's text without its frame in shared lines from which its partner counts as a copy.
 COPY_PCT = 60
+#: A line on so many different pages of a host, and on half of them at least, is its frame.
+FRAME_PAGES = 5
+#: Parts of a host's pages that meet its frame in tasks of their own.
+_SALTS = 32
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -227,17 +233,37 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in batch.to_pylist():
             near = [n for n in (row["before"], row["after"]) if n and n["host"] == row["host"] and n["path"] is not None]
             partner = max(near, key=lambda n: _shared_start(n["path"], row["path"]), default=None)
-            gone = [i for i, _ in common(row["lines"], partner["lines"])] if partner else []
-            copied = sum(row["sizes"][i] for i in gone) * 100 >= COPY_PCT * sum(row["sizes"])
-            shared.append([] if copied else gone)
+            frame = set(row.get("frame") or ())
+            framed = [i for i, x in enumerate(row["lines"]) if x in frame]
+            own = sum(row["sizes"]) - sum(row["sizes"][i] for i in framed)
+            gone = {i for i, _ in common(row["lines"], partner["lines"])} - set(framed) if partner else set()
+            copied = sum(row["sizes"][i] for i in gone) * 100 >= COPY_PCT * own
+            shared.append(framed if copied else sorted(gone.union(framed)))
         yield pa.RecordBatch.from_arrays(
             [batch["page_id"], batch["print"], pa.array(shared, pa.list_(pa.int32()))],
             names=["shared_id", "shared_print", "shared"],
         )
 
 
+def frames(laid: DataFrame) -> DataFrame:
+    """of_host, of_salt, frame (hashes of its frame's lines) of every host that has a frame. Pages with equal
+    lines count once. At most twice the lines of a host's mean page can be on half of its pages."""
+    page = laid.select("host", F.xxhash64("lines").alias("content"), F.array_distinct("lines").alias("lines"))
+    of_host = page.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
+    lines = page.select("host", "content", F.explode("lines").alias("line")).distinct()
+    often = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FRAME_PAGES)
+    return (
+        often.alias("l")
+        .join(of_host.alias("h"), F.col("l.host").eqNullSafe(F.col("h.host")) & (F.col("n") * 2 >= F.col("pages")))
+        .groupBy(F.col("h.host").alias("of_host"))
+        .agg(F.collect_list("line").alias("frame"))
+        .withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    )
+
+
 def shared_lines(pages: DataFrame) -> DataFrame:
-    """shared_id, shared_print, shared: the places of the lines that a page's partner has."""
+    """shared_id, shared_print, shared: the places of the lines that a page's partner has, and of its
+    host's frame."""
     keyed = pages.select("page_id", "url", "html", "print").mapInArrow(_keyed, _KEYED).dropDuplicates(["page_id", "print"])
     order = ["host", "path", "page_id", "print"]
     laid = written(
@@ -261,6 +287,12 @@ def shared_lines(pages: DataFrame) -> DataFrame:
             F.coalesce("before", "earlier").alias("before"),
             F.coalesce("after", "later").alias("after"),
         )
+        .join(
+            frames(laid),
+            F.col("host").eqNullSafe(F.col("of_host")) & (F.pmod("print", F.lit(_SALTS)).cast("int") == F.col("of_salt")),
+            "left",
+        )
+        .drop("of_host", "of_salt")
         .mapInArrow(_differenced, "shared_id long, shared_print long, shared array<int>")
     )
 

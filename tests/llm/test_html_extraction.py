@@ -45,6 +45,12 @@ def test_differencing_without_an_article(texts):
         assert got[50].startswith("Welcome") and got[51].startswith("Welcome")
 
 
+def test_a_short_text_in_a_large_frame(texts):
+    frame = "".join(f"<div>Menu entry {k} that every page of this host has in its frame</div>" for k in range(9))
+    got = texts(*((i, f"http://h/a/{i:02}", f"{frame}<p>Page {i} is short</p><div>All about us</div>") for i in range(20)))
+    assert got == {i: f"Page {i} is short" for i in range(20)}
+
+
 def test_copies_keep_their_lines(texts):
     page = "<p>The same text on both pages, every word of it</p><p>and more</p>"
     got = texts(*((i, f"http://h/p{i}", page) for i in range(3)), (3, "http://h/q", article("<p>All about us</p>")), (4, "http://h/r", article("<p>All about us</p>")))
