@@ -10,7 +10,7 @@ are not main text by their name, role, class or id are left out before; lines in
 are kept although the partner has them; and a page most of whose text its partner has is taken for a
 copy and keeps its lines. If a page marks an article, that is its main text. Lines on at least half of
 the host's different pages (and on five) are frame and tell nothing about copies: they go whatever
-their share of the page.
+their share of the page, and inside an article too.
 
 Sorting is by range over host, path and row, so a host with a third of all pages is many tasks' work;
 only line hashes are sorted. Each task's outermost pages meet their neighbours by a table of two rows
@@ -229,7 +229,7 @@ def _shared_start(a: str, b: str) -> int:
 
 def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        shared = []
+        shared, framing = [], []
         for row in batch.to_pylist():
             near = [n for n in (row["before"], row["after"]) if n and n["host"] == row["host"] and n["path"] is not None]
             partner = max(near, key=lambda n: _shared_start(n["path"], row["path"]), default=None)
@@ -239,23 +239,24 @@ def _differenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             gone = {i for i, _ in common(row["lines"], partner["lines"])} - set(framed) if partner else set()
             copied = sum(row["sizes"][i] for i in gone) * 100 >= COPY_PCT * own
             shared.append(framed if copied else sorted(gone.union(framed)))
+            framing.append(framed)
         yield pa.RecordBatch.from_arrays(
-            [batch["page_id"], batch["print"], pa.array(shared, pa.list_(pa.int32()))],
-            names=["shared_id", "shared_print", "shared"],
+            [batch["page_id"], batch["print"], *(pa.array(x, pa.list_(pa.int32())) for x in (shared, framing))],
+            names=["shared_id", "shared_print", "shared", "framed"],
         )
 
 
 def frames(laid: DataFrame) -> DataFrame:
-    """of_host, of_salt, frame (hashes of its frame's lines) of every host that has a frame. Pages with equal
-    lines count once. At most twice the lines of a host's mean page can be on half of its pages."""
-    page = laid.select("host", F.xxhash64("lines").alias("content"), F.array_distinct("lines").alias("lines"))
-    of_host = page.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    lines = page.select("host", "content", F.explode("lines").alias("line")).distinct()
-    often = lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FRAME_PAGES)
+    """of_host (its hash), of_salt, frame (hashes of its frame's lines) of every host that has a frame.
+    Pages with equal lines count once. At most twice the lines of a host's mean page can be on half of
+    its pages."""
+    page = laid.select(F.xxhash64("host").alias("of"), F.array_distinct("lines").alias("lines")).distinct()
+    hosts = page.groupBy(F.col("of").alias("of_host")).agg(F.count(F.lit(1)).alias("pages"))
+    lines = page.select("of", F.explode("lines").alias("line")).groupBy("of", "line").agg(F.count(F.lit(1)).alias("n"))
     return (
-        often.alias("l")
-        .join(of_host.alias("h"), F.col("l.host").eqNullSafe(F.col("h.host")) & (F.col("n") * 2 >= F.col("pages")))
-        .groupBy(F.col("h.host").alias("of_host"))
+        lines.filter(F.col("n") >= FRAME_PAGES)
+        .join(hosts, (F.col("of") == F.col("of_host")) & (F.col("n") * 2 >= F.col("pages")))
+        .groupBy("of_host")
         .agg(F.collect_list("line").alias("frame"))
         .withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     )
@@ -263,7 +264,7 @@ def frames(laid: DataFrame) -> DataFrame:
 
 def shared_lines(pages: DataFrame) -> DataFrame:
     """shared_id, shared_print, shared: the places of the lines that a page's partner has, and of its
-    host's frame."""
+    host's frame; framed: of the frame alone."""
     keyed = pages.select("page_id", "url", "html", "print").mapInArrow(_keyed, _KEYED).dropDuplicates(["page_id", "print"])
     order = ["host", "path", "page_id", "print"]
     laid = written(
@@ -289,25 +290,25 @@ def shared_lines(pages: DataFrame) -> DataFrame:
         )
         .join(
             frames(laid),
-            F.col("host").eqNullSafe(F.col("of_host")) & (F.pmod("print", F.lit(_SALTS)).cast("int") == F.col("of_salt")),
+            (F.xxhash64("host") == F.col("of_host")) & (F.pmod("print", F.lit(_SALTS)).cast("int") == F.col("of_salt")),
             "left",
         )
         .drop("of_host", "of_salt")
-        .mapInArrow(_differenced, "shared_id long, shared_print long, shared array<int>")
+        .mapInArrow(_differenced, "shared_id long, shared_print long, shared array<int>, framed array<int>")
     )
 
 
-def _main_text(html: str | None, shared: list[int] | None) -> str:
+def _main_text(html: str | None, shared: list[int] | None, framed: list[int] | None) -> str:
     lines = lines_of(html)
-    if any(zone == ARTICLE for zone, _ in lines):
-        return "\n".join(t for zone, t in lines if zone == ARTICLE)
-    gone = set(shared or ())
-    return "\n".join(t for i, (_, t) in enumerate(lines) if i not in gone)
+    marked = any(zone == ARTICLE for zone, _ in lines)
+    gone = set((framed if marked else shared) or ())
+    return "\n".join(t for i, (zone, t) in enumerate(lines) if i not in gone and (zone == ARTICLE or not marked))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [_main_text(h, s) for h, s in zip(batch["html"].to_pylist(), batch["shared"].to_pylist(), strict=True)]
+        columns = (batch[c].to_pylist() for c in ("html", "shared", "framed"))
+        texts = [_main_text(*row) for row in zip(*columns, strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch["page_id"], batch["url"], batch["rest"], pa.array(texts, pa.string())],
             names=["page_id", "url", "rest", "text"],
@@ -326,7 +327,7 @@ def extract(pages: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("print", F.xxhash64("page_id", "url", "html"))
     both = F.col("page_id").eqNullSafe(F.col("shared_id")) & (F.col("print") == F.col("shared_print"))
-    joined = rows.join(shared_lines(rows), both, "left").select("page_id", "url", "rest", "html", "shared")
+    joined = rows.join(shared_lines(rows), both, "left").select("page_id", "url", "rest", "html", "shared", "framed")
     kept = [f for f in joined.schema.fields if f.name in ("page_id", "url", "rest")]
     texts = joined.mapInArrow(_texts, T.StructType([*kept, T.StructField("text", T.StringType())]))
     return texts.withColumn("n_chars", F.char_length("text").cast("long"))

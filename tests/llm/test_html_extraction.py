@@ -51,6 +51,15 @@ def test_a_short_text_in_a_large_frame(texts):
     assert got == {i: f"Page {i} is short" for i in range(20)}
 
 
+def test_frame_inside_an_article(texts):
+    body = "<p>Page {0} has a text of its own</p><p>as page {1} says</p><p>Subscribe to our letter for more of this</p>"
+    rows = [(i, f"http://h/a/{i:02}", article(body.format(i, i // 2))) for i in range(20)]
+    got = texts(*rows, *((100 + i, f"http://g/{i}", article("<p>A copy of an article</p>")) for i in range(9)))
+    assert got == {i: f"Page {i} has a text of its own\nas page {i // 2} says" for i in range(20)} | dict.fromkeys(
+        range(100, 109), "A copy of an article"
+    )
+
+
 def test_copies_keep_their_lines(texts):
     page = "<p>The same text on both pages, every word of it</p><p>and more</p>"
     got = texts(*((i, f"http://h/p{i}", page) for i in range(3)), (3, "http://h/q", article("<p>All about us</p>")), (4, "http://h/r", article("<p>All about us</p>")))
