@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import (
     chat_format,
     decontamination,
+    hard_negatives,
     html_extraction,
     license_scan,
     lm_score,
@@ -62,6 +63,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.digest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,10 +80,12 @@ QUERIES = {
         op8_mixing,
         op9_chat_format,
         op10_ngram_join,
+        op12_hard_negatives,
     )
 }
 
 SQL = {
     "op2_license_scan": license_scan.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op12_hard_negatives": hard_negatives.SQL,
 }
