@@ -13,6 +13,7 @@ from . import (
     lm_score,
     mixing,
     ngram_join,
+    quality_classifier,
     quality_rules,
     substring_dedup,
     suffix_dedup,
@@ -67,6 +68,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.digest(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +86,7 @@ QUERIES = {
         op9_chat_format,
         op10_ngram_join,
         op12_hard_negatives,
+        op13_quality_classifier,
     )
 }
 

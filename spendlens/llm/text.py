@@ -105,6 +105,35 @@ def cut(batch: pa.RecordBatch, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def lots(
+    data: np.ndarray, offsets: np.ndarray, most: int, ends: bytes
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of texts of at most `most` bytes: bytes, offsets and whose each text is. A longer text comes in
+    parts that are cut at one of the `ends`; where there is none for long, the part is longer."""
+    places = None
+    start = 0
+    while start < len(offsets) - 1:
+        end = int(np.searchsorted(offsets, offsets[start] + most, side="right")) - 1
+        if end > start:
+            yield data[offsets[start] : offsets[end]], offsets[start : end + 1] - offsets[start], np.arange(start, end)
+            start = end
+            continue
+        at, last = int(offsets[start]), int(offsets[start + 1])
+        if places is None:
+            places = np.flatnonzero(np.isin(data, np.frombuffer(ends, np.uint8)))
+        while at < last:
+            to = last
+            if last - at > most:
+                i = int(np.searchsorted(places, at + most))
+                if i and places[i - 1] > at:
+                    to = int(places[i - 1])
+                elif i < len(places):
+                    to = min(last, int(places[i]) + 1)
+            yield data[at:to], np.array([0, to - at]), np.array([start])
+            at = to
+        start += 1
+
+
 _IS_WORD = np.ones(256, dtype=bool)
 _IS_WORD[list(SPACES)] = False
 
