@@ -119,7 +119,7 @@ def _table(found: list[tuple], schema: str) -> pa.Table:
 
 
 def _find_positives(scale: int, most: int):
-    def find(key, rows: pa.Table, anchors: pa.Table) -> pa.Table:
+    def find(rows: pa.Table, anchors: pa.Table) -> pa.Table:
         found = []
         if rows.num_rows and anchors.num_rows:
             rows = _by_id(rows)
@@ -147,7 +147,7 @@ def _find_positives(scale: int, most: int):
 
 
 def _find_negatives(scale: int, most: int, least_pct: int, most_pct: int):
-    def find(key, rows: pa.Table, anchors: pa.Table) -> pa.Table:
+    def find(rows: pa.Table, anchors: pa.Table) -> pa.Table:
         found = []
         if rows.num_rows and anchors.num_rows:
             rows = _by_id(rows)

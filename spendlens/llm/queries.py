@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import (
     chat_format,
+    collocations,
     decontamination,
     hard_negatives,
     html_extraction,
@@ -64,6 +65,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.digest(_table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.digest(_table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +90,7 @@ QUERIES = {
         op8_mixing,
         op9_chat_format,
         op10_ngram_join,
+        op11_collocations,
         op12_hard_negatives,
         op13_quality_classifier,
     )
@@ -93,5 +99,6 @@ QUERIES = {
 SQL = {
     "op2_license_scan": license_scan.SQL,
     "op7_quality_rules": quality_rules.SQL,
+    "op11_collocations": collocations.SQL,
     "op12_hard_negatives": hard_negatives.SQL,
 }
