@@ -36,7 +36,7 @@ from .text import U64, column_bytes, cut, lots, mixed
 
 LEAST, LONGEST, FIRST = 100, 5, 2_000
 #: Bytes of text that are cut at once, windows that make one filter, entries of a range, bits of a hop.
-LOT, WINDOWS, ENTRIES, HOP = 1 << 22, 1 << 20, 1 << 20, 8
+LOT, WINDOWS, ENTRIES, HOP = 1 << 20, 1 << 19, 1 << 19, 8
 #: Bytes of filters that are merged at once between two hops.
 MERGED = 1 << 25
 #: The bitmap of frequent phrases: bits for each, and the most bits of a place in it (32 MiB).
@@ -119,13 +119,17 @@ def coded(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return both.filter("codes is not null").select("lot", "codes"), both.filter("codes is null").drop("codes")
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """Written in files of a good size: one for a small table, and every file costs its writer a process."""
+    return written(df.hint("rebalance"), name)
+
+
 def frequent_words(listed: DataFrame, least: int) -> tuple[DataFrame, int]:
     """id, lang, word, n of the words that occur often enough, numbered from 1; and their number.
 
     Numbers are given inside hash buckets and shifted by the buckets before."""
-    found = written(
-        listed.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "frequent-words"
-    )
+    found = listed.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+    found = _kept(found, "frequent-words")
     count = found.count()
     buckets = files_for(count, 50_000)
     dealt = found.withColumn("bucket", F.pmod(F.xxhash64("lang", "word"), F.lit(buckets)))
@@ -135,7 +139,7 @@ def frequent_words(listed: DataFrame, least: int) -> tuple[DataFrame, int]:
     place = F.row_number().over(Window.partitionBy("bucket").orderBy("lang", "word"))
     numbered = dealt.withColumn("place", place).join(shifts, "bucket")
     ids = numbered.select((F.col("shift") + F.col("place")).alias("id"), "lang", "word", "n")
-    return written(ids, "word-numbers"), count
+    return _kept(ids, "word-numbers"), count
 
 
 def _numbered(kind: str):
@@ -442,7 +446,8 @@ def phrases(runs: DataFrame, words: int, least: int, longest: int, kind: str) ->
             finer = min(finest, ranged + HOP)
             filters = filters.groupBy("part", "lot").applyInArrow(_recut(packing, ranged, finer), FILTERS)
             ranged = finer
-        found = written(filters.groupBy("part").applyInArrow(_frequent(packing, ranged, least), FOUND), f"phrases-{size}")
+        found = filters.groupBy("part").applyInArrow(_frequent(packing, ranged, least), FOUND)
+        found = _kept(found, f"phrases-{size}")
         n = found.count()
         if not n:
             break
@@ -500,9 +505,9 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, fi
     words, count = frequent_words(listed, least)
     kind = "<u4" if count < 1 << 32 else "<u8"
     levels = phrases(numbered(codes, listed, words, kind), count, least, longest, kind)
-    known = written(_spelled(levels, words), "phrases")
+    known = _kept(_spelled(levels, words), "phrases")
     totals = listed.groupBy("lang").agg(F.sum("n").alias("n"))
-    cuts = written(_cuts(known, totals), "cuts")
+    cuts = _kept(_cuts(known, totals), "cuts")
     lowest = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "cut", "l", "r")).alias("at"))
     # a phrase lies in a longer one that is as frequent if it does in one that is a word longer
     same = [
