@@ -418,6 +418,15 @@ for _name, _part in (("ide_share", "share"), ("ide_share_generations", "share_ge
 SELECT {_KEY}, uk AS user_key, o AS org_key, ide AS editor_key, share, basis AS weight_basis FROM {_part}""")
 oracle("feature_share", f"""
 SELECT {_KEY}, uk AS user_key, o AS org_key, model AS model_key, feature AS feature_key, share FROM fshare""")
+oracle("spend_shares", f"""
+SELECT {_KEY}, uk AS user_key, o AS org_key, model AS model_key,
+       length(product) || ':' || product || ':' || sku AS product_key, CAST(net AS DECIMAL(18,4)) AS net_amount,
+       CAST(gross AS DECIMAL(18,4)) AS gross_amount, CAST(qty AS DECIMAL(18,4)) AS net_quantity,
+       (SELECT string_agg(s.ide || '/' || s.share || '/' || s.basis, ',' ORDER BY s.ide) FROM share s
+        WHERE s.d = f.d AND s.uk = f.uk AND s.o = f.o) AS editors,
+       (SELECT string_agg(x.feature || '/' || x.share, ',' ORDER BY x.feature) FROM fshare x
+        WHERE x.d = f.d AND x.uk = f.uk AND x.o = f.o AND x.model = f.model) AS features
+FROM fp f""")
 oracle("upsert_corrections", f"""
 SELECT d AS usage_date, CAST(sum(net * CASE WHEN d >= DATE '2024-01-23' THEN 1 ELSE 2 END) AS {_T}) AS net_amount,
        count(*) AS rows FROM fp GROUP BY d""")

@@ -218,6 +218,22 @@ events_query(
 events_query("feature_share", lambda T: allocate.feature_share(T.fact_user_model_feature_day))
 
 
+def _spend_shares(T: Tables) -> DataFrame:
+    """The stored shares beside the billing rows, each list as one text."""
+    def listed(name: str, *parts: str):
+        return F.array_join(
+            F.transform(name, lambda s: F.concat_ws("/", *(s[p].cast("string") for p in parts))), ","
+        ).alias(name)
+
+    return T.fact_spend_shares.select(
+        *allocate.USER_DAY_MODEL, "product_key", "net_amount", "gross_amount", "net_quantity",
+        listed("editors", "editor_key", "share", "weight_basis"), listed("features", "feature_key", "share"),
+    )
+
+
+events_query("spend_shares", _spend_shares)
+
+
 @query
 def upsert_corrections(spark, sf_dir):
     """A first load with doubled amounts, then the trailing window again with the right ones."""

@@ -1,19 +1,24 @@
 """Allocation: exact dollars of (user, day, model) times editor share times feature share.
 
 Group totals are aggregated and joined back rather than computed over a window: the totals fold
-before the shuffle, and a group of any size can be split between tasks by the skew-join rule.
+before the shuffle, and a group of any size can be split between tasks by the skew-join rule. The
+shares are put beside the billing rows when these are loaded, with user-days that hold more than their
+part of the rows split; what reads allocated spend then splits each row by itself.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from spendlens import fixed_values as V
 from spendlens.functions import columns as C
 
 USER_DAY = ["date_key", "user_key", "org_key"]
 USER_DAY_MODEL = [*USER_DAY, "model_key"]
+#: Rows below which no group is worth splitting.
+HEAVY_LEAST = 100_000
 EXACT_MEASURES = ("net_amount", "gross_amount", "net_quantity")
 
 _SIGNALS = {
@@ -101,16 +106,71 @@ def attribution_quality(ide, feature):
     )
 
 
-def fan_out(billing: DataFrame, T, since=None, until=None, user_key: str | None = None) -> DataFrame:
-    """Billing rows, with whatever labels they carry, split over the editors and features of their
-    user and day. The exact measures do not leave: summed over fanned-out rows they would overstate.
-    """
-    editors = between(T.fact_user_ide_share, since, until, user_key).select(
-        *USER_DAY, "editor_key", F.col("share").alias("_ide"), "weight_basis"
+# ------------------------------------------------------------------ shares beside the billing rows
+
+
+def heavy_groups(rows: DataFrame, keys: list[str], least: int = HEAVY_LEAST) -> DataFrame | None:
+    """The groups that hold more than a fair part of the rows, with the number of parts to split each
+    into; None without one. A fair part is a quarter of a shuffle partition's, so there are at most four
+    such groups for each partition, however many rows there are."""
+    spark = rows.sparkSession
+    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    fair = max(least, -(-rows.count() // parts))
+    found = sizes.filter(F.col("_rows") > fair).collect()
+    if not found:
+        return None
+    schema = StructType([*(rows.schema[k] for k in keys), StructField("_parts", IntegerType())])
+    split = [(*(r[k] for k in keys), -(-r["_rows"] // fair)) for r in found]
+    return spark.createDataFrame(split, schema).coalesce(1)
+
+
+def with_shares(
+    billing: DataFrame, editors: DataFrame, features: DataFrame, least: int = HEAVY_LEAST
+) -> DataFrame:
+    """Billing rows with the shares of their user-day (`editors`) and model (`features`) as arrays, null
+    where there are none. One exchange of the billing rows and one of the shares, on the same key. A
+    user-day with more than its part of the rows is dealt over several parts, each with a copy of its shares."""
+    billing = billing.select(*USER_DAY_MODEL, "product_key", *EXACT_MEASURES)
+    editor = F.struct("editor_key", "share", "weight_basis")
+    feature = F.struct("model_key", "feature_key", "share")
+    both = editors.select(*USER_DAY, editor.alias("_editor"), F.lit(None).alias("_feature")).unionByName(
+        features.select(*USER_DAY, F.lit(None).alias("_editor"), feature.alias("_feature"))
     )
-    features = between(T.fact_user_feature_share, since, until, user_key).select(
-        *USER_DAY_MODEL, "feature_key", F.col("share").alias("_feature")
+    heavy = heavy_groups(billing, USER_DAY, least)
+    key = USER_DAY
+    if heavy is not None:
+        key = [*USER_DAY, "_part"]
+        of_row = F.pmod(F.xxhash64(*USER_DAY_MODEL, "product_key"), F.coalesce("_parts", F.lit(1)))
+        billing = billing.join(F.broadcast(heavy), USER_DAY, "left").withColumn("_part", of_row.cast("int"))
+        all_parts = F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+        both = both.join(F.broadcast(heavy), USER_DAY, "left").withColumn("_part", all_parts)
+    shares = both.groupBy(*key).agg(
+        F.array_sort(F.collect_list("_editor")).alias("_editors"),
+        F.array_sort(F.collect_list("_feature")).alias("_features"),
     )
+    of_model = F.transform(
+        F.filter("_features", lambda f: f["model_key"] == F.col("model_key")),
+        lambda f: F.struct(f["feature_key"].alias("feature_key"), f["share"].alias("share")),
+    )
+
+    def or_null(array):
+        return F.when(F.size(array) > 0, array)
+
+    return billing.join(shares, key, "left").select(
+        *USER_DAY_MODEL,
+        "product_key",
+        *EXACT_MEASURES,
+        or_null(F.col("_editors")).alias("editors"),
+        or_null(of_model).alias("features"),
+    )
+
+
+def fan_out(billing: DataFrame) -> DataFrame:
+    """Billing rows with their shares, and whatever labels they carry, split over the editors and features
+    of their user and day: each row by itself, without a join. The exact measures do not leave: summed
+    over fanned-out rows they would overstate.
+    """
     ide, feature = F.col("_ide"), F.col("_feature")
     ide_or_one = F.coalesce(ide, F.lit(1).cast(C.IDE_SHARE))
     feature_or_one = F.coalesce(feature, F.lit(1).cast(C.FEATURE_SHARE))
@@ -118,31 +178,34 @@ def fan_out(billing: DataFrame, T, since=None, until=None, user_key: str | None
     def allocated(name: str):
         return (F.col(name) * ide_or_one * feature_or_one).cast(C.ALLOCATED)
 
-    carried = [c for c in billing.columns if c not in EXACT_MEASURES]
-    return (
-        billing.join(editors, USER_DAY, "left")
-        .join(features, USER_DAY_MODEL, "left")
-        .select(
-            *carried,
-            "editor_key",
-            "feature_key",
-            ide_or_one.alias("ide_share"),
-            feature_or_one.alias("feature_share"),
-            "weight_basis",
-            allocated("net_amount").alias("allocated_net_amount"),
-            allocated("gross_amount").alias("allocated_gross_amount"),
-            allocated("net_quantity").alias("allocated_quantity"),
-            attribution_quality(ide, feature).alias("attribution_quality"),
-        )
+    carried = [c for c in billing.columns if c not in (*EXACT_MEASURES, "editors", "features")]
+    by_editor = billing.select(
+        *carried, *EXACT_MEASURES, "features",
+        F.inline_outer("editors").alias("editor_key", "_ide", "weight_basis"),
+    )
+    return by_editor.select(
+        *carried, *EXACT_MEASURES, "editor_key", "_ide", "weight_basis",
+        F.inline_outer("features").alias("feature_key", "_feature"),
+    ).select(
+        *carried,
+        "editor_key",
+        "feature_key",
+        ide_or_one.alias("ide_share"),
+        feature_or_one.alias("feature_share"),
+        "weight_basis",
+        allocated("net_amount").alias("allocated_net_amount"),
+        allocated("gross_amount").alias("allocated_gross_amount"),
+        allocated("net_quantity").alias("allocated_quantity"),
+        attribution_quality(ide, feature).alias("attribution_quality"),
     )
 
 
 def billing_rows(T, since=None, until=None, user_key: str | None = None) -> DataFrame:
-    return between(T.fact_premium_requests, since, until, user_key).select(
-        *USER_DAY_MODEL, "product_key", *EXACT_MEASURES
+    return between(T.fact_spend_shares, since, until, user_key).select(
+        *USER_DAY_MODEL, "product_key", *EXACT_MEASURES, "editors", "features"
     )
 
 
 def allocate(T, since=None, until=None, user_key: str | None = None) -> DataFrame:
     """Allocated rows by key; labels are attached by the views."""
-    return fan_out(billing_rows(T, since, until, user_key), T, since, until, user_key)
+    return fan_out(billing_rows(T, since, until, user_key))

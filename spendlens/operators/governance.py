@@ -13,7 +13,7 @@ from spendlens.operators.allocate import between
 from spendlens.schemas import FACTS
 from spendlens.sources.tables import Tables, Warehouse
 
-ACTIVITY_FACTS = [t for t in FACTS if t != "fact_premium_requests"]
+BILLING_FACTS = ("fact_premium_requests", "fact_spend_shares")
 
 
 # ------------------------------------------------------------------ restriction
@@ -109,6 +109,16 @@ def _without(
     return {table: periods}
 
 
+def _unshared(wh: Warehouse, run_id: str, spend: DataFrame, old, matching: DataFrame) -> dict[str, list[int]]:
+    """Billing that stays forgets the editors and features of the days whose activity goes."""
+    periods = wh.periods(matching.filter("editors is not null or features is not null"))
+    if not periods:
+        return {}
+    bare = {c: F.when(~old, F.col(c)) for c in ("editors", "features")}
+    wh.write_run(run_id, "fact_spend_shares", wh.in_periods(spend, periods).withColumns(bare))
+    return {"fact_spend_shares": periods}
+
+
 def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -> DataFrame:
     """Preview, or erase: the user's rows leave all facts in one step, and only the partitions they
     are in are rewritten. The raw archive has to be cleaned separately, and the files of the version
@@ -163,8 +173,11 @@ def purge(
     last = cutoff_date(as_of, retain_days) - timedelta(days=1)
     old = F.col("date_key") <= C.to_date_key(last)
     publish: dict[str, list[int] | None] = {}
-    for table in FACTS if include_billing else ACTIVITY_FACTS:
-        publish |= _without(wh, run_id, table, T[table], old, between(T[table], until=last))
+    for table in FACTS:
+        if include_billing or table not in BILLING_FACTS:
+            publish |= _without(wh, run_id, table, T[table], old, between(T[table], until=last))
+    if not include_billing:
+        publish |= _unshared(wh, run_id, T.fact_spend_shares, old, between(T.fact_spend_shares, until=last))
     if publish:
         wh.publish(run_id, publish)
     wh.end_run(run_id)

