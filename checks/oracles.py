@@ -334,14 +334,20 @@ SELECT d AS activity_date, login AS user_login, o AS org_login, model AS model_n
 FROM mf WHERE user_id % 37 <> 36 GROUP BY ALL""")
 oracle("flatten_user_teams", """
 SELECT d AS activity_date, login AS user_login, user_id, o AS org_login, team_id, slug AS team_slug FROM teams""")
-oracle("flatten_premium_requests", """
+oracle("billing_day_folders", """
+SELECT DISTINCT d AS usage_date, DATE '2024-01-14' AS dt FROM prem WHERE d BETWEEN DATE '2024-01-01' AND DATE '2024-01-14'
+UNION ALL
+SELECT DISTINCT d, DATE '2024-01-30' FROM prem WHERE d BETWEEN DATE '2024-01-08' AND DATE '2024-01-30'""")
+_FLAT_BILLING = """
 SELECT d AS usage_date, login AS user_login, o AS org_login, product, sku, model AS model_name,
        'request' AS unit_type, max(price) AS price_per_unit, CAST(sum(qty) AS DECIMAL(18,4)) AS gross_quantity,
        CAST(0 AS DECIMAL(18,4)) AS discount_quantity, CAST(sum(qty) AS DECIMAL(18,4)) AS net_quantity,
        CAST(sum(gross) * m AS DECIMAL(18,4)) AS gross_amount,
        CAST(sum(discount) * m AS DECIMAL(18,4)) AS discount_amount, CAST(sum(net) * m AS DECIMAL(18,4)) AS net_amount
-FROM (SELECT *, CASE WHEN d < DATE '2024-01-08' THEN 2 ELSE 1 END AS m FROM prem)
-GROUP BY d, login, o, product, sku, model, m""")
+FROM (SELECT *, CASE WHEN d < DATE '2024-01-08' THEN 2 ELSE 1 END AS m FROM prem{})
+GROUP BY d, login, o, product, sku, model, m"""
+oracle("flatten_premium_requests", _FLAT_BILLING.format(""))
+oracle("billing_one_day", _FLAT_BILLING.format(" WHERE d = DATE '2024-01-05'"))
 oracle("flatten_seats", """
 SELECT login AS user_login, user_id, o AS org_login, team_name, plan_type, '2023-12-01 00:00:00' AS created_at,
        strftime(last_at, '%Y-%m-%d %H:%M:%S') AS last_activity_at, editor AS last_activity_editor

@@ -167,6 +167,19 @@ def flatten_premium_requests(spark, sf_dir):
     return flatten.flatten_premium_requests(raw.read_billing_archive(spark, archive(spark, sf_dir)))
 
 
+@query
+def billing_one_day(spark, sf_dir):
+    """One day's billing, which lies in one of the two folders only."""
+    day = date(2024, 1, 5)
+    return flatten.flatten_premium_requests(raw.read_billing_archive(spark, archive(spark, sf_dir), day, day))
+
+
+@query
+def billing_day_folders(spark, sf_dir):
+    """The folders that hold each usage day, by the index that archiving keeps."""
+    return raw.usage_date_index(spark, archive(spark, sf_dir)).select("usage_date", "dt").distinct()
+
+
 @query
 def flatten_seats(spark, sf_dir):
     rows = flatten.flatten_seats(_records(spark, sf_dir, "seats"))

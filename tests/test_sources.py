@@ -73,6 +73,50 @@ def test_billing_takes_the_latest_copy_of_each_day(spark, tmp_path, rows):
     assert rows(got) == [("2026-08-01", 1), ("2026-08-05", 3)]
 
 
+def _bills(spark, *rows):
+    bill = '{"user_login": "a", "period": "%s", "payload": {"usageItems": [{"product": "p", "netAmount": %s}]}}'
+    return _payloads(spark, [(dt, "acme", bill % (period, n)) for dt, period, n in rows])
+
+
+def test_a_days_billing_opens_only_the_folders_that_hold_it(spark, tmp_path, rows):
+    root = str(tmp_path)
+    for i, dt in enumerate(("2026-08-05", "2026-08-12", "2026-08-19")):
+        late = [(dt, "2026-08-01", 9)] if i == 2 else []
+        raw.write_raw(_bills(spark, (dt, dt, i), (dt, f"2026-08-0{i + 1}", i), *late), root, "premium_requests", f"2026082{i}T020000Z")
+    index = raw.usage_date_index(spark, root)
+    assert index.count() == 7  # no file is indexed twice
+
+    def folders(since, until, **more):
+        return [str(d) for d in raw.billing_folders(spark, root, since, until, **more)]
+
+    assert folders(date(2026, 8, 1), date(2026, 8, 1)) == ["2026-08-05", "2026-08-19"]
+    assert folders(date(2026, 8, 2), date(2026, 8, 2)) == ["2026-08-12"]
+    assert folders(date(2026, 8, 13), date(2026, 8, 18)) == []
+    assert raw.read_billing_archive(spark, root, date(2026, 8, 13), date(2026, 8, 18)).count() == 0
+    one = raw.read_billing_archive(spark, root, date(2026, 8, 2), date(2026, 8, 2))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "2026-08-12" in plan.split("PartitionFilters:")[1].split("]")[0] and "2026-08-19" not in plan
+    latest = raw.read_billing_archive(spark, root, date(2026, 8, 1), date(2026, 8, 1))
+    assert latest.select(F.col("payload.usageItems")[0]["item"]["netAmount"].cast("int")).first()[0] == 9
+
+
+def test_files_that_the_index_does_not_know_are_read_and_can_be_indexed(spark, tmp_path):
+    folder = tmp_path / "premium_requests" / "dt=2026-08-05"
+    folder.mkdir(parents=True)
+    record = {"user_login": "a", "payload": {"usageItems": [{"product": "p", "netAmount": 1}]}}
+    days = [{**record, "period": f"2026-08-0{i}"} for i in (1, 2)] + [record]
+    (folder / "premium_requests_my org_20260806T020000Z.json").write_text(json.dumps(days))
+    root, day = str(tmp_path), date(2026, 8, 4)
+    assert raw.usage_date_index(spark, root).count() == 0
+    assert raw.billing_folders(spark, root, day, day, flat=True) == [date(2026, 8, 5)]
+    assert raw.read_billing_archive(spark, root, date(2026, 8, 2), day, flat=True).count() == 1
+    for _ in range(2):
+        raw.index_usage_dates(spark, root, flat=True)
+        assert raw.usage_date_index(spark, root).count() == 3  # two days, and a record without
+    assert raw.billing_folders(spark, root, day, day, flat=True) == []
+    assert raw.read_billing_archive(spark, root, date(2026, 8, 2), day, flat=True).count() == 1
+
+
 def test_expired_partitions(spark, tmp_path, rows):
     raw.write_raw(_payloads(spark, [("2024-01-01", "a", "{}"), ("2026-01-01", "a", "{}")]), str(tmp_path), "d", "20260101T000000Z")
     got = raw.expired_raw_partitions(spark, str(tmp_path), date(2026, 2, 1), 730, ("d",))
