@@ -197,7 +197,8 @@ SELECT run_id, CASE WHEN done THEN strftime(ended_at, '%Y-%m-%d %H:%M:%S')
        CASE WHEN done THEN CAST(k * 4 AS BIGINT) END AS rows_premium_requests,
        CASE WHEN done AND k % 5 = 0 THEN 'TimeoutError - see the job log for detail'
             WHEN NOT done AND started_at < TIMESTAMP '2024-01-31' - INTERVAL 120 MINUTE
-            THEN 'Abandoned: ran too long without completing.' END AS message, started_at
+            THEN 'Abandoned: ran too long without completing.' END AS message, started_at,
+       CASE WHEN done THEN CAST(k * 3 AS BIGINT) END AS rows_model_feature, CASE WHEN done THEN CAST(10 AS BIGINT) END AS rows_seats
 FROM runs"""
 
 # ------------------------------------------------------------------ orders domain
@@ -321,7 +322,8 @@ SELECT d AS activity_date, login AS user_login, user_id, o AS org_login,
        CAST(sum(credits) * CASE WHEN d < DATE '2024-01-08' THEN 2 ELSE 1 END AS DECIMAL(18,4)) AS ai_credits_used,
        max(phase) AS adoption_phase, max(phase_number) AS adoption_phase_number,
        bool_or(used_agent) AS used_agent, bool_or(used_chat) AS used_chat, bool_or(used_cli) AS used_cli,
-       CAST(NULL AS BOOLEAN) AS used_code_review_active, {_COUNTS7}
+       CAST(NULL AS BOOLEAN) AS used_code_review_active, CAST(NULL AS BOOLEAN) AS used_code_review_passive,
+       CAST(NULL AS BOOLEAN) AS used_copilot_app, CAST(NULL AS BOOLEAN) AS used_copilot_cloud_agent, {_COUNTS7}
 FROM ud GROUP BY d, login, user_id, o""")
 oracle("flatten_user_ide", f"""
 SELECT d AS activity_date, login AS user_login, o AS org_login,
@@ -350,7 +352,8 @@ oracle("flatten_premium_requests", _FLAT_BILLING.format(""))
 oracle("billing_one_day", _FLAT_BILLING.format(" WHERE d = DATE '2024-01-05'"))
 oracle("flatten_seats", """
 SELECT login AS user_login, user_id, o AS org_login, team_name, plan_type, '2023-12-01 00:00:00' AS created_at,
-       strftime(last_at, '%Y-%m-%d %H:%M:%S') AS last_activity_at, editor AS last_activity_editor
+       strftime(last_at, '%Y-%m-%d %H:%M:%S') AS last_activity_at, editor AS last_activity_editor,
+       CAST(NULL AS DATE) AS pending_cancellation_date
 FROM seats""")
 oracle("ide_family_labels", f"""
 SELECT ide, {_FAMILY.format('ide')} AS ide_family, count(*) AS rows FROM ide GROUP BY ALL""")
@@ -511,9 +514,9 @@ oracle("freshness_by_fact", """
 SELECT 'premium_requests' AS fact, max(d) AS latest_date FROM fp
 UNION ALL SELECT 'user_day', max(d) FROM ud UNION ALL SELECT 'user_ide', max(d) FROM fide""")
 oracle("weight_basis_counts", "SELECT basis AS weight_basis, count(*) AS rows FROM share GROUP BY basis")
-oracle("run_states", "SELECT * EXCLUDE (started_at) FROM states")
+oracle("run_states", "SELECT * REPLACE (strftime(started_at, '%Y-%m-%d %H:%M:%S') AS started_at) FROM states")
 oracle("recent_runs", """
-SELECT * EXCLUDE (started_at) FROM (SELECT * FROM states ORDER BY started_at DESC, run_id DESC LIMIT 5)""")
+SELECT * EXCLUDE (started_at, rows_model_feature, rows_seats) FROM (SELECT * FROM states ORDER BY started_at DESC, run_id DESC LIMIT 5)""")
 oracle("ingestion_stalled", """
 SELECT count(*) FILTER (status = 'succeeded' AND completed_at BETWEEN '2024-01-29 00:00:00' AND '2024-01-31 00:00:00') < 1 AS stalled
 FROM states""")
@@ -754,6 +757,7 @@ SELECT d, count(DISTINCT (login, o)), 'fact_user_day' FROM ud
 WHERE d BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' AND day(d) % 3 <> 0 GROUP BY d""")
 oracle("constraint_violations", """
 SELECT 'duplicate fact_premium_requests' AS rule, CAST(0 AS BIGINT) AS rows FROM fp HAVING count(*) >= 0
+UNION ALL SELECT 'duplicates when a day comes twice', count(*) FROM fp WHERE d = DATE '2024-01-05'
 UNION ALL SELECT 'ide_share range', count(*) FROM share WHERE share < 0 OR share > 1
 UNION ALL SELECT 'dangling users of fact_user_ide_day', count(*) FROM fide WHERE uk NOT IN (SELECT uk FROM dim_user)
 UNION ALL SELECT 'dangling users of staged user_ide', count(*) FROM ide WHERE lower(login) NOT IN (SELECT uk FROM dim_user)
@@ -789,6 +793,17 @@ SELECT CASE WHEN uk = 'user1' THEN 'erased' ELSE user_login END AS user_login,
 oracle("purge_preview", """
 SELECT DATE '2024-01-11' AS cutoff_date, (SELECT count(DISTINCT (d, login, o)) FROM ud WHERE d < DATE '2024-01-11') AS activity_rows,
        (SELECT count(*) FROM fide WHERE d < DATE '2024-01-11') AS ide_rows, (SELECT count(*) FROM fp WHERE d < DATE '2024-01-11') AS billing_rows""")
+oracle("restricted_billing_orphans", f"""
+SELECT d AS usage_date, login AS user_login, 'dim_product' AS missing, count(*) AS rows FROM prem
+WHERE k = 42 AND lower(login) IN (SELECT uk FROM dim_user WHERE {_MANAGER}) GROUP BY ALL""")
+_GONE = "coalesce((SELECT min(lower(login)) FROM prem WHERE k = 42), 'user1')"
+for _name, _days in (("erased_rows", "true"), ("purged_rows", "d >= DATE '2024-01-11'")):
+    _BILLED = f"SELECT DISTINCT d, lower(login) AS uk, o, model, product, sku FROM prem WHERE k <> 42 AND {_days}"
+    oracle(_name, f"""
+SELECT 'billing_orphans' AS "table", count(*) AS rows FROM prem WHERE k = 42 AND lower(login) <> {_GONE} AND {_days}
+UNION ALL SELECT 'fact_premium_requests', count(*) FROM ({_BILLED}) WHERE uk <> {_GONE}
+UNION ALL SELECT 'fact_spend_shares', count(*) FROM ({_BILLED}) WHERE uk <> {_GONE}
+UNION ALL SELECT 'fact_user_day', count(*) FROM (SELECT DISTINCT d, login, o FROM ud) WHERE login <> {_GONE} AND {_days}""")
 oracle("pseudonymise", """
 SELECT 'user-' || substr(sha256(user_login), 1, 8) AS user_login, 'present' AS net_amount, count(*) AS rows FROM v2 GROUP BY ALL""")
 

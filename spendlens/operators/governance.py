@@ -109,6 +109,14 @@ def _without(
     return {table: periods}
 
 
+def _rewritten(wh: Warehouse, run_id: str, table: str, rows: DataFrame, gone, touched) -> dict[str, list[int] | None]:
+    """Write a small table without the rows that go, if there are any; what to publish for that."""
+    if rows.filter(gone).isEmpty():
+        return {}
+    wh.write_run(run_id, table, rows.filter(F.coalesce(~gone, F.lit(True))))
+    return {table: touched}
+
+
 def _unshared(wh: Warehouse, run_id: str, spend: DataFrame, old, matching: DataFrame) -> dict[str, list[int]]:
     """Billing that stays forgets the editors and features of the days whose activity goes."""
     periods = wh.periods(matching.filter("editors is not null or features is not null"))
@@ -120,8 +128,8 @@ def _unshared(wh: Warehouse, run_id: str, spend: DataFrame, old, matching: DataF
 
 
 def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -> DataFrame:
-    """Preview, or erase: the user's rows leave all facts in one step, and only the partitions they
-    are in are rewritten. The raw archive has to be cleaned separately, and the files of the version
+    """Preview, or erase: the user's rows leave all facts, the orphaned billing and the grants in one
+    step, and only the partitions they are in are rewritten. The raw archive has to be cleaned separately, and the files of the version
     before go with the publication after the next."""
     T = wh.tables()
     preview = erasure_preview(T, login)
@@ -133,6 +141,8 @@ def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -
     publish: dict[str, list[int] | None] = {"dim_user": None}
     for table in FACTS:
         publish |= _without(wh, run_id, table, T[table], mine)
+    publish |= _rewritten(wh, run_id, "billing_orphans", T.billing_orphans, C.norm("user_login") == _key(login), [])
+    publish |= _rewritten(wh, run_id, "report_access", T.report_access, C.norm("principal_name") == _key(login), None)
     wh.publish(run_id, publish)
     wh.end_run(run_id)
     return result
@@ -176,7 +186,10 @@ def purge(
     for table in FACTS:
         if include_billing or table not in BILLING_FACTS:
             publish |= _without(wh, run_id, table, T[table], old, between(T[table], until=last))
-    if not include_billing:
+    if include_billing:
+        before = F.col("usage_date") <= F.lit(str(last)).cast("date")
+        publish |= _rewritten(wh, run_id, "billing_orphans", T.billing_orphans, before, [])
+    else:
         publish |= _unshared(wh, run_id, T.fact_spend_shares, old, between(T.fact_spend_shares, until=last))
     if publish:
         wh.publish(run_id, publish)

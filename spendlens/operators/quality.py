@@ -222,6 +222,10 @@ def cross_product_published(lines: DataFrame) -> DataFrame:
 # ------------------------------------------------------------------ seats and billing plan
 
 
+#: Organisations that an error or a warning names at most.
+EXAMPLES = 20
+
+
 def seats_by_org(seats: DataFrame) -> DataFrame:
     """Per organisation: seats and seats with a login."""
     return seats.groupBy("org_login").agg(
@@ -229,13 +233,14 @@ def seats_by_org(seats: DataFrame) -> DataFrame:
     )
 
 
-def seat_guard(seats: DataFrame, orgs: list[str], strict: bool = True) -> list[str]:
-    """Organisations without a usable seat: an error, or a list to warn about."""
-    usable = seats_by_org(seats).filter("usable > 0").filter(F.col("org_login").isin(orgs))
-    found = {r.org_login for r in usable.select("org_login").collect()}
-    bare = [o for o in orgs if o not in found]
-    if bare and strict:
-        raise SeatsUnavailable(f"No seats with a login in: {', '.join(bare)}")
+def seat_guard(seats: DataFrame, orgs: DataFrame, strict: bool = True) -> DataFrame:
+    """The organisations (org_login) without a usable seat: an error that names some, or rows to warn about."""
+    usable = seats_by_org(seats).filter("usable > 0")
+    bare = orgs.select("org_login").filter("org_login is not null").distinct().join(usable, "org_login", "left_anti")
+    if strict:
+        some = [r.org_login for r in bare.limit(EXAMPLES).collect()]
+        if some:
+            raise SeatsUnavailable(f"No seats with a login in: {', '.join(sorted(some))}")
     return bare
 
 

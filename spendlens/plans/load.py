@@ -144,7 +144,7 @@ def load_all(
             LOGGER.warning(warning)
 
     emptied = [] if replace_window is None else wh.periods_between(*map(to_date_key, replace_window))
-    touched: dict[str, list[int]] = {}
+    touched: dict[str, list[int] | None] = {}
 
     def load_fact(table: str) -> None:
         source = facts.stamp(facts.LOADS[table](staged, dims), table, loaded_at)
@@ -169,7 +169,8 @@ def load_all(
     touched["fact_spend_shares"] = _share_spend(wh, run_id, stored, touched, loaded_at)
     lost = quality.orphans(staged["premium_requests"], dims, "premium_requests")
     if counts["orphaned_billing"]:
-        wh.append("billing_orphans", runs.orphan_rows(lost, run_id, loaded_at))
+        wh.write_run(run_id, "billing_orphans", runs.orphan_rows(lost, run_id, loaded_at))
+        touched["billing_orphans"] = None
     wh.publish(run_id, {**dict.fromkeys(DIMENSIONS), **touched})
     wh.end_run(run_id)
     return counts
@@ -282,9 +283,12 @@ def run_ingestion(
     try:
         scratch = wh.run_path(run_id, "records")
         datasets = datasets_from_raw(wh.spark, raw_root, since, until, flat, scratch)
-        bare = quality.seat_guard(datasets["seats"], list(orgs), strict) if orgs else []
-        if bare:
-            LOGGER.warning("no usable seat in: %s", ", ".join(bare))
+        if orgs:
+            asked = wh.spark.createDataFrame([(o,) for o in orgs], "org_login string")
+            bare = quality.seat_guard(datasets["seats"], asked, strict)
+            some = [r.org_login for r in bare.limit(quality.EXAMPLES).collect()]
+            if some:
+                LOGGER.warning("no usable seat in, for example: %s", ", ".join(some))
         window = (since, until) if replace_window else None
         counts = load_all(wh, datasets, strict, run_id=run_id, replace_window=window)
     except Exception as exc:

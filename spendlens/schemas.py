@@ -217,14 +217,16 @@ RUN_LOG = {
     ),
 }
 
-# Billing rows that a load could not place, with the dimensions they miss.
-RUN_LOG["billing_orphans"] = _ddl(
-    "run_id string", "logged_at timestamp_ntz", "usage_date date", "user_login string",
-    "org_login string", "product string", "sku string", "model_name string",
-    "net_amount decimal(18,4)", "missing string",
-)
+# Billing rows that a load could not place, with the dimensions they miss; every load adds its own.
+ADDED = {
+    "billing_orphans": _ddl(
+        "run_id string", "logged_at timestamp_ntz", "usage_date date", "user_login string",
+        "org_login string", "product string", "sku string", "model_name string",
+        "net_amount decimal(18,4)", "missing string",
+    ),
+}
 
 # Who may see which cost center; '*' stands for all.
 GRANTS = {"report_access": _ddl("principal_name string", "cost_center string")}
 
-TABLES = {**DIMENSIONS, **FACTS, **RUN_LOG, **GRANTS}
+TABLES = {**DIMENSIONS, **FACTS, **RUN_LOG, **ADDED, **GRANTS}

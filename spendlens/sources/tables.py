@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from spendlens.schemas import DIMENSIONS, FACT_KEYS, FACTS, RUN_LOG, TABLES
+from spendlens.functions.columns import norm
+from spendlens.schemas import ADDED, DIMENSIONS, FACT_KEYS, FACTS, RUN_LOG, TABLES
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -52,6 +53,9 @@ class Tables:
             raise AttributeError(name)
         if self._visible is not None and (name in FACTS or name == "dim_user"):
             return self.whole(name).join(self._visible, "user_key", "left_semi")
+        if self._visible is not None and name in ADDED:
+            rows = self.whole(name)
+            return rows.join(self._visible, norm(rows["user_login"]) == F.col("user_key"), "left_semi")
         return self.whole(name)
 
     def whole(self, name: str) -> DataFrame:
@@ -237,7 +241,8 @@ class Warehouse:
     def publish(self, run_id: str, tables: dict[str, list[int] | None]) -> None:
         """Make a run's tables part of the star schema, all in one step.
 
-        Dimensions are replaced whole. Of a fact, the periods that the run wrote are replaced, and
+        Dimensions are replaced whole, and so are rows that loads add (`billing_orphans`) when they come
+        with an empty list; else they are added to. Of a fact, the periods that the run wrote are replaced, and
         those of the given ones that it left empty are dropped; no file is copied."""
         version, parts, sizes = self._published()
 
@@ -253,6 +258,9 @@ class Warehouse:
         write_all(lambda t=table: count(t) for table in tables)
         for table, touched in tables.items():
             folder = self.run_path(run_id, table).removeprefix(f"{self.root}/")
+            if table in ADDED:
+                parts[table] = (parts.get(table, {}) if touched is None else {}) | {version + 1: folder}
+                continue
             if table not in FACTS:
                 parts[table] = {None: folder}
                 continue

@@ -16,10 +16,13 @@ def _seats(spark, *rows):
 
 def test_seat_guard(spark):
     seats = _seats(spark, ("acme", "a"), ("bare", ""))
-    assert quality.seat_guard(seats, ["acme"]) == []
+    def orgs(*names):
+        return spark.createDataFrame([(n,) for n in names], "org_login string")
+
+    assert quality.seat_guard(seats, orgs("acme")).count() == 0
     with pytest.raises(quality.SeatsUnavailable, match="bare, none"):
-        quality.seat_guard(seats, ["acme", "bare", "none"])
-    assert quality.seat_guard(seats, ["bare"], strict=False) == ["bare"]
+        quality.seat_guard(seats, orgs("acme", "bare", "none", None))
+    assert [r.org_login for r in quality.seat_guard(seats, orgs("bare", "bare"), strict=False).collect()] == ["bare"]
 
 
 def test_billing_plan(spark, rows):

@@ -13,7 +13,8 @@ from spendlens.plans import frames, questions, views
 from .conftest import SMALL
 
 # both sides may be empty on the smallest tables
-_MAY_BE_EMPTY = {"user_table", "restrict_report", "restricted_user_breakdown", "billing_orphans"}
+_MAY_BE_EMPTY = {"user_table", "restrict_report", "restricted_user_breakdown", "billing_orphans",
+                 "restricted_billing_orphans"}
 
 
 @pytest.fixture(scope="module")
