@@ -5,13 +5,10 @@ an earlier line, and words inside three-word windows that occur twice or more. A
 base rules with too few words or too many repeated ones.
 
 Across documents: every line is normalised (lower case, runs of white space as one blank, trimmed),
-hashed, and counted by distinct documents of its host. Exact copies are one text. Lines that more texts
-than the limit share are candidates; then a document is what it has besides its candidates, so that
-neither a long notice nor a crowd of copies hides what a host's pages share. Near copies must not make
-their own lines look like boilerplate: texts whose other parts agree in a MinHash band of three-word
-windows are one document, directly or through others, and so are texts with the same longest candidate
-of which at most a ninth is their own (two such texts share 80 % of what they have). Lines above the limit
-are removed, and a document of which too little is left is rejected.
+hashed, and counted by distinct documents of its host. Documents are distinct when their whole texts are,
+so exact copies count once; near copies are documents of their own, and a host that has more of them than
+the limit loses the lines that they share. Lines above the limit are removed, and a document of which
+too little is left is rejected, whatever the lines are: a notice that is most of a page goes like a footer.
 
 Defined results: a null, empty or blank text has no words and fails the base rules; a null host is a
 host of its own; a line that occurs twice in a document counts one document; rows that repeat a
@@ -23,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, written
+from .components import written
 
 MIN_WORDS = 50
 MAX_REPEATED_PCT = 50
@@ -31,12 +28,6 @@ MAX_REPEATED_PCT = 50
 LINE_LIMIT = 20
 #: Least share of a document's words that must be left without the lines above the limit.
 MIN_LEFT_PCT = 30
-#: MinHash bands over what a text has besides its candidates (99.9 % at a similarity of 0.75, 1 % at 0.1).
-BANDS, ROWS = 12, 3
-#: A text of which no more than one of so many characters is its own is a copy of its shared lines.
-OWN_PART = 9
-
-_STARTS = [band * (2**64 // BANDS) - 2**63 for band in range(BANDS)]
 _BLANKS = " \t\n\x0b\f\r"
 _BLANK_RUN = r"[ \t\n\x0B\f\r]+"
 
@@ -125,72 +116,12 @@ def _line_rows(packed: DataFrame) -> DataFrame:
     )
 
 
-def _band_keys(own: Column) -> Column:
-    """A hash for each band of the words' three-word windows."""
-    windows = F.when(F.size(own) < 3, F.array(F.xxhash64(F.array_join(own, " ")))).otherwise(
-        F.array_distinct(
-            F.transform(F.sequence(F.lit(0), F.size(own) - 3), lambda i: F.xxhash64(own[i], own[i + 1], own[i + 2]))
-        )
-    )
-
-    def of(w: Column) -> Column:
-        # the band's permutation is a start on the circle of hashes; its rows are the hashes that follow
-        starts = F.array(*(F.lit(x) for x in _STARTS))
-
-        def following(both: Column) -> Column:
-            before = F.array(*(F.array_position(both, x) - 1 - i for i, x in enumerate(_STARTS)))
-            return F.transform(
-                before,
-                lambda n, band: F.xxhash64(band, *(F.get(w, ((n + row) % F.size(w)).cast("int")) for row in range(ROWS))),
-            )
-
-        return _let(F.sort_array(F.concat(w, starts)), following)
-
-    return _let(F.sort_array(windows), of)
-
-
-def frequent_lines(packed: DataFrame, lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
+def frequent_lines(lines: DataFrame, limit: int = LINE_LIMIT) -> DataFrame:
     """host, line and documents of the lines above the limit. A hot line is first one row for each text
     that has it, so it has partial counts in many tasks before they meet."""
     texts = lines.filter("first").select("host", "line", "print").distinct()
-    candidates = texts.groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts")).filter(F.col("texts") > limit)
-    candidates = written(candidates.select("host", "line"), "candidates")
-    # of every text that has candidates: one of its documents, by which alone its words are looked up
-    held = written(
-        lines.filter("first")
-        .alias("l")
-        .join(candidates.alias("c"), F.col("l.host").eqNullSafe(F.col("c.host")) & (F.col("l.line") == F.col("c.line")))
-        .groupBy(F.col("l.host").alias("in_host"), F.col("l.print").alias("of_print"))
-        .agg(F.min("l.doc_id").alias("one"), F.collect_set("l.line").alias("shared"))
-        .withColumn("node", F.xxhash64("in_host", "of_print")),
-        "held",
-    )
-    words = packed.select("doc_id", "host", "whole", F.xxhash64("whole").alias("print")).join(
-        held,
-        F.col("doc_id").eqNullSafe(F.col("one")) & F.col("host").eqNullSafe(F.col("in_host")) & (F.col("print") == F.col("of_print")),
-    )
-    own = F.filter(_lines(F.col("whole")), lambda line: ~F.array_contains("shared", _line_key(line)))
-    words = words.select(
-        "node",
-        F.xxhash64("in_host", F.array_max("shared")).alias("longest"),
-        F.array_join(own, "\n").alias("own"),
-        F.char_length(F.array_join(_lines(F.col("whole")), "\n")).alias("size"),
-    )
-    copy = F.char_length("own") * OWN_PART <= F.col("size")
-    keys = words.select(
-        "node", F.explode(F.when(copy, F.array("longest")).otherwise(_let(_words(F.col("own")), _band_keys))).alias("key")
-    )
-    keys = written(keys, "keys")
-    met = keys.groupBy("key").agg(F.min("node").alias("dst"), F.max("node").alias("last")).filter("dst <> last")
-    same = components(keys.join(met, "key").select(F.col("node").alias("src"), "dst"))
     return (
-        held.select("in_host", "node", F.explode("shared").alias("line"))
-        .join(same.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
-        .select(F.col("in_host").alias("host"), "line", F.coalesce("component", "node").alias("document"))
-        .distinct()
-        .groupBy("host", "line")
-        .agg(F.count(F.lit(1)).alias("documents"))
-        .filter(F.col("documents") > limit)
+        texts.groupBy("host", "line").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > limit)
     )
 
 
@@ -206,7 +137,7 @@ def assess(
     limit), the counts, n_line_words (words in those lines), base_failed, depleted and kept."""
     packed = _packed(docs, host)
     lines = written(_line_rows(packed), "lines")
-    often = frequent_lines(packed, lines, line_limit)
+    often = frequent_lines(lines, line_limit)
     bad = (
         lines.alias("l")
         .join(often.alias("o"), F.col("l.host").eqNullSafe(F.col("o.host")) & (F.col("l.line") == F.col("o.line")))
@@ -291,17 +222,10 @@ WITH whole AS (
 ), repeated AS (
   SELECT r, count(DISTINCT p) AS n_repeat_words
   FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1) GROUP BY r
-), keyed AS (
-  SELECT r, source, list_reverse_sort(list_distinct(list_transform(lines, lambda x: {_SQL_KEY}))) AS keys
-  FROM split_up
 ), line_rows AS (
-  SELECT r, source, unnest(keys) AS line, keys[1] AS a, keys[2] AS b FROM keyed
-), by_neighbour AS (
-  SELECT source, line, CASE WHEN line = a THEN b ELSE a END AS neighbour, count(*) AS n
-  FROM line_rows GROUP BY ALL
+  SELECT source, t, unnest(list_distinct(list_transform(lines, lambda x: {_SQL_KEY}))) AS line FROM split_up
 ), often AS (
-  SELECT source, line FROM by_neighbour GROUP BY source, line
-  HAVING count(*) > {LINE_LIMIT} AND max(n) * 2 <= sum(n)
+  SELECT source, line FROM line_rows GROUP BY source, line HAVING count(DISTINCT t) > {LINE_LIMIT}
 ), line_words AS (
   SELECT r, source, unnest(lines) AS x FROM split_up
 ), gone AS (

@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -36,7 +37,8 @@ def hosted(docs):
     menu = "\n".join(" ".join(f"m{i}k{j}" for j in range(14)) for i in range(20))
     rows = [(i, f"{menu}\n{text(i)}\n{boiler}", "a") for i in range(30)]  # common line, documents differ
     rows += [(100 + i, f"{text('c')}\n{text('d')}\n{text('e')}", "a") for i in range(40)]  # exact copies
-    rows += [(200 + i, f"{text('f')}\n{text('g')}\n{text('h')}\nedit {i}", "a") for i in range(40)]  # near copies
+    rows += [(200 + i, f"{text('f')}\n{text('g')}\n{text('h')}\nedit {i}", "a") for i in range(20)]  # near copies
+    rows += [(240 + i, f"{text('p')}\n{text('q')}\nedit {i}", "a") for i in range(21)]  # one more than the limit
     rows += [(300, f"own words {text(300, 40)}\n{menu}", "a")]  # little of its own
     rows += [(400, f"{boiler.upper()}\n{text(400)}", "b"), (401, f"{text(1)}\n{boiler}", None)]
     return docs(*rows)
@@ -44,9 +46,9 @@ def hosted(docs):
 
 def test_line_frequency(hosted):
     out = {r.doc_id: r for r in op.assess(hosted).collect()}
-    assert sorted(i for i, r in out.items() if not r.kept) == [*range(30), 300] and out[300].depleted and not out[300].base_failed
+    assert sorted(i for i, r in out.items() if not r.kept) == [*range(30), *range(240, 261), 300] and out[300].depleted and not out[300].base_failed
     assert out[5].clean_text == out[5].text.split("\n")[20] and out[5].n_line_words == 20 * 14 + 11
-    for i in (100, 200, 400, 401):  # copies, another host, no host
+    for i in (100, 200, 400, 401):  # copies, few near copies, another host, no host
         assert out[i].clean_text == out[i].text
 
 
@@ -73,23 +75,39 @@ def test_a_crowd_of_copies_does_not_hide_a_footer(docs):
     assert all("newsletter" not in r.clean_text and r.kept for r in out) and len(out) == 110
 
 
-def test_copies_with_edits_in_every_line_keep_their_lines(docs):
-    lines = [[f"w{k}x{j}" for j in range(60)] for k in range(3)]
+@pytest.mark.parametrize("pages", [100, 21])
+def test_pages_that_are_mostly_one_notice_lose_it_and_go(docs, pages):
+    notice = " ".join(f"n{i}" for i in range(90))
+    rows = [(i, " ".join(f"own{i}x{j}" for j in range(7)) + "\n" + notice, "a") for i in range(pages)]
+    out = op.assess(docs(*rows)).collect()
+    assert len(out) == pages and all(r.n_line_words == 90 and r.depleted and not r.kept for r in out)
+    few = op.assess(docs(*rows[:20])).collect()
+    assert all(r.kept and r.n_line_words == 0 for r in few)
+
+
+@pytest.mark.parametrize("pages", [400, 1500])
+def test_a_footer_goes_whatever_the_size_of_the_host(docs, pages):
+    rng = random.Random(pages)
+    stock = [" ".join(f"s{i}y{j}" for j in range(4)) for i in range(12)]
+    footer = " ".join(f"f{i}" for i in range(20))
+
+    def own(i):
+        words = [f"own{i}x{j}" for j in range(40)]
+        return " ".join([*words, *rng.sample(stock, 5)])
+
+    out = op.assess(docs(*((i, f"{own(i)}\n{footer}", "a") for i in range(pages)))).collect()
+    assert len(out) == pages and all(r.kept and r.n_line_words == 20 and r.clean_text == r.text.split("\n")[0] for r in out)
 
-    def edited(i):
-        mine = [list(x) for x in lines]
-        for k in range(3):
-            if (i >> k) & 1:
-                mine[k][(7 * i) % 60] = f"e{i}"
-        return "\n".join(map(" ".join, mine))
 
-    out = op.assess(docs(*((i, edited(i), "a") for i in range(64)))).collect()
-    assert all(r.clean_text == r.text and r.kept for r in out) and len(out) == 64
+def test_a_long_text(docs):
+    text = "\n".join(f"line {i} of a long text with its own words {i * 7}" for i in range(60_000))
+    out = op.assess(docs((1, text), (2, "short"))).collect()
+    assert {r.doc_id: r.n_words for r in out} == {1: 660_000, 2: 1}
 
 
 def test_kept_rows_have_the_columns_of_documents(hosted):
     out = op.keep_good(hosted)
-    assert out.columns == hosted.columns and out.count() == hosted.count() - 31
+    assert out.columns == hosted.columns and out.count() == hosted.count() - 52
 
 
 def test_equals_sql(spark, hosted):
