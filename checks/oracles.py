@@ -833,3 +833,9 @@ oracle("orders_monthly_spend_by_team", f"""
 SELECT strftime(f.d, '%Y-%m') AS year_month, c_mktsegment AS cost_center, f.o AS org_login, f.model AS model_name,
        count(DISTINCT f.uk) AS active_users, CAST(sum(f.net) AS {_T}) AS net_amount
 FROM ofp f JOIN customer ON c_custkey = f.user_id GROUP BY ALL""")
+
+# ------------------------------------------------------------------ the questions as SQL functions
+
+oracle("sql_top_spenders", RAW["top_spenders"].replace("LIMIT 25", "LIMIT 10"))
+for _name in ("user_exact_total", "team_breakdown", "team_total", "orders_top_spenders"):
+    ORACLES[f"sql_{_name}"] = ORACLES[_name]

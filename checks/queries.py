@@ -18,7 +18,7 @@ from spendlens.functions import columns
 from spendlens.functions.columns import ide_family
 from spendlens.operators import allocate, facts, flatten, governance, quality, runs
 from spendlens.operators.staging import stage
-from spendlens.plans import frames, load, measures, questions, views
+from spendlens.plans import frames, load, measures, questions, sql_functions, views
 from spendlens.schemas import FACT_KEYS
 from spendlens.session import new_folder
 from spendlens.sources import derive, raw, render, reports
@@ -319,6 +319,22 @@ events_query("team_report", lambda T: questions.team_report(T, "cc0", AS_OF))
 events_query("top_report", lambda T: questions.top_report(T, AS_OF))
 events_query("summary_report", lambda T: questions.summary_report(T, AS_OF))
 
+
+
+def sql_query(name: str, call: str, tables: Callable[[SparkSession, str], Tables]) -> None:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sql_functions.register_functions(tables(spark, sf_dir), AS_OF)
+        return spark.sql(f"SELECT * FROM {call}")
+
+    QUERIES[name] = run
+
+
+sql_query("sql_top_spenders", "top_spenders(DATE'2024-01-05', DATE'2024-01-25', 10)", events_tables)
+sql_query("sql_user_exact_total", "user_exact_total('USER1 ', DATE'2024-01-05', DATE'2024-01-25')", events_tables)
+sql_query("sql_team_breakdown", "team_breakdown('CC0', DATE'2024-01-05', DATE'2024-01-25')", events_tables)
+sql_query("sql_team_total", "team_total('cc0', DATE'2024-01-05', DATE'2024-01-25')", events_tables)
+sql_query("sql_orders_top_spenders", "top_spenders(DATE'1990-01-01', DATE'2030-01-01', 100)", orders_tables)
+
 # ------------------------------------------------------------------ measures and report pages
 
 events_query("exact_measures", lambda T: measures.exact_measures(T, ["org_login", "cost_center"]))

@@ -102,6 +102,12 @@ class WarehouseMissing(RuntimeError):
 
 
 _MANIFEST = "version bigint, table string, period int, path string, partition string, rows bigint"
+#: Parquet's own filters, as large as the distinct users of a row group need, to a bound.
+USER_FILTER = {
+    "parquet.bloom.filter.enabled#user_key": "true",
+    "parquet.bloom.filter.adaptive.enabled": "true",
+    "parquet.bloom.filter.max.bytes": str(1 << 20),
+}
 #: Rows of a dimension up to which joins may broadcast it.
 BROADCAST_ROWS = 200_000
 
@@ -222,7 +228,9 @@ class Warehouse:
 
     def write_run(self, run_id: str, table: str, df: DataFrame) -> None:
         """Materialise a table of this run. Facts are split evenly by range over their whole key,
-        so a day or a user with most of the rows still becomes many files, each sorted by user.
+        so a day or a user with most of the rows still becomes many files, each sorted by user. Files of a
+        month hold most users each, so least and greatest user tell nothing: a bloom filter of each row
+        group lets a user's report pass over those without the user.
         Other partitions of a repeated attempt are overwritten as well."""
         path = self.run_path(run_id, table)
         if table in FACTS:
@@ -232,6 +240,7 @@ class Warehouse:
                 .sortWithinPartitions(self.partition, "date_key", "user_key")
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
+                .options(**USER_FILTER)
                 .partitionBy(self.partition)
                 .parquet(path)
             )

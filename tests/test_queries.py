@@ -8,7 +8,7 @@ from checks.compare import compare, connect
 from checks.oracles import ORACLES
 from checks.queries import QUERIES, events_tables
 from spendlens.operators import allocate
-from spendlens.plans import frames, questions, views
+from spendlens.plans import frames, questions, sql_functions, views
 
 from .conftest import SMALL
 
@@ -55,6 +55,14 @@ def test_user_and_dates_reach_the_scans(spark):
         assert "EqualTo(user_key,user1)" in scan
 
 
+def test_arguments_of_sql_functions_reach_the_scans(spark):
+    sql_functions.register_functions(events_tables(spark, SMALL), "2024-01-31")
+    plan = _plan(spark.sql("SELECT * FROM user_exact_total('User1', DATE'2024-01-05', DATE'2024-01-09')"))
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "fact_premium_requests" in line)
+    assert "20240105" in scan.split("PartitionFilters:")[1].split("PushedFilters:")[0]
+    assert "EqualTo(user_key,user1)" in scan
+
+
 def test_share_moves_each_fact_row_once(spark):
     T = events_tables(spark, SMALL)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
