@@ -292,12 +292,40 @@ def join(
     )
 
 
+#: Documents without a number of their own come after all others, by a hash of what they are.
+_UNNUMBERED = 1 << 62
+
+
+def _own_numbers(docs: DataFrame) -> DataFrame:
+    """row (all columns), text, doc_id: where doc_id is null or stands for several texts, each text gets a
+    number of its own."""
+    text = F.col("text").cast("string")
+    packed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        text.alias("text"),
+        F.col("doc_id").cast("long").alias("number"),
+        F.xxhash64("doc_id", F.coalesce(text, F.lit("")), text.isNull()).alias("print"),
+    )
+    several = (
+        packed.groupBy(F.col("number").alias("shared"))
+        .agg(F.min("print").alias("low"), F.max("print").alias("high"))
+        .filter("shared is null or low <> high")
+        .select("shared", F.lit(True).alias("unclear"))
+    )
+    several = written(several, "shared-numbers")
+    own = F.col("print").bitwiseAND(F.lit(_UNNUMBERED - 1)) + F.lit(_UNNUMBERED)
+    return packed.join(several, F.col("number").eqNullSafe(F.col("shared")), "left").select(
+        "row", "text", F.when(F.col("unclear"), own).otherwise(F.col("number")).alias("doc_id")
+    )
+
+
 def one_of_each(docs: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """The rows of each group's document with the least doc_id; one row where a doc_id repeats."""
-    stay = join(docs, n, threshold, recall).filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    """One row of each group: its document with the least doc_id. Rows that repeat a doc_id with its text
+    are one document; different texts under one doc_id, or under none, are documents of their own, after
+    those with a doc_id that is only theirs."""
+    numbered = _own_numbers(docs)
+    stay = join(numbered.select("doc_id", "text"), n, threshold, recall).filter(F.col("doc_id") == F.col("class_id"))
     stay = stay.select(F.col("doc_id").alias("stays"))
     return (
-        docs.alias("d")
-        .join(stay, F.col("d.doc_id").eqNullSafe(F.col("stays")), "left_semi")
-        .dropDuplicates(["doc_id"])
+        numbered.join(stay, F.col("doc_id") == F.col("stays"), "left_semi").dropDuplicates(["doc_id"]).select("row.*")
     )

@@ -70,7 +70,17 @@ def test_odd_rows(docs):
     got = {r.doc_id: tuple(r)[1:] for r in op.join(frame).collect()}
     assert got == {None: (None, None, 2, 46), 1: (None, 1, 2, 47), 2: (2, 2, 0, 1), 3: (None, None, 2, 46), 4: (4, 4, 0, 1)}
     assert op.join(frame.limit(0)).collect() == []
-    assert len(op.one_of_each(frame).collect()) == 3
+    assert [r.doc_id for r in op.one_of_each(frame).orderBy("doc_id").collect()] == [1, 2, 4, 4]
+
+
+def test_unrelated_rows_without_a_number_of_their_own_all_stay(docs):
+    texts = [" ".join(f"{x}{i}" for i in range(30)) for x in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3]), (None, None), (7, None), (7, "")]
+    out = op.one_of_each(docs(*rows)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in out) == sorted({(str(i), str(t)) for i, t in rows})
+    # a copy under a number of its own goes before one under a shared number
+    linked = op.one_of_each(docs(*rows, (9, texts[2] + " tail"), (8, texts[0]))).collect()
+    assert {r.doc_id for r in linked if r.text and r.text.startswith(("a0", "c0"))} == {8, 9}
 
 
 def test_long_text(docs):
