@@ -728,7 +728,8 @@ SELECT 'ide' AS dimension, CASE WHEN length(login) % 2 = 0 THEN ' ' || upper(ide
 FROM ide_entries GROUP BY ALL
 UNION ALL SELECT 'model', upper(model), count(*) FROM mf_entries GROUP BY ALL
 UNION ALL SELECT 'feature', feature, count(*) FROM mf_entries GROUP BY ALL""")
-oracle("cross_product_published", "SELECT count(*) < 0 AS cross_product FROM ide_entries")
+oracle("cross_product_published", """
+SELECT o AS org, o = 'org1' AND count(*) FILTER (login IN (SELECT login FROM ide_entries)) > 0 AS cross_product FROM ud GROUP BY o""")
 oracle("seats_by_org", """
 SELECT o AS org_login, count(*) AS seats, count(*) FILTER (login <> '') AS usable FROM seats GROUP BY o""")
 oracle("billing_plan", """

@@ -402,9 +402,15 @@ def observed_values(spark, sf_dir):
 
 @query
 def cross_product_published(spark, sf_dir):
-    return quality.cross_product_published(
-        raw.read_raw(spark, archive(spark, sf_dir), DATASETS["user_activity"])
-    )
+    """By organisation; the editor entries of org1 name a model for this."""
+    lines = raw.read_raw(spark, archive(spark, sf_dir), DATASETS["user_activity"])
+    named = F.regexp_replace("line", '"ide":', '"model":"m","ide":')
+    lines = lines.withColumn("line", F.when(F.col("org") == "org1", named).otherwise(F.col("line")))
+    parts = [
+        quality.cross_product_published(lines.filter(F.col("org") == org)).withColumn("org", F.lit(org))
+        for org in ("org0", "org1", "org2")
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
