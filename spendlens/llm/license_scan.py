@@ -140,26 +140,23 @@ def matches(docs: DataFrame, known: DataFrame, contained: float = CONTAINED, rec
     found = docs.select("doc_id", F.xxhash64("text").alias("print"), shingles(F.col("text")).alias("all")).filter(
         F.arrays_overlap("all", literal(set().union(*by_class.values())))
     )
-    # all classes' windows in one pass: the shingles of a text are made once
+    # all classes' windows in one pass: the shingles of a text are made once, windows are cut inside the array,
+    # and only those with a template's shingle become rows, so that no row carries a whole text
 
-    def starts(c: int) -> Column:
+    def holding(c: int, hashes: set[int]) -> Column:
         every = F.sequence(F.lit(0), F.size("all") - 1, F.lit(1 << c))
-        return F.transform(every, lambda at: F.struct(F.lit(c).alias("class"), at.alias("at")))
+        held = F.filter(every, lambda at: F.arrays_overlap(F.slice("all", at + 1, 2 << c), literal(hashes)))
+        return F.transform(
+            held, lambda at: F.struct(F.lit(c).alias("class"), at.alias("at"), F.slice("all", at + 1, 2 << c).alias("window"))
+        )
 
-    none = F.array().cast("array<struct<class:int,at:int>>")
+    none = F.array().cast("array<struct<class:int,at:int,window:array<bigint>>>")
     places = [
-        F.when(F.arrays_overlap("all", literal(hashes)), starts(c)).otherwise(none)
+        F.when(F.arrays_overlap("all", literal(hashes)), holding(c, hashes)).otherwise(none)
         for c, hashes in sorted(by_class.items())
     ]
-    holds = F.lit(False)
-    for c, hashes in by_class.items():
-        holds = F.when(F.col("class") == c, F.arrays_overlap("window", literal(hashes))).otherwise(holds)
-    cut = (
-        found.select("doc_id", "print", "all", F.explode(F.concat(*places)).alias("place"))
-        .select("doc_id", "print", "place.class", "place.at", "all")
-        .withColumn("window", F.slice("all", F.col("at") + 1, F.expr("2 * shiftleft(1, class)")))
-        .filter(holds)
-        .drop("all")
+    cut = found.select("doc_id", "print", F.explode(F.concat(*places)).alias("place")).select(
+        "doc_id", "print", "place.class", "place.at", "place.window"
     )
     windows = _agreeing(cut, ["doc_id", "print", "class", "at"], "window", n)
     wanted = _agreeing(sets, ["license", "class"], "has", n)

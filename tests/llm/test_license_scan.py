@@ -61,3 +61,12 @@ def test_odd_rows_and_columns(spark, docs):
 def test_no_python_in_the_plan(docs):
     plan = op.digest(docs("a"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_a_text_of_a_million_words(docs):
+    """In proportion to its words: rows that carried the text once a window took minutes."""
+    filler = "x " * 400_000
+    text = f"{filler}{op.TEMPLATES['mit']} {filler}{op.TEMPLATES['apache-2.0-header']} {filler}"
+    row = op.scan(docs((1, text))).first()
+    assert row.licenses == ["apache-2.0", "apache-2.0-header", "mit"]
+    assert {w["first"] // 400_000 for w in row.windows} <= {0, 1, 2}
