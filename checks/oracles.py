@@ -586,6 +586,11 @@ SELECT {_FAMILY.format('ide')} AS editor_family, o AS org_login, CAST(sum(i) AS
        {_div('sum(a)', 'sum(g)')} AS acceptance_rate, count(DISTINCT uk) AS active_users_activity,
        CAST(sum(added) AS BIGINT) AS lines_added, CAST(sum(deleted) AS BIGINT) AS lines_deleted
 FROM fide GROUP BY ALL""")
+oracle("distinct_users_window", f"SELECT count(DISTINCT uk) AS users FROM v2 WHERE {_W}")
+oracle("distinct_users_by_org", "SELECT org_login, year_month, count(DISTINCT uk) AS users FROM v2 GROUP BY ALL")
+oracle("distinct_users_active", f"""
+SELECT o AS org_login, count(DISTINCT uk) AS users FROM fide WHERE {_W.replace('usage_date', 'd')} GROUP BY ALL""")
+oracle("orders_distinct_users", "SELECT o AS org_login, count(DISTINCT uk) AS users FROM ofp GROUP BY ALL")
 oracle("seat_measures", f"""
 SELECT count(*) AS idle_seats, CAST(sum(net_amount_30d) AS {_T}) AS idle_seat_spend_30d FROM idle""")
 oracle("freshness_measures", f"""
@@ -781,6 +786,7 @@ oracle("restrict_everything", "SELECT user_login, cost_center FROM dim_user")
 oracle("restricted_spend", f"SELECT user_login, CAST(sum(net_amount) AS {_T}) AS spend FROM v2 WHERE {_MANAGER} GROUP BY ALL")
 for _name in ("summary", "user_exact_total", "user_breakdown", "editor_spend", "detail_matrix", "kpi_cards"):
     restricted_oracle(f"restricted_{_name}", RAW[_name], _MANAGER)
+restricted_oracle("restricted_distinct_users", "SELECT count(DISTINCT uk) AS users FROM fp", _MANAGER)
 oracle("restrict_report", f"""
 SELECT user_login, CAST(sum(net_amount) AS {_T}) AS spend FROM v2 WHERE cost_center = 'cc2' GROUP BY ALL""")
 oracle("erasure_preview", """

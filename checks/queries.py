@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from spendlens.fixed_values import DATASETS
 from spendlens.functions import columns
 from spendlens.functions.columns import ide_family
-from spendlens.operators import allocate, facts, flatten, governance, quality, runs
+from spendlens.operators import allocate, distinct_users, facts, flatten, governance, quality, runs
 from spendlens.operators.staging import stage
 from spendlens.plans import frames, load, measures, questions, sql_functions, views
 from spendlens.schemas import FACT_KEYS
@@ -346,6 +346,11 @@ events_query("editor_share", lambda T: measures.editor_share(T, ["org_login", "e
 events_query(
     "engagement_measures", lambda T: measures.engagement_measures(T, ["editor_family", "org_login"])
 )
+events_query("distinct_users_window", lambda T: distinct_users.distinct_users(T, since=SINCE, until=UNTIL))
+events_query("distinct_users_by_org", lambda T: distinct_users.distinct_users(T, ["org_login", "year_month"]))
+events_query("distinct_users_active", lambda T: distinct_users.distinct_users(T, ["org_login"], "activity", SINCE, UNTIL))
+orders_query("orders_distinct_users", lambda T: distinct_users.distinct_users(T, ["org_login"]))
+events_query("restricted_distinct_users", lambda T: distinct_users.distinct_users(_as_user2(T)))
 events_query("seat_measures", lambda T: measures.seat_measures(views.inactive_seats(T, AS_OF)))
 events_query(
     "freshness_measures",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from spendlens import fixed_values as V
 from spendlens.functions import columns as C
+from spendlens.operators import distinct_users
 from spendlens.operators.allocate import between
 from spendlens.schemas import FACTS
 from spendlens.sources.tables import Tables, Warehouse
@@ -141,6 +142,10 @@ def forget_user(wh: Warehouse, login: str, run_id: str, confirm: bool = False) -
     publish: dict[str, list[int] | None] = {"dim_user": None}
     for table in FACTS:
         publish |= _without(wh, run_id, table, T[table], mine)
+    seen = {table: publish.get(table) or [] for table in distinct_users.SOURCES.values()}
+    periods = sorted({p for own in seen.values() for p in own})
+    left = {table: wh.in_periods(T[table], periods).filter(~mine) for table in seen}
+    publish |= distinct_users.rewrite(wh, run_id, left, T.dim_user, periods)
     publish |= _rewritten(wh, run_id, "billing_orphans", T.billing_orphans, C.norm("user_login") == _key(login), [])
     publish |= _rewritten(wh, run_id, "report_access", T.report_access, C.norm("principal_name") == _key(login), None)
     wh.publish(run_id, publish)
@@ -186,6 +191,8 @@ def purge(
     for table in FACTS:
         if include_billing or table not in BILLING_FACTS:
             publish |= _without(wh, run_id, table, T[table], old, between(T[table], until=last))
+    unmarked = old if include_billing else old & (F.col("source") != "billing")
+    publish |= _without(wh, run_id, "user_bitmaps", T.user_bitmaps, unmarked)
     if include_billing:
         before = F.col("usage_date") <= F.lit(str(last)).cast("date")
         publish |= _rewritten(wh, run_id, "billing_orphans", T.billing_orphans, before, [])

@@ -9,13 +9,14 @@ from __future__ import annotations
 import logging
 import uuid
 from datetime import UTC, date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spendlens import fixed_values as V
 from spendlens.functions.columns import to_date_key
-from spendlens.operators import allocate, dimensions, facts, quality, runs
+from spendlens.operators import allocate, dimensions, distinct_users, facts, quality, runs
 from spendlens.operators.staging import DATASETS, stage, staging_schema
 from spendlens.schemas import DIMENSIONS, FACT_KEYS, STAGING
 from spendlens.sources import raw
@@ -167,6 +168,7 @@ def load_all(
     others = [t for t in facts.LOADS if t != "fact_user_ide_day"]
     write_all([reconcile, load_editors, *(lambda t=table: load_fact(t) for table in others)])
     touched["fact_spend_shares"] = _share_spend(wh, run_id, stored, touched, loaded_at)
+    touched |= _mark_users(wh, run_id, stored, touched, dims["dim_user"])
     lost = quality.orphans(staged["premium_requests"], dims, "premium_requests")
     if counts["orphaned_billing"]:
         wh.write_run(run_id, "billing_orphans", runs.orphan_rows(lost, run_id, loaded_at))
@@ -211,6 +213,36 @@ def _rebuild_shares(
     return touched
 
 
+def _current(
+    wh: Warehouse, run_id: str, stored: Tables, touched: dict[str, list[int]], table: str, periods: list[int]
+) -> DataFrame:
+    """A fact in these periods, as the run leaves it."""
+    rest = wh.in_periods(stored[table], [p for p in periods if p not in touched.get(table, ())])
+    return rest if table not in touched else wh.read_run(run_id, table).unionByName(rest)
+
+
+def _mark_users(
+    wh: Warehouse, run_id: str, stored: Tables, touched: dict[str, list[int]], users: DataFrame
+) -> dict[str, list[int]]:
+    """Bitmaps of the users of all periods in which the run wrote billing or editors."""
+    sources = distinct_users.SOURCES.values()
+    periods = sorted({p for table in sources for p in touched.get(table, ())})
+    found = {table: _current(wh, run_id, stored, touched, table, periods) for table in sources}
+    return distinct_users.rewrite(wh, run_id, found, users, periods)
+
+
+def rebuild_bitmaps(wh: Warehouse, run_id: str, since=None, until=None) -> None:
+    """Store the bitmaps of the periods of a window, or of all: for a star schema that was loaded without."""
+    T = wh.tables()
+    found = {t: T[t] for t in distinct_users.SOURCES.values()}
+    days = [allocate.between(fact, since, until).select("date_key") for fact in found.values()]
+    periods = wh.periods(reduce(DataFrame.union, days))
+    found = {t: wh.in_periods(fact, periods) for t, fact in found.items()}
+    publish = distinct_users.rewrite(wh, run_id, found, T.dim_user, periods)
+    if publish:
+        wh.publish(run_id, publish)
+
+
 def _share_spend(
     wh: Warehouse, run_id: str, stored: Tables, touched: dict[str, list[int]], loaded_at: str
 ) -> list[int]:
@@ -219,11 +251,7 @@ def _share_spend(
     sources = ("fact_premium_requests", "fact_user_ide_share", "fact_user_model_feature_day")
     periods = sorted({p for table in sources for p in touched.get(table, ())})
 
-    def current(table: str) -> DataFrame:
-        rest = wh.in_periods(stored[table], [p for p in periods if p not in touched.get(table, ())])
-        return rest if table not in touched else wh.read_run(run_id, table).unionByName(rest)
-
-    billing, editors, used = (current(table) for table in sources)
+    billing, editors, used = (_current(wh, run_id, stored, touched, table, periods) for table in sources)
     rows = allocate.with_shares(billing, editors, allocate.feature_share(used))
     # splitting rows evenly by range looks at them twice, and would run the join twice
     rows = facts.stamp(rows, "fact_spend_shares", loaded_at)

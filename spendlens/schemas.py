@@ -57,6 +57,7 @@ _COUNT_COLUMNS = [f"{c} bigint" for c in COUNTS]
 
 
 _TYPES = {
+    "binary": T.BinaryType(),
     "int": T.IntegerType(),
     "bigint": T.LongType(),
     "string": T.StringType(),
@@ -200,6 +201,15 @@ FACT_KEYS = {
     "fact_user_ide_share": ["date_key", "user_key", "org_key", "editor_key"],
 }
 
+# Which users were there, day by day: 32,768 of them a bitmap, by their number.
+BITMAPS = {
+    "user_bitmaps": _ddl("date_key int", "source string", "org_key string", "bucket bigint", "users binary"),
+}
+
+# What is stored by day or month, and the rows that share a file.
+STORED_KEYS = {**FACT_KEYS, "user_bitmaps": ["date_key", "source", "org_key", "bucket"]}
+PERIODIC = {**FACTS, **BITMAPS}
+
 DIMENSION_KEYS = {
     "dim_date": "date_key", "dim_org": "org_key", "dim_user": "user_key",
     "dim_model": "model_key", "dim_product": "product_key", "dim_editor": "editor_key",
@@ -229,4 +239,4 @@ ADDED = {
 # Who may see which cost center; '*' stands for all.
 GRANTS = {"report_access": _ddl("principal_name string", "cost_center string")}
 
-TABLES = {**DIMENSIONS, **FACTS, **RUN_LOG, **ADDED, **GRANTS}
+TABLES = {**DIMENSIONS, **PERIODIC, **RUN_LOG, **ADDED, **GRANTS}

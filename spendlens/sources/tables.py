@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from spendlens.functions.columns import norm
-from spendlens.schemas import ADDED, DIMENSIONS, FACT_KEYS, FACTS, RUN_LOG, TABLES
+from spendlens.schemas import ADDED, DIMENSIONS, FACTS, PERIODIC, RUN_LOG, STORED_KEYS, TABLES
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -58,6 +58,10 @@ class Tables:
             return rows.join(self._visible, norm(rows["user_login"]) == F.col("user_key"), "left_semi")
         return self.whole(name)
 
+    @property
+    def is_restricted(self) -> bool:
+        return self._visible is not None
+
     def whole(self, name: str) -> DataFrame:
         """The table without restriction, for figures that show no user."""
         if name not in self._frames:
@@ -170,7 +174,7 @@ class Warehouse:
     def periods_between(self, first_key: int, last_key: int) -> list[int]:
         """The stored partitions that hold days from the first to the last."""
         scale = 100 if self.partition == "month_key" else 1
-        stored = {p for table, parts in self._published()[1].items() if table in FACTS for p in parts}
+        stored = {p for table, parts in self._published()[1].items() if table in PERIODIC for p in parts}
         return sorted(p for p in stored if first_key // scale <= p <= last_key // scale)
 
     def in_periods(self, df: DataFrame, periods: list[int]) -> DataFrame:
@@ -184,7 +188,7 @@ class Warehouse:
 
     def schema(self, table: str) -> StructType:
         schema = TABLES[table]
-        if table in FACTS and self.partition not in schema.names:
+        if table in PERIODIC and self.partition not in schema.names:
             schema = StructType([*schema.fields, StructField(self.partition, IntegerType())])
         return schema
 
@@ -233,14 +237,16 @@ class Warehouse:
         group lets a user's report pass over those without the user.
         Other partitions of a repeated attempt are overwritten as well."""
         path = self.run_path(run_id, table)
-        if table in FACTS:
+        if table in PERIODIC:
+            keys = STORED_KEYS[table]
+            user = ["user_key"] if "user_key" in keys else []
             rows = df.select(*TABLES[table].names).withColumn(self.partition, self.period())
             (
-                rows.repartitionByRange(*FACT_KEYS[table])
-                .sortWithinPartitions(self.partition, "date_key", "user_key")
+                rows.repartitionByRange(*keys)
+                .sortWithinPartitions(self.partition, "date_key", *user)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "static")
-                .options(**USER_FILTER)
+                .options(**(USER_FILTER if user else {}))
                 .partitionBy(self.partition)
                 .parquet(path)
             )
@@ -259,7 +265,7 @@ class Warehouse:
 
         def count(table: str) -> None:
             written = self.read_run(run_id, table)
-            if table in FACTS:
+            if table in PERIODIC:
                 wrote[table] = sorted(r[0] for r in written.select(self.partition).distinct().collect())
             else:
                 sizes[table] = written.count()
@@ -270,7 +276,7 @@ class Warehouse:
             if table in ADDED:
                 parts[table] = (parts.get(table, {}) if touched is None else {}) | {version + 1: folder}
                 continue
-            if table not in FACTS:
+            if table not in PERIODIC:
                 parts[table] = {None: folder}
                 continue
             kept = {p: path for p, path in parts.get(table, {}).items() if p not in (touched or [])}
