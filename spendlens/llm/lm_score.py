@@ -4,14 +4,16 @@ Texts are taken as UTF-8 with A-Z in lower case. The model predicts every byte b
 predictors each know a hashed context (the last two, three or four bytes, and all bytes of the
 word so far) and give the log odds of the next bit; a gated set of weights, chosen by how well the
 word's start is known and by the bit's place, combines them by a logistic function; a last stage maps
-the mixed odds to what was seen when such odds were given. Contexts begin anew with every unit: a
-word's bytes and one blank after it, cut after `WIDTH` bytes, so no unit begins another one. A text's
-probability (given its length) is the product of its units', and every distinct unit is scored once,
-wherever it occurs.
+the mixed odds to what was seen when such odds were given. A unit is a word's bytes and one blank after
+it, cut after `WIDTH` bytes, so no unit begins another one. The last bytes see over blanks and units, back
+to the text's start. A text's probability (given its length) is the product of its units': the first
+`REACH` bytes of a unit are scored where it occurs, once for each distinct (bytes before, byte) of a block;
+its other bytes depend on nothing before it, so they are scored once for each distinct unit.
 
 The bits have the share of the units that the counts do not know; the other share is the unit's
 relative frequency in the training documents. So the predictors count every distinct unit once,
-however frequent, and the weights learn from units that the predictors have not counted. Last, where a
+however frequent, and the weights learn from units that the predictors have not counted, each with the bytes
+before it. Contexts that reach over a unit's start count each occurrence. Last, where a
 text's last two units occurred in it before, the unit that followed them then is expected: the share
 it gets is gated by how many such guesses were right in a row, and so adapts with the text.
 
@@ -20,7 +22,8 @@ out. Unit counts of the training documents but those with remainder 6 make the p
 remainder 6 make the weights and the last stage, by online logistic regression in small batches, in a
 few rounds whose results are averaged over the tasks.
 
-What travels: each block sends its distinct units, cut into key ranges, with their counts.
+What travels: each block sends its distinct units, cut into key ranges, with their counts; each task the
+distinct contexts over units' starts, with theirs.
 Ranges add up exact counts of all training units, whatever their number, and answer with each word's
 count and each unit's score. The predictors' tables have a fixed size (`SLOTS` a predictor), whatever
 the corpus; only they, some hundred weights and a few totals pass through the driver. A slot keeps the
@@ -48,6 +51,7 @@ from .text import _LETTERS, SPACES, U64, Rolling, Words, column_bytes, cut, mixe
 FOLDS, HELD_OUT, FOR_WEIGHTS = 7, 2, 6
 WIDTH = 24  # bytes of a unit; longer runs go on in further units
 ORDERS = (2, 3, 4)
+REACH = max(ORDERS)  # bytes before a unit that its first bytes see
 PREDICTORS = len(ORDERS) + 1  # and the word so far
 SEGMENTS = 256
 SLOTS = (1 << 18, 1 << 20, 1 << 20, 1 << 22)  # of each predictor
@@ -57,6 +61,7 @@ GUESSES = 16  # gates of the guesses inside a text
 ROUNDS, LOT = 3, 4096
 RATE, MEMORY, FIRM = 0.2, 0.9, 50.0  # step, what a lot's curvature keeps for the next, and its start
 LEAST_SEEN = 2  # contexts seen less often in all ranges together are not kept
+OVER_UNITS, HELD_EVENTS = -3, 1 << 20  # block number of counted contexts over units' starts, and how many are held
 _SEGMENT = tuple(n // SEGMENTS for n in SLOTS)
 
 _ENDS = np.zeros(256, dtype=bool)
@@ -94,6 +99,12 @@ class _Units:
         word = np.where(within == 0, np.repeat(np.minimum(size, WIDTH), pieces), 0)
         tail = np.where(within == 0, np.repeat(tail, pieces), U64(0))
         self.row = np.repeat(row, pieces)
+        #: of every unit the bytes of its text before it, the last one lowest, and above them how many
+        reach = np.minimum(REACH, starts - offsets[self.row])
+        self.before = reach.astype(U64) << U64(32)
+        for back in range(1, REACH + 1):
+            seen = np.flatnonzero(reach >= back)
+            self.before[seen] |= data[starts[seen] - back].astype(U64) << U64(8 * (back - 1))
         key = Rolling(_LETTERS[0][data]).runs(starts, starts + sizes)
         key = mixed(key + word.astype(U64)) ^ mixed(tail)
         _, first, self.which = np.unique(key, return_index=True, return_inverse=True)
@@ -152,6 +163,16 @@ def _unpacked(payload: bytes, n_counts: int):
     return cells, size, word, tail, counts
 
 
+def _joined(payloads: list[bytes], n_counts: int):
+    """The entries of all payloads, one after the other."""
+    lots = [_unpacked(p, n_counts) for p in payloads or [np.uint32(0).tobytes()]]
+    return *(np.concatenate([x[k] for x in lots]) for k in range(4)), [np.concatenate([x[4][k] for x in lots]) for k in range(n_counts)]
+
+
+def _unit_keys(cells: np.ndarray, size: np.ndarray, word: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    return _content(cells, size) ^ mixed(tail + word.astype(U64))
+
+
 class _Met:
     """The units of one range from all blocks, equal ones as one, with their counts added up."""
 
@@ -159,7 +180,7 @@ class _Met:
         lots = [_unpacked(p, n_counts) for p in payloads]
         self.ends = np.cumsum([len(x[1]) for x in lots])[:-1]
         cells, size, word, tail = (np.concatenate([x[k] for x in lots]) for k in range(4))
-        key = _content(cells, size) ^ mixed(tail + word.astype(U64))
+        key = _unit_keys(cells, size, word, tail)
         _, first, self.which = np.unique(key, return_index=True, return_inverse=True)
         self.cells, self.size, self.word, self.tail = cells[first], size[first], word[first], tail[first]
         self.counts = [
@@ -205,21 +226,33 @@ def _repeats(which: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # ---- predictors --------------------------------------------------------------------------------
 
 
-def _contexts(cells: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
-    """For every place in a unit: the rows that have it, their byte there, and each predictor's context."""
+def _last_bytes(order: int, j: int, cells: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """The context of the last bytes at a place of units; fewer where the text has no more."""
+    reach = np.minimum(U64(order), (before >> U64(32)) + U64(j))
+    key = reach | U64(order << 8)
+    for back in range(1, min(j, order) + 1):
+        key = (key << U64(8)) | cells[:, j - back].astype(U64)
+    for back in range(j + 1, order + 1):
+        byte = (before >> U64(8 * (back - j - 1))) & U64(255)
+        key = np.where(reach >= back, (key << U64(8)) | byte, key)
+    return key
+
+
+def _contexts(
+    cells: np.ndarray, size: np.ndarray, before: np.ndarray | None = None, first: int = 0, last: int = WIDTH
+) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """For every place in a unit from the first to before the last: the rows that have it, their byte there,
+    and each predictor's context. Without what is `before` them, units begin a text."""
     word = np.full(len(size), 7, dtype=U64)
-    for j in range(int(size.max(initial=0))):
+    before = np.zeros(len(size), dtype=U64) if before is None else before
+    for j in range(min(last, int(size.max(initial=0)))):
         rows = np.flatnonzero(size > j)
-        contexts = []
-        for order in ORDERS:
-            key = np.full(len(rows), (order << 8) | min(j, order), dtype=U64)
-            for back in range(1, min(j, order) + 1):
-                key = (key << U64(8)) | cells[rows, j - back].astype(U64)
-            contexts.append(mixed(key))
-        contexts.append(word[rows])
         byte = cells[rows, j]
+        if j >= first:
+            near, here = cells[rows, :j], before[rows]
+            contexts = [mixed(_last_bytes(order, j, near, here)) for order in ORDERS]
+            yield rows, byte.astype(np.int64), [*contexts, word[rows]]
         word[rows] = mixed(word[rows] * U64(31) + byte.astype(U64))
-        yield rows, byte.astype(np.int64), contexts
 
 
 def _where(k: int, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,6 +264,84 @@ def _where(k: int, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 _EVENT = np.dtype([("context", "<u8"), ("byte", "u1"), ("n", "<u8")])
 
 
+def _added_up(context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Events in the order of context and byte, equal ones as one."""
+    order = np.lexsort((byte, context))
+    context, byte, n = context[order], byte[order], n[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (context[1:] != context[:-1]) | (byte[1:] != byte[:-1])
+    begin = np.flatnonzero(new)
+    out = np.empty(len(begin), dtype=_EVENT)
+    out["context"], out["byte"], out["n"] = context[begin], byte[begin], np.add.reduceat(n, begin) if len(n) else n
+    return out
+
+
+def _by_segment(k: int, events: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    cuts = np.searchsorted((events["context"] >> U64(56)).astype(np.int64), np.arange(SEGMENTS + 1))
+    for s in np.flatnonzero(np.diff(cuts)):
+        yield k * SEGMENTS + int(s), events[cuts[s] : cuts[s + 1]].tobytes()
+
+
+class _OverUnits:
+    """Counted (context, next byte) pairs whose context begins before the byte's unit, of the chosen units.
+    Equal ones meet before they are sent; so many are held at once, however long the input is."""
+
+    def __init__(self, parts: int):
+        self.parts = parts
+        self.held: list[list[np.ndarray]] = [[] for _ in ORDERS]
+
+    def add(self, u: _Units, chosen: np.ndarray) -> None:
+        chosen = chosen[u.before[chosen] > 0]
+        which, before = u.which[chosen], u.before[chosen]
+        size, cells = u.size[which], u.cells[which, :REACH]
+        for k, order in enumerate(ORDERS):
+            for j in range(order):
+                rows = size > j
+                key = (_last_bytes(order, j, cells[rows], before[rows]) << U64(8)) | cells[rows, j].astype(U64)
+                key, n = np.unique(key, return_counts=True)
+                own = np.empty(len(key), dtype=_EVENT)
+                own["context"], own["byte"], own["n"] = mixed(key >> U64(8)), key & U64(255), n
+                self.held[k].append(own)
+
+    def full(self) -> bool:
+        if sum(len(x) for own in self.held for x in own) < 2 * HELD_EVENTS:
+            return False
+        self._fold()
+        return sum(len(own[0]) for own in self.held) >= HELD_EVENTS
+
+    def _fold(self) -> None:
+        whole = [np.concatenate([np.zeros(0, dtype=_EVENT), *own]) for own in self.held]
+        self.held = [[_added_up(x["context"], x["byte"], x["n"])] for x in whole]
+
+    def send(self) -> pa.Table:
+        self._fold()
+        rows = [row for k, (own,) in enumerate(self.held) for row in _by_segment(k, own)]
+        self.held = [[] for _ in ORDERS]
+        segments = [s for s, _ in rows]
+        of = np.array(segments, dtype=np.int64) * self.parts // (PREDICTORS * SEGMENTS)
+        cuts = np.searchsorted(of, np.arange(self.parts + 1))
+
+        def payload(a: int, b: int) -> bytes:
+            sizes = np.array([[s, len(x)] for s, x in rows[a:b]], dtype="<u4")
+            return np.uint32(b - a).tobytes() + sizes.tobytes() + b"".join(x for _, x in rows[a:b])
+
+        return B.sent(OVER_UNITS, cuts, payload)
+
+    @staticmethod
+    def met(payloads: list[bytes]) -> Iterator[tuple[int, bytes]]:
+        """The segments of one range from all tasks, with their counts added up."""
+        lots: dict[int, list[bytes]] = {}
+        for payload in payloads:
+            n = int(np.frombuffer(payload, "<u4", 1)[0])
+            at = 4 + 8 * n
+            for s, length in np.frombuffer(payload, "<u4", 2 * n, 4).reshape(n, 2).tolist():
+                lots.setdefault(s, []).append(payload[at : at + length])
+                at += length
+        for s, own in sorted(lots.items()):
+            events = np.frombuffer(b"".join(own), _EVENT)
+            yield s, _added_up(events["context"], events["byte"], events["n"]).tobytes()
+
+
 def _events(met: _Met, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """Counted (context, next byte) pairs of the units, by predictor and segment."""
     rows = np.flatnonzero(counts > 0)
@@ -242,17 +353,7 @@ def _events(met: _Met, counts: np.ndarray) -> Iterator[tuple[int, bytes]]:
     for k, lot in enumerate(lots):
         if not lot:
             continue
-        context, byte, n = (np.concatenate(x) for x in zip(*lot, strict=True))
-        order = np.lexsort((byte, context))
-        context, byte, n = context[order], byte[order], n[order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (context[1:] != context[:-1]) | (byte[1:] != byte[:-1])
-        begin = np.flatnonzero(new)
-        out = np.empty(len(begin), dtype=_EVENT)
-        out["context"], out["byte"], out["n"] = context[begin], byte[begin], np.add.reduceat(n, begin)
-        cuts = np.searchsorted((out["context"] >> U64(56)).astype(np.int64), np.arange(SEGMENTS + 1))
-        for s in np.flatnonzero(np.diff(cuts)):
-            yield k * SEGMENTS + int(s), out[cuts[s] : cuts[s + 1]].tobytes()
+        yield from _by_segment(k, _added_up(*(np.concatenate(x) for x in zip(*lot, strict=True))))
 
 
 def _segment(k: int, payloads: list[bytes]) -> tuple[bytes, bytes]:
@@ -300,10 +401,10 @@ class Model:
         #: share of a guess by the right guesses before it
         self.trust = np.zeros(GUESSES)
 
-    def bits(self, cells: np.ndarray, size: np.ndarray):
-        """For every bit of every unit: the rows, the bit, its place, the gate and the inputs."""
+    def bits(self, cells: np.ndarray, size: np.ndarray, before: np.ndarray | None = None, first: int = 0, last: int = WIDTH):
+        """For every bit of every unit, or of some of its bytes: the rows, the bit, its place, the gate and the inputs."""
         odds, infos = self.tables if isinstance(self.tables, tuple) else self.tables.value
-        for rows, byte, contexts in _contexts(cells, size):
+        for rows, byte, contexts in _contexts(cells, size, before, first, last):
             found = [_where(k, c) for k, c in enumerate(contexts)]
             for b in range(8):
                 node = (1 << b) | (byte >> (8 - b))
@@ -330,20 +431,36 @@ class Model:
         part = place - low
         return 0.75 * p + 0.25 * (self.last[b, low] * (1 - part) + self.last[b, low + 1] * part)
 
-    def score(self, cells: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """log10 probability of every unit."""
+    def score(self, cells: np.ndarray, size: np.ndarray, before: np.ndarray | None = None, first: int = 0, last: int = WIDTH) -> np.ndarray:
+        """log10 probability of every unit, or of some of its bytes."""
         out = np.zeros(len(size))
-        for rows, bit, b, gate, inputs in self.bits(cells, size):
+        for rows, bit, b, gate, inputs in self.bits(cells, size, before, first, last):
             p = self.refined(b, *self.mix(b, gate, inputs))
             out[rows] += np.log10(np.where(bit == 1, p, 1 - p))
         return out
 
-    def units(self, cells: np.ndarray, size: np.ndarray, times: np.ndarray) -> np.ndarray:
-        """log10 probability of units that the training documents hold so often."""
-        counted = self.known * times / max(1, self.n_units)
-        return np.log10(counted + (1 - self.known) * 10.0 ** self.score(cells, size))
+    def heads(self, u: _Units) -> np.ndarray:
+        """log10 probability of the first `REACH` bytes of every unit of some texts, after the bytes before it."""
+        out, size = np.zeros(len(u.which)), u.size[u.which]
+        reach, near = u.before >> U64(32), u.before & U64(0xFFFFFFFF)
+        for j in range(REACH):
+            rows = np.flatnonzero(size > j)
+            byte = u.cells[u.which[rows], j].astype(U64)
+            known = np.minimum(U64(REACH), reach[rows] + U64(j))
+            _, some, again = np.unique((known << U64(40)) | (near[rows] << U64(8)) | byte, return_index=True, return_inverse=True)
+            own = rows[some]
+            scored = self.score(u.cells[u.which[own], :REACH], np.full(len(own), j + 1), u.before[own], j, j + 1)
+            out[rows] += scored[again]
+            near[rows] = ((near[rows] << U64(8)) | byte) & U64(0xFFFFFFFF)
+        return out
+
+    def counted(self, times: np.ndarray) -> np.ndarray:
+        """What units that the training documents hold so often get from the counts."""
+        return self.known * times / max(1, self.n_units)
 
-    def learn(self, cells: np.ndarray, size: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def learn(
+        self, cells: np.ndarray, size: np.ndarray, n: np.ndarray, before: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Online over lots of units, each bit's error moving its gate's weights; returns the mass that
         each set of weights has seen, and seen mass and ones by the last stage's buckets."""
         mass = np.zeros((LEVELS, 8))
@@ -351,7 +468,8 @@ class Model:
         curves = np.full(self.weights.shape, FIRM)
         for lo in range(0, len(size), LOT):
             own = n[lo : lo + LOT].astype(np.float64)
-            for rows, bit, b, gate, inputs in self.bits(cells[lo : lo + LOT], size[lo : lo + LOT]):
+            some = None if before is None else before[lo : lo + LOT]
+            for rows, bit, b, gate, inputs in self.bits(cells[lo : lo + LOT], size[lo : lo + LOT], some):
                 z, p = self.mix(b, gate, inputs)
                 w = own[rows]
                 bucket = np.rint((z + 12) * ((BUCKETS - 1) / 24)).astype(np.int64)
@@ -382,6 +500,7 @@ def _lowered(column) -> tuple[np.ndarray, np.ndarray]:
 
 def _send_counts(splitters: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        over = _OverUnits(len(splitters) + 1)
         for whole in batches:
             for batch in cut(whole):
                 fold = batch["fold"].to_numpy(zero_copy_only=False)
@@ -394,15 +513,36 @@ def _send_counts(splitters: np.ndarray):
                 yield from B.sent(-1, np.repeat([0, 1], [some + 1, len(splitters) + 1 - some]), lambda a, b, n=guesses: n.astype("<i8").tobytes()).to_batches()
                 chosen, cuts = _laid_out(u, np.flatnonzero(counts[0] > 0), splitters)
                 yield from B.sent(0, cuts, lambda a, b, c=chosen, u=u, n=counts: _packed(u, c[a:b], n)).to_batches()
+                # what a unit that no predictor counts here follows: the weights may learn from it
+                pairs = _Following(u, own[counts[1][u.which[own]] == 0])
+                chosen, cuts = _laid_out(pairs, np.arange(len(pairs.size)), splitters)
+                yield from B.sent(-2, cuts, lambda a, b, c=chosen, u=pairs: _packed(u, c[a:b], u.counts)).to_batches()
+                over.add(u, np.flatnonzero(((fold != HELD_OUT) & (fold != FOR_WEIGHTS))[u.row]))
+                if over.full():
+                    yield from over.send().to_batches()
+        yield from over.send().to_batches()
 
     return run
 
 
+class _Following:
+    """Distinct units of some places of texts, each with the bytes before it, and their counts."""
+
+    def __init__(self, u: _Units, places: np.ndarray):
+        key = mixed(u.before[places]) ^ mixed(u.which[places].astype(U64) + U64(1))
+        _, first, n = np.unique(key, return_index=True, return_counts=True)
+        which, before = u.which[places[first]], u.before[places[first]]
+        self.cells, self.size, self.word, self.tail = u.cells[which], u.size[which], u.word[which], u.tail[which]
+        self.counts = [n, before & U64(0xFFFFFFFF), before >> U64(32)]
+
+
 def _meet_counts(part: int, lots: int, blocks: list[int], payloads: list[bytes]) -> pa.Table:
     """kind 0: the range's distinct words, word tokens, units, and of the units for the weights all and
     those that the predictors know, and tried and right guesses; kind 1: units for the weights, dealt into
     lots; kind 2 and on: events of a predictor's segment."""
-    guesses = sum(np.frombuffer(p, "<i8") for p, b in zip(payloads, blocks, strict=True) if b < 0) + np.zeros(2 * GUESSES, "<i8")
+    guesses = sum(np.frombuffer(p, "<i8") for p, b in zip(payloads, blocks, strict=True) if b == -1) + np.zeros(2 * GUESSES, "<i8")
+    pairs = [p for p, b in zip(payloads, blocks, strict=True) if b == -2]
+    over = [p for p, b in zip(payloads, blocks, strict=True) if b == OVER_UNITS]
     payloads = [p for p, b in zip(payloads, blocks, strict=True) if b >= 0]
     met = _Met(payloads or [np.uint32(0).tobytes()], 2)
     begins = met.word > 0
@@ -415,30 +555,38 @@ def _meet_counts(part: int, lots: int, blocks: list[int], payloads: list[bytes])
         left[met.counts[1] > 0].sum(),
     )
     rows = [(0, part, np.array([*totals, *guesses], dtype="<i8").tobytes())]
-    lot = (_content(met.cells, met.size) % U64(lots)).astype(np.int64)  # a range's words are all alike
+    cells, size, word, tail, (n, near, reach) = _joined(pairs, 3)
+    before = (reach.astype(U64) << U64(32)) | near.astype(U64)
+    unit = _unit_keys(cells, size, word, tail)
+    new = ~np.isin(unit, _unit_keys(met.cells, met.size, met.word, met.tail)[met.counts[1] > 0])
+    lot = (_content(cells, size) % U64(lots)).astype(np.int64)  # a range's words are all alike
     for own in range(lots):
-        at = np.flatnonzero((left > 0) & (met.counts[1] == 0) & (lot == own))
+        at = np.flatnonzero(new & (lot == own))
         if len(at):
-            payload = (np.uint32(len(at)), met.size[at].astype(np.uint8), left[at].astype("<i8"), met.cells[at])
+            _, first, same = np.unique(unit[at] ^ mixed(before[at]), return_index=True, return_inverse=True)
+            times, at = np.bincount(same, n[at]), at[first]
+            payload = (np.uint32(len(at)), size[at].astype(np.uint8), times.astype("<i8"), before[at].astype("<u8"), cells[at])
             rows.append((1, own, b"".join(x.tobytes() for x in payload)))
+    rows += [(2 + segment, part, payload) for segment, payload in _OverUnits.met(over)]
     rows += [(2 + segment, part, payload) for segment, payload in _events(met, (met.counts[1] > 0).astype(np.int64))]
     kind, own, payload = zip(*rows, strict=True)
     return pa.table({"kind": pa.array(kind, pa.int32()), "part": pa.array(own, pa.int32()), "payload": pa.array(payload, pa.binary())})
 
 
-def _for_weights(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _for_weights(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     n = int(np.frombuffer(payload, "<u4", 1)[0])
     size = np.frombuffer(payload, np.uint8, n, 4).astype(np.int64)
-    return np.frombuffer(payload, np.uint8, n * WIDTH, 4 + 9 * n).reshape(n, WIDTH), size, np.frombuffer(payload, "<i8", n, 4 + n)
+    times, before = np.frombuffer(payload, "<i8", n, 4 + n), np.frombuffer(payload, "<u8", n, 4 + 9 * n)
+    return np.frombuffer(payload, np.uint8, n * WIDTH, 4 + 17 * n).reshape(n, WIDTH), size, times, before
 
 
 def _learn(model):
     def run(key, table):
-        cells, size, n = (np.concatenate(x) for x in zip(*map(_for_weights, table["payload"].to_pylist()), strict=True))
-        order = np.argsort(_content(cells, size))  # without meaning, and always the same
+        cells, size, n, before = (np.concatenate(x) for x in zip(*map(_for_weights, table["payload"].to_pylist()), strict=True))
+        order = np.argsort(_content(cells, size) ^ mixed(before))  # without meaning, and always the same
         own = Model(model.tables)
         own.weights = model.weights.copy()
-        mass, seen, ones = own.learn(cells[order], size[order], n[order])
+        mass, seen, ones = own.learn(cells[order], size[order], n[order], before[order])
         sums = np.concatenate([(own.weights * mass[:, :, None]).ravel(), mass.ravel(), seen.ravel(), ones.ravel()])
         return pa.table({"sums": pa.array([sums], pa.list_(pa.float64()))})
 
@@ -503,7 +651,8 @@ def _splitters(docs: DataFrame, parts: int) -> np.ndarray:
     return np.unique(strings[np.arange(1, parts) * len(strings) // parts]) if len(strings) else strings
 
 
-_ANSWER = np.dtype([("count", "<u8"), ("score", "<f4")])
+#: A word's count, and of a unit what the counts give it and the score of its bytes from `REACH` on.
+_ANSWER = np.dtype([("count", "<u8"), ("counted", "<f4"), ("score", "<f4")])
 
 
 class _Score:
@@ -528,7 +677,8 @@ class _Score:
         out["count"] = np.bincount(words, met.counts[0]).astype(np.int64)[words]
         for lo in range(0, len(out), 16 * LOT):
             at = slice(lo, lo + 16 * LOT)
-            out["score"][at] = self.model.units(met.cells[at], met.size[at], met.counts[0][at])
+            out["score"][at] = self.model.score(met.cells[at], met.size[at], None, REACH)
+        out["counted"] = self.model.counted(met.counts[0])
         replies = [out[w].tobytes() for w in np.split(met.which, met.ends)]
         n = len(replies)
         return pa.table(
@@ -553,6 +703,8 @@ class _Score:
         for part, payload in zip(answers["part"].to_pylist(), answers["payload"].to_pylist(), strict=True):
             got[chosen[cuts[part] : cuts[part + 1]]] = np.frombuffer(payload, _ANSWER)
         n = len(offsets) - 1
+        bits = self.model.heads(u) + got["score"][u.which]
+        unit = np.log10(got["counted"][u.which] + (1 - self.model.known) * 10.0**bits)
         begins = (u.word > 0)[u.which]
         count = got["count"][u.which][begins].astype(np.float64)
         row = u.row[begins]
@@ -567,7 +719,7 @@ class _Score:
                 "n_tokens": pa.array(np.bincount(row, minlength=n) + 1, pa.int64()),
                 "n_known": pa.array(known, pa.int64()),
                 "seen": pa.array(base, pa.float64()),
-                "score": pa.array(np.bincount(u.row, self.with_guesses(u, got["score"][u.which]), n), pa.float64()),
+                "score": pa.array(np.bincount(u.row, self.with_guesses(u, unit), n), pa.float64()),
             }
         )
 

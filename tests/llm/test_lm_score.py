@@ -97,6 +97,43 @@ def test_probabilities_of_all_next_bytes_sum_to_one(docs, rows):
         assert sum(10 ** (model.score(cells, size) - before)) == pytest.approx(1, abs=1e-6)
 
 
+def test_bytes_before_a_unit_count(docs):
+    """Two texts of the same units, none twice: the one in the order of the training documents is likelier."""
+    rng = random.Random(7)
+    ends = {"ka": "zo", "le": "fi", "mu": "ri"}  # how a word ends, and how the next one begins
+
+    def chain(n):
+        begin, words = "zo", []
+        for _ in range(n):
+            end = rng.choice(sorted(ends))
+            words.append(begin + "".join(rng.choice("bdgnt") + rng.choice("aeiou") for _ in range(3)) + end)
+            begin = ends[end]
+        return words
+
+    ids = [i for i in range(2000) if fold(i) != 2][:600]
+    held = [i for i in range(2000) if fold(i) == 2][:2]
+    own = list(dict.fromkeys(chain(60)))
+    back = [own[0], *own[:0:-1]]
+    rows = [*((i, " ".join(chain(60)) + " ") for i in ids), (held[0], " ".join(own) + " "), (held[1], " ".join(back) + " ")]
+    score = {r.doc_id: r.score for r in op.digest(docs(*rows)).collect()}
+    assert score[held[0]] > score[held[1]] + 5
+
+
+def test_probabilities_after_other_bytes_sum_to_one(docs, rows):
+    model, *_ = op.train(docs(*rows))
+    data, offsets = op._lowered(op.pa.array(["on the"]))
+    u = op._Units(data, offsets)
+    before = np.repeat(u.before[1:], 256)
+    assert [int(x) for x in u.before] == [0, (3 << 32) | int.from_bytes(b"on ", "big")]
+    cells = np.zeros((256, op.WIDTH), dtype=np.uint8)
+    cells[:, 0] = np.arange(256)
+    assert sum(10 ** model.score(cells, np.ones(256, dtype=np.int64), before)) == pytest.approx(1, abs=1e-6)
+    # the first bytes where a unit occurs and the others together are the whole unit
+    whole = model.score(u.cells, u.size, u.before[np.argsort(u.which)])[u.which]
+    inside = model.score(u.cells, u.size, None, op.REACH)[u.which]
+    assert np.allclose(model.heads(u) + inside, whole)
+
+
 def test_contexts_are_counted_over_all_ranges():
     """One unit in each of two ranges makes the tables of both units in one range."""
 
