@@ -99,12 +99,7 @@ class _Units:
         word = np.where(within == 0, np.repeat(np.minimum(size, WIDTH), pieces), 0)
         tail = np.where(within == 0, np.repeat(tail, pieces), U64(0))
         self.row = np.repeat(row, pieces)
-        #: of every unit the bytes of its text before it, the last one lowest, and above them how many
-        reach = np.minimum(REACH, starts - offsets[self.row])
-        self.before = reach.astype(U64) << U64(32)
-        for back in range(1, REACH + 1):
-            seen = np.flatnonzero(reach >= back)
-            self.before[seen] |= data[starts[seen] - back].astype(U64) << U64(8 * (back - 1))
+        self._places = data, offsets, starts
         key = Rolling(_LETTERS[0][data]).runs(starts, starts + sizes)
         key = mixed(key + word.astype(U64)) ^ mixed(tail)
         _, first, self.which = np.unique(key, return_index=True, return_inverse=True)
@@ -115,6 +110,17 @@ class _Units:
         places = np.minimum(starts[first][:, None] + column, max(0, len(data) - 1))
         self.cells = np.where(column < self.size[:, None], data[places] if len(data) else 0, 0).astype(np.uint8)
 
+    def before(self) -> np.ndarray:
+        """Of every unit the bytes of its text before it, the last one lowest, and above them how many."""
+        data, offsets, starts = self._places
+        reach = np.minimum(REACH, starts - offsets[self.row])
+        near = np.zeros(len(starts), dtype=np.uint32)
+        for back in range(REACH, 0, -1):
+            near = (near << np.uint32(8)) | data[np.maximum(starts - back, 0)]
+        few = reach < REACH
+        near[few] &= ((1 << 8 * reach[few]) - 1).astype(np.uint32)
+        return (reach.astype(U64) << U64(32)) | near
+
     def times(self, chosen: np.ndarray) -> np.ndarray:
         """How often each distinct unit occurs in the chosen texts."""
         return np.bincount(self.which, chosen[self.row], len(self.size)).astype(np.int64)
@@ -226,7 +232,25 @@ def _repeats(which: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
 # ---- predictors --------------------------------------------------------------------------------
 
 
-def _last_bytes(order: int, j: int, cells: np.ndarray, before: np.ndarray) -> np.ndarray:
+_KEY_BITS = 8 + 8 * 4 + 3  # a byte, four before it, and how many of these there are
+
+
+def _first_bytes(u: _Units, before: np.ndarray, chosen: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """For each of the first `REACH` places the chosen units that have it: the byte lowest, above it what is
+    before it, as of a unit that begins there."""
+    which, before = u.which[chosen], before[chosen]
+    size, head = u.size[which], np.ascontiguousarray(u.cells[:, :REACH]).view("<u4").ravel()[which]
+    for j in range(REACH):
+        some = size > j
+        if not some.all():
+            size, head, before = size[some], head[some], before[some]
+        byte = ((head >> np.uint32(8 * j)) & np.uint32(255)).astype(U64)
+        yield j, (before << U64(8)) | byte
+        reach = np.minimum(U64(REACH), (before >> U64(32)) + U64(1))
+        before = (reach << U64(32)) | ((before << U64(8)) & U64(0xFFFFFFFF)) | byte
+
+
+def _last_bytes(order: int, j: int, cells: np.ndarray | None, before: np.ndarray) -> np.ndarray:
     """The context of the last bytes at a place of units; fewer where the text has no more."""
     reach = np.minimum(U64(order), (before >> U64(32)) + U64(j))
     key = reach | U64(order << 8)
@@ -290,18 +314,16 @@ class _OverUnits:
         self.parts = parts
         self.held: list[list[np.ndarray]] = [[] for _ in ORDERS]
 
-    def add(self, u: _Units, chosen: np.ndarray) -> None:
-        chosen = chosen[u.before[chosen] > 0]
-        which, before = u.which[chosen], u.before[chosen]
-        size, cells = u.size[which], u.cells[which, :REACH]
-        for k, order in enumerate(ORDERS):
-            for j in range(order):
-                rows = size > j
-                key = (_last_bytes(order, j, cells[rows], before[rows]) << U64(8)) | cells[rows, j].astype(U64)
-                key, n = np.unique(key, return_counts=True)
-                own = np.empty(len(key), dtype=_EVENT)
-                own["context"], own["byte"], own["n"] = mixed(key >> U64(8)), key & U64(255), n
-                self.held[k].append(own)
+    def add(self, u: _Units, before: np.ndarray, chosen: np.ndarray) -> None:
+        chosen = chosen[before[chosen] > 0]
+        for j, key in _first_bytes(u, before, chosen):
+            key, n = np.unique(key, return_counts=True)
+            byte = (key & U64(255)).astype(np.uint8)
+            for k, order in enumerate(ORDERS):
+                if j < order:
+                    own = np.empty(len(key), dtype=_EVENT)
+                    own["context"], own["byte"], own["n"] = mixed(_last_bytes(order, 0, None, key >> U64(8))), byte, n
+                    self.held[k].append(own)
 
     def full(self) -> bool:
         if sum(len(x) for own in self.held for x in own) < 2 * HELD_EVENTS:
@@ -441,17 +463,22 @@ class Model:
 
     def heads(self, u: _Units) -> np.ndarray:
         """log10 probability of the first `REACH` bytes of every unit of some texts, after the bytes before it."""
-        out, size = np.zeros(len(u.which)), u.size[u.which]
-        reach, near = u.before >> U64(32), u.before & U64(0xFFFFFFFF)
-        for j in range(REACH):
-            rows = np.flatnonzero(size > j)
-            byte = u.cells[u.which[rows], j].astype(U64)
-            known = np.minimum(U64(REACH), reach[rows] + U64(j))
-            _, some, again = np.unique((known << U64(40)) | (near[rows] << U64(8)) | byte, return_index=True, return_inverse=True)
-            own = rows[some]
-            scored = self.score(u.cells[u.which[own], :REACH], np.full(len(own), j + 1), u.before[own], j, j + 1)
-            out[rows] += scored[again]
-            near[rows] = ((near[rows] << U64(8)) | byte) & U64(0xFFFFFFFF)
+        out, before, rows = np.zeros(len(u.which)), u.before(), np.arange(len(u.which))
+        size = u.size[u.which]
+        for j, key in _first_bytes(u, before, rows):
+            rows = rows[size[rows] > j]
+            places = U64(len(key).bit_length())
+            if places <= U64(64 - _KEY_BITS):  # sorting values is quicker than sorting their places
+                key = np.sort((key << places) | np.arange(len(key), dtype=U64))
+                order, key = (key & ((U64(1) << places) - U64(1))).astype(np.int64), key >> places
+            else:
+                order = np.argsort(key)
+                key = key[order]
+            new = np.ones(len(key), dtype=bool)
+            new[1:] = key[1:] != key[:-1]
+            own = rows[order[new]]
+            scored = self.score(u.cells[u.which[own], :REACH], np.full(len(own), j + 1), before[own], j, j + 1)
+            out[rows[order]] += scored[np.cumsum(new) - 1]
         return out
 
     def counted(self, times: np.ndarray) -> np.ndarray:
@@ -514,10 +541,11 @@ def _send_counts(splitters: np.ndarray):
                 chosen, cuts = _laid_out(u, np.flatnonzero(counts[0] > 0), splitters)
                 yield from B.sent(0, cuts, lambda a, b, c=chosen, u=u, n=counts: _packed(u, c[a:b], n)).to_batches()
                 # what a unit that no predictor counts here follows: the weights may learn from it
-                pairs = _Following(u, own[counts[1][u.which[own]] == 0])
+                before = u.before()
+                pairs = _Following(u, before, own[counts[1][u.which[own]] == 0])
                 chosen, cuts = _laid_out(pairs, np.arange(len(pairs.size)), splitters)
                 yield from B.sent(-2, cuts, lambda a, b, c=chosen, u=pairs: _packed(u, c[a:b], u.counts)).to_batches()
-                over.add(u, np.flatnonzero(((fold != HELD_OUT) & (fold != FOR_WEIGHTS))[u.row]))
+                over.add(u, before, np.flatnonzero(((fold != HELD_OUT) & (fold != FOR_WEIGHTS))[u.row]))
                 if over.full():
                     yield from over.send().to_batches()
         yield from over.send().to_batches()
@@ -528,10 +556,10 @@ def _send_counts(splitters: np.ndarray):
 class _Following:
     """Distinct units of some places of texts, each with the bytes before it, and their counts."""
 
-    def __init__(self, u: _Units, places: np.ndarray):
-        key = mixed(u.before[places]) ^ mixed(u.which[places].astype(U64) + U64(1))
+    def __init__(self, u: _Units, before: np.ndarray, places: np.ndarray):
+        key = mixed(before[places]) ^ mixed(u.which[places].astype(U64) + U64(1))
         _, first, n = np.unique(key, return_index=True, return_counts=True)
-        which, before = u.which[places[first]], u.before[places[first]]
+        which, before = u.which[places[first]], before[places[first]]
         self.cells, self.size, self.word, self.tail = u.cells[which], u.size[which], u.word[which], u.tail[which]
         self.counts = [n, before & U64(0xFFFFFFFF), before >> U64(32)]
 

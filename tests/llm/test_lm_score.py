@@ -123,13 +123,13 @@ def test_probabilities_after_other_bytes_sum_to_one(docs, rows):
     model, *_ = op.train(docs(*rows))
     data, offsets = op._lowered(op.pa.array(["on the"]))
     u = op._Units(data, offsets)
-    before = np.repeat(u.before[1:], 256)
-    assert [int(x) for x in u.before] == [0, (3 << 32) | int.from_bytes(b"on ", "big")]
+    before = np.repeat(u.before()[1:], 256)
+    assert [int(x) for x in u.before()] == [0, (3 << 32) | int.from_bytes(b"on ", "big")]
     cells = np.zeros((256, op.WIDTH), dtype=np.uint8)
     cells[:, 0] = np.arange(256)
     assert sum(10 ** model.score(cells, np.ones(256, dtype=np.int64), before)) == pytest.approx(1, abs=1e-6)
     # the first bytes where a unit occurs and the others together are the whole unit
-    whole = model.score(u.cells, u.size, u.before[np.argsort(u.which)])[u.which]
+    whole = model.score(u.cells, u.size, u.before()[np.argsort(u.which)])[u.which]
     inside = model.score(u.cells, u.size, None, op.REACH)[u.which]
     assert np.allclose(model.heads(u) + inside, whole)
 
