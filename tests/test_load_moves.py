@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from spendlens.operators import dimensions, distinct_users, facts, quality
+from spendlens.operators import allocate, dimensions, distinct_users, facts, quality
+from spendlens.schemas import FACT_KEYS
+from spendlens.sources.tables import deal
 
 IDES = "date_key int, user_key string, org_key string, editor_key string, n int"
 
@@ -66,3 +68,75 @@ def test_no_partial_bitmap_moves(staged, dims):
         F.sum(F.bitmap_count("users")).alias("users"), F.count("*").alias("bitmaps")
     )
     assert tuple(found.first()) == (2, 2)
+
+
+# ------------------------------------------------------------------ one exchange for each fact
+
+TEAMS = "date_key int, user_key string, org_key string, team_key string"
+
+
+def _moves(df):
+    planned = _plan(df).split("== Initial Plan ==")[-1]
+    return [line for line in planned.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+
+
+def test_parts_follow_the_rows(spark):
+    df = spark.range(1000).withColumn("key", F.col("id"))
+    assert deal(df, ["key"], 3_000_000).rdd.getNumPartitions() == 12
+    assert "REPARTITION_BY_COL" in _moves(deal(df, ["key"], 100))[0]
+
+
+def test_dealt_rows_fold_where_they_are_stored(spark, rows, dims):
+    dims = dims | {"dim_team": spark.createDataFrame([("t",)], "team_key string")}
+    data = [(20240101, u, "o", t) for u in ("ann", "bob", "ghost") for t in ("t", "t", "x")]
+    staged = {"user_teams": spark.createDataFrame(data, TEAMS)}
+    keys = FACT_KEYS["fact_user_team_day"]
+    dealt = facts.load_user_team_day(staged, dims, lambda df: deal(df, keys, len(data)))
+    assert rows(dealt, *keys) == [(20240101, "ann", "t"), (20240101, "bob", "t")]
+    moves = [line for line in _moves(dealt) if "range" in line or "date_key" in line]
+    assert len(moves) == 1 and "rangepartitioning" in moves[0]
+
+
+def test_only_rows_near_the_grain_are_dealt_unfolded(spark, monkeypatch):
+    even = spark.range(1000).select(F.col("id").alias("date_key"), F.lit("u").alias("user_key"))
+    assert facts.near_grain(even, ["date_key", "user_key"])
+    assert not facts.near_grain(even.union(even).union(even), ["date_key", "user_key"])
+    hot = even.union(even.limit(1).join(spark.range(300)).select("date_key", "user_key"))
+    monkeypatch.setattr(allocate.heavy_groups, "__defaults__", (50,))
+    assert not facts.near_grain(hot, ["date_key", "user_key"])
+
+
+def test_dealt_editors_have_the_shares_of_others(spark, rows):
+    data = [(20240101, u, "o", e, n * (u != "bob"), n) for u in ("ann", "bob") for n, e in enumerate(("vim", "zed", "vs"))]
+    data.append((20240101, None, "o", "vim", 1, 1))
+    names = ("user_initiated_interaction_count", "code_generation_activity_count")
+    editors = spark.createDataFrame(data, "date_key int, user_key string, org_key string, editor_key string, "
+                                    + ", ".join(f"{n} bigint" for n in names))
+    dealt = allocate.ide_share(deal(editors, allocate.USER_DAY, 7), dealt=True)
+    assert rows(dealt) == rows(allocate.ide_share(editors)) and dealt.count() == 4
+    assert len(_moves(dealt)) == 1
+
+
+def test_shares_meet_billing_in_one_exchange(spark, rows):
+    amount = F.lit(1).cast("decimal(18,4)")
+    days = spark.createDataFrame(
+        [(20240101, "ann", "o", "m1"), (20240101, "ann", "o", "m1"), (20240101, "ann", "o", "m2"),
+         (20240102, "bob", "o", "m1")], "date_key int, user_key string, org_key string, model_key string")
+    billing = days.select("*", F.lit("p").alias("product_key"), *(amount.alias(c) for c in allocate.EXACT_MEASURES))
+    editors = spark.createDataFrame(
+        [(20240101, "ann", "o", "zed"), (20240101, "ann", "o", "vim"), (20240103, "ann", "o", "vim")],
+        "date_key int, user_key string, org_key string, editor_key string",
+    ).select("*", F.lit(0.5).cast("decimal(9,8)").alias("share"), F.lit("b").alias("weight_basis"))
+    used = spark.createDataFrame(
+        [(20240101, "ann", "o", "m1", "chat", 3), (20240101, "ann", "o", "m1", "cli", 1), (20240101, "ann", "o", "m3", "x", 1),
+         (20240102, "bob", "o", "m1", "chat", 0), (20240102, "bob", "o", "m1", "cli", None)],
+        "date_key int, user_key string, org_key string, model_key string, feature_key string, "
+        "user_initiated_interaction_count bigint")
+    spend = allocate.with_shares(billing, editors, used)
+    assert rows(spend) == rows(allocate.with_shares(billing, editors, allocate.feature_share(used)))
+    found = {(r.date_key, r.model_key): r for r in spend.collect()}
+    assert spend.count() == 4
+    assert [e.editor_key for e in found[20240101, "m2"].editors] == ["vim", "zed"] and found[20240101, "m2"].features is None
+    assert [(f.feature_key, float(f.share)) for f in found[20240101, "m1"].features] == [("chat", 0.75), ("cli", 0.25)]
+    assert found[20240102, "m1"].editors is None and [float(f.share) for f in found[20240102, "m1"].features] == [0.5, 0.5]
+    assert len(_moves(spend)) == 1 and "Join" not in _plan(spend)
