@@ -16,6 +16,7 @@ from spendlens import fixed_values as V
 from spendlens.operators.staging import DATASETS
 from spendlens.plans.load import load_all
 from spendlens.schemas import RAW
+from spendlens.sources.derive import kept
 from spendlens.sources.raw import billing_records, read_billing_archive, read_raw
 from spendlens.sources.reports import parse_records
 from spendlens.sources.tables import Warehouse
@@ -43,8 +44,11 @@ def read_archive_stream(
     )
 
 
-def touched_datasets(spark: SparkSession, root: str, lines: DataFrame, flat: bool = False) -> dict[str, DataFrame]:
-    """Staging rows of everything that the lines of a batch touch, as the whole archive has it."""
+def touched_datasets(
+    spark: SparkSession, root: str, lines: DataFrame, flat: bool = False, scratch: str | None = None
+) -> dict[str, DataFrame]:
+    """Staging rows of everything that the lines of a batch touch, as the whole archive has it. With a scratch
+    folder activity records, read by three staging tables, and the bills' keys, read twice, are parsed once."""
 
     def of(kind: str) -> DataFrame:
         return lines.filter(F.col("dataset") == V.DATASETS[kind]).drop("dataset")
@@ -59,7 +63,11 @@ def touched_datasets(spark: SparkSession, root: str, lines: DataFrame, flat: boo
         whole = read_raw(spark, root, V.DATASETS[kind], *window, flat, tuple(keys))
         whole = whole.join(places.select(*keys).distinct(), keys, "left_semi")
         records[kind] = parse_records(whole, RAW[kind]).select("org", "record.*")
+    if scratch and "user_activity" in records:
+        records["user_activity"] = kept(records["user_activity"], f"{scratch}/records")
     bills = billing_records(of("premium_requests")).select("org", "user_login", "usage_date")
+    if scratch:
+        bills = kept(bills, f"{scratch}/bills")
     span = bills.agg(F.min("usage_date").alias("lo"), F.max("usage_date").alias("hi")).first()
     if span.lo is not None:
         whole = read_billing_archive(spark, root, span.lo, span.hi, flat)
@@ -91,7 +99,7 @@ def stream_ingest(
         batch.write.mode("overwrite").partitionBy("dataset").parquet(landed)
         schema = "dt string, org string, stamp string, line string, dataset string"
         lines = spark.read.schema(schema).parquet(landed)
-        datasets = touched_datasets(spark, raw_root, lines, flat)
+        datasets = touched_datasets(spark, raw_root, lines, flat, wh.run_path(run_id, "touched"))
         if datasets:
             load_all(wh, datasets, strict=False, run_id=run_id, **load_options)
 

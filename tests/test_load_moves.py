@@ -3,9 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
+from spendlens import fixed_values as V
 from spendlens.operators import allocate, dimensions, distinct_users, facts, quality
 from spendlens.schemas import FACT_KEYS
+from spendlens.sources import raw
 from spendlens.sources.tables import deal
+from spendlens.streaming import ingest
 
 IDES = "date_key int, user_key string, org_key string, editor_key string, n int"
 
@@ -140,3 +143,19 @@ def test_shares_meet_billing_in_one_exchange(spark, rows):
     assert [(f.feature_key, float(f.share)) for f in found[20240101, "m1"].features] == [("chat", 0.75), ("cli", 0.25)]
     assert found[20240102, "m1"].editors is None and [float(f.share) for f in found[20240102, "m1"].features] == [0.5, 0.5]
     assert len(_moves(spend)) == 1 and "Join" not in _plan(spend)
+
+
+# ------------------------------------------------------------------ a batch of the stream
+
+
+def test_a_batch_parses_its_activity_once(spark, rows, tmp_path):
+    name, root = V.DATASETS["user_activity"], str(tmp_path / "raw")
+    value = '{"day": "2026-08-01", "user_login": "ann", "totals_by_ide": [{"ide": "vim"}]}'
+    payload = spark.createDataFrame([("2026-08-01", "acme", value)], "dt string, org string, value string")
+    raw.write_raw(payload, root, name, "20260802T000000Z")
+    lines = raw.raw_lines(spark, root, name).withColumn("dt", F.col("dt").cast("string")).withColumn("dataset", F.lit(name))
+    made = ingest.touched_datasets(spark, root, lines, scratch=str(tmp_path / "touched"))
+    assert all("Scan text" not in _plan(df) for df in made.values())
+    whole = ingest.touched_datasets(spark, root, lines)
+    assert sorted(made) == sorted(whole) == ["user_day", "user_ide", "user_model_feature"]
+    assert all(rows(made[n]) == rows(whole[n]) for n in made) and made["user_ide"].count() == 1
