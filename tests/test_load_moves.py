@@ -1,13 +1,15 @@
 """What a load moves: rows meet large dimensions without being dealt by user, bitmaps move as numbers."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from spendlens import fixed_values as V
-from spendlens.operators import allocate, dimensions, distinct_users, facts, quality
+from spendlens.operators import allocate, dimensions, distinct_users, facts, quality, staging
 from spendlens.schemas import FACT_KEYS
-from spendlens.sources import raw
-from spendlens.sources.tables import deal
+from spendlens.sources import derive, raw
+from spendlens.sources.tables import Warehouse, deal
 from spendlens.streaming import ingest
 
 IDES = "date_key int, user_key string, org_key string, editor_key string, n int"
@@ -145,6 +147,34 @@ def test_shares_meet_billing_in_one_exchange(spark, rows):
     assert len(_moves(spend)) == 1 and "Join" not in _plan(spend)
 
 
+# ------------------------------------------------------------------ what a load stores
+
+
+def test_stored_rows_hold_no_name_twice(spark, tmp_path):
+    bill = spark.createDataFrame([("2026-08-01", "Ann ", "O", "Chat", "S")], "usage_date string, user_login string, "
+                                 "org_login string, product string, sku string")
+    stored = staging.stage_typed({"premium_requests": bill})["premium_requests"]
+    assert not [c for c in stored.columns if c.endswith("_key")]
+    Warehouse(spark, str(tmp_path)).write_run("r", "stg_premium_requests", stored)
+    files = list((tmp_path / "_runs" / "r" / "stg_premium_requests").glob("*.parquet"))
+    assert files and all(f.name.endswith(".zstd.parquet") for f in files)
+    read = staging.with_keys(spark.read.schema(stored.schema).parquet(*map(str, files)), "premium_requests").first()
+    assert (read.date_key, read.user_key, read.org_key, read.product_key) == (20260801, "ann", "o", "4:chat:s")
+
+
+def test_teams_are_told_apart_by_their_members(spark, rows, monkeypatch):
+    line = "'a' u, 'o' o, date'2024-01-01' d, 1 l_linenumber, 'R' l_returnflag, 'b' p_brand, 't' p_type, 1 q, 1.0 price, 0.1 discount"
+    ids = spark.createDataFrame([(51,), (51,), (1,), (None,)], "user_id bigint")
+    customer = spark.sql("SELECT 1L c_custkey, 'a' c_name, 1 c_nationkey, 's' c_mktsegment, 1.0 c_acctbal")
+    monkeypatch.setattr(derive, "order_lines", lambda *_: ids.join(spark.sql(f"SELECT {line}")))
+    monkeypatch.setattr(derive, "table", lambda *_: customer)
+    made = derive.orders_datasets(spark, "")["user_teams"]
+    assert rows(made, "user_id", "team_id", "team_slug") == rows(
+        spark.createDataFrame([(None, None, None), (1, 1, "team1"), (51, 1, "team1")], "a bigint, b bigint, c string"))
+    keys = re.findall(r"HashAggregate\(keys=\[(.*?)\]", _plan(made))
+    assert keys and not any("team" in k or "%" in k for k in keys)
+
+
 # ------------------------------------------------------------------ a batch of the stream
 
 
